@@ -4,18 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg.distributed import CoordinateMatrix, IndexedRowMatrix
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelspark.constants import N_COMPONENTS, SERVED_PAIR, SERVED_PAIR_LOCAL
 from reelspark.functions.scalar import clip, dot
-from reelspark.operators.ordering import with_offsets
+from reelspark.operators.factorise import truncated_svd
 from reelspark.operators.profile import movie_info
-from reelspark.session import broadcast_if_small, materialise
+from reelspark.session import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -53,57 +48,17 @@ def centered_cells(train: DataFrame, mean: float | Column) -> DataFrame:
     return sums.select("userId", "movieId", (F.col("s") - F.col("n") * centre).alias("v"))
 
 
-def item_index(ratings: DataFrame) -> DataFrame:
-    """Dense zero-based column numbers of the rated movies, in id order."""
-    return with_offsets(ratings.select("movieId").distinct(), ["movieId"]).select(
-        "movieId", F.col("pos").cast("int").alias("ix")
-    )
-
-
-def _factorise(cells: DataFrame, k: int) -> tuple[list[float], DataFrame, DataFrame, int]:
-    spark = cells.sparkSession
-    cells = materialise(cells)
-    items = materialise(item_index(cells))
-    n_items = items.count()
-    n_users = cells.select("userId").distinct().count()
-    wanted = max(1, min(k, n_users, n_items - 1))
-    entries = cells.join(broadcast_if_small(items, n_items, 24), "movieId").select(
-        F.col("userId").cast("bigint").alias("i"), F.col("ix").cast("bigint").alias("j"), F.col("v").alias("value")
-    )
-    # The rows go to the matrix inside the JVM; only k columns of V come back.
-    coordinates = CoordinateMatrix(callMLlibFunc("createCoordinateMatrix", entries, 0, n_items))
-    matrix = coordinates.toIndexedRowMatrix()
-    rows = matrix._java_matrix_wrapper._java_model.rows()
-    level = spark.sparkContext._getJavaStorageLevel(StorageLevel.MEMORY_AND_DISK)
-    rows.persist(level)
-    try:
-        svd = matrix.computeSVD(wanted, computeU=False, rCond=1e-9)
-        sigma = [float(x) for x in svd.s.toArray()]
-        # A V = U S: the user factors, still distributed.
-        projected = IndexedRowMatrix(matrix.multiply(svd.V)._java_matrix_wrapper._java_model)
-        frame = callMLlibFunc("getIndexedRows", projected._java_matrix_wrapper._java_model)
-        user_factors = materialise(
-            frame.select(F.col("index").cast("int").alias("userId"), vector_to_array("vector").alias("f"))
-        )
-        v = svd.V.toArray()
-    finally:
-        rows.unpersist(False)
-    columns = pa.table({"ix": pa.array(range(n_items), pa.int32()), "f": pa.array(list(v), pa.list_(pa.float64()))})
-    factors = spark.createDataFrame(columns)
-    return sigma, user_factors, materialise(items.join(factors, "ix").select("movieId", "f")), n_items
-
-
-def train_svd(train: DataFrame, k: int = N_COMPONENTS) -> FactorModel:
+def train_svd(train: DataFrame, k: int = N_COMPONENTS, method: str = "randomized") -> FactorModel:
     """Factorise the mean-centred matrix of the training rows."""
     mean, n = train_mean(train)
-    sigma, users, items, n_items = _factorise(centered_cells(train, mean), k)
-    return FactorModel(mean, sigma, users, items, n_items, n)
+    found = truncated_svd(centered_cells(train, mean), k, method=method)
+    return FactorModel(mean, found.singular_values, found.users, found.items, found.n_items, n)
 
 
-def train_svd_uncentered(cells: DataFrame, k: int = N_COMPONENTS) -> FactorModel:
+def train_svd_uncentered(cells: DataFrame, k: int = N_COMPONENTS, method: str = "randomized") -> FactorModel:
     """Factorise the plain pivot (mean of repeats, zero where unrated)."""
-    sigma, users, items, n_items = _factorise(cells, k)
-    return FactorModel(0.0, sigma, users, items, n_items, 0)
+    found = truncated_svd(cells, k, method=method)
+    return FactorModel(0.0, found.singular_values, found.users, found.items, found.n_items, 0)
 
 
 def spectrum(model: FactorModel, spark: SparkSession) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from reelspark import constants as C
 from reelspark.functions.scalar import file_stem, in_user_sample, is_holdout
-from reelspark.operators import drift, evaluate, ingest, model, popular, profile, recommend, registry, sampling
+from reelspark.operators import drift, evaluate, factorise, ingest, model, popular, profile, recommend, registry, sampling
 from reelspark.session import materialise, shared_folder
 from reelspark.sources import files, tables
 from reelspark.sources.store import RatingsStore
@@ -224,7 +224,7 @@ def unrated_movies(spark, sf):
 
 @register
 def item_index(spark, sf):
-    return renamed(model.item_index(tables.ratings(spark, sf)))
+    return renamed(factorise.item_index(tables.ratings(spark, sf)))
 
 
 @register
