@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reelspark.session import materialise
+from reelspark.session import fixed_partitions
 
 _ROW_BITS = 33
+_DIGITS = 4
+_SMALL_BUCKET = 100_000
 
 
 def with_offsets(df: DataFrame, order: Sequence[str], weights: Mapping[str, str] | None = None) -> DataFrame:
@@ -19,7 +23,7 @@ def with_offsets(df: DataFrame, order: Sequence[str], weights: Mapping[str, str]
     checkpointed, so the partition boundaries are the same in both passes; only
     one total per partition is brought together.
     """
-    ordered = materialise(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    ordered = fixed_partitions(df.repartitionByRange(*order).sortWithinPartitions(*order))
     row_id = F.monotonically_increasing_id()
     tagged = ordered.withColumn("_row", row_id).withColumn("_part", F.shiftright("_row", _ROW_BITS))
     if weights is None:
@@ -46,46 +50,62 @@ def count_copies(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def _cut(df: DataFrame, digits: Column, n: int) -> tuple[str, int] | None:
-    """The 4-hex-digit bucket in which the n-th row falls, and the rows before it."""
-    buckets = df.groupBy(digits.alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
-    # At most 65,536 buckets whatever the size of the data.
-    running = F.sum("rows").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = buckets.withColumn("upto", running).where(F.col("upto") >= n).orderBy("bucket").limit(1).first()
-    return None if hit is None else (hit["bucket"], hit["upto"] - hit["rows"])
+def _find_cut(hashed: DataFrame, n: int | None, share: float | None) -> tuple[str, int, int] | None:
+    """The digest of the n-th row, how many rows with it are inside the cut, and how many exist.
 
-
-def rank_split(df: DataFrame, digest: Column, n: int, flag: str = "selected") -> DataFrame:
-    """Mark exactly the first ``n`` rows in the order of a hex digest, then of all columns.
-
-    Two histograms over digest prefixes locate the cut. Every other row is decided
-    by comparing its own prefix, so nothing is sorted and nothing but the few rows
-    that share the cut prefix is shuffled.
+    Histograms over four more digits at a time, at most 65,536 buckets each whatever the
+    size of the data, narrow the search until one bucket is small or holds one digest.
+    """
+    prefix = ""
+    rows = hashed
+    while True:
+        digits = F.substring("_digest", 1, len(prefix) + _DIGITS).alias("bucket")
+        found = rows.groupBy(digits).agg(F.count(F.lit(1)).alias("rows")).toArrow().sort_by("bucket")
+        counts = found["rows"].to_numpy()
+        upto = np.cumsum(counts)
+        if n is None:
+            n = math.ceil(share * (int(upto[-1]) if len(upto) else 0))
+        if n <= 0 or not len(upto) or upto[-1] < n:
+            return None
+        hit = int(np.searchsorted(upto, n))
+        n -= int(upto[hit] - counts[hit])
+        prefix = found["bucket"][hit].as_py()
+        rows = hashed.where(F.col("_digest").startswith(prefix))
+        if counts[hit] <= _SMALL_BUCKET:
+            few = rows.groupBy("_digest").agg(F.count(F.lit(1)).alias("rows")).toArrow().sort_by("_digest")
+            upto = np.cumsum(few["rows"].to_numpy())
+            hit = int(np.searchsorted(upto, n))
+            copies = few["rows"][hit].as_py()
+            return few["_digest"][hit].as_py(), n - int(upto[hit]) + copies, copies
+        ends = rows.agg(F.min("_digest").alias("low"), F.max("_digest").alias("high")).first()
+        if ends["low"] == ends["high"]:
+            return ends["low"], n, int(counts[hit])
+
+
+def rank_split(
+    df: DataFrame, digest: Column, n: int | None = None, flag: str = "selected", share: float | None = None
+) -> DataFrame:
+    """Mark exactly the first ``n`` rows in the order of a hex digest, then of all columns;
+    ``share`` asks for ceil(share * rows) instead.
+
+    Once the digest of the last row is known, every row is decided by its own digest:
+    nothing is sorted or shuffled, save the copies of that one row if the cut divides them.
     """
     columns = df.columns
-    if n <= 0:
-        return df.withColumn(flag, F.lit(False))
     hashed = df.withColumn("_digest", digest)
-    first = _cut(hashed, F.substring("_digest", 1, 4), n)
-    if first is None:
-        return df.withColumn(flag, F.lit(True))
-    bucket, before = first
-    inner = hashed.where(F.substring("_digest", 1, 4) == bucket)
-    sub, inside = _cut(inner, F.substring("_digest", 5, 4), n - before)
-    prefix, remaining = bucket + sub, n - before - inside
-
-    head = F.substring("_digest", 1, 8)
-    decided = hashed.where(head != prefix).select(*columns, (head < prefix).alias(flag))
-    # Rows sharing 32 digest bits; copies of one row count once with a weight.
-    tied = count_copies(hashed.where(head == prefix))
-    earlier = F.coalesce(
-        F.sum("copies").over(
-            Window.orderBy("_digest", *columns).rowsBetween(Window.unboundedPreceding, -1)
-        ),
-        F.lit(0),
-    )
-    taken = F.greatest(F.lit(0), F.least(F.col("copies"), F.lit(remaining) - F.col("_before")))
-    parts = tied.withColumn("_before", earlier).withColumn("_take", taken)
+    found = _find_cut(hashed, n, share)
+    if found is None:
+        return df.withColumn(flag, F.lit(n is not None and n > 0))
+    last, inside, copies = found
+    if inside == copies:
+        return hashed.select(*columns, (F.col("_digest") <= last).alias(flag))
+
+    decided = hashed.where(F.col("_digest") != last).select(*columns, (F.col("_digest") < last).alias(flag))
+    # One distinct row unless digests collide; its copies count once, with a weight.
+    tied = count_copies(hashed.where(F.col("_digest") == last).select(*columns))
+    before = F.sum("copies").over(Window.orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1))
+    taken = F.greatest(F.lit(0), F.least(F.col("copies"), F.lit(inside) - F.coalesce(before, F.lit(0))))
+    parts = tied.withColumn("_take", taken)
     pieces = F.array(
         F.struct(F.lit(True).alias("flag"), F.col("_take").alias("n")),
         F.struct(F.lit(False).alias("flag"), (F.col("copies") - F.col("_take")).alias("n")),

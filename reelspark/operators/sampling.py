@@ -57,8 +57,7 @@ def capped_train_rows(train: DataFrame, max_rows: int = TRAIN_MAX_ROWS, chunk: i
 
 def random_split(ratings: DataFrame, share: float = RANDOM_TEST_SHARE, seed: int = SEED) -> DataFrame:
     """Every row with ``is_test``: exactly ceil(share * rows) rows are set."""
-    n_test = math.ceil(share * ratings.count())
-    return rank_split(ratings, row_hash(*ratings.columns, seed=seed), n_test, "is_test")
+    return rank_split(ratings, row_hash(*ratings.columns, seed=seed), flag="is_test", share=share)
 
 
 def sample_rows(df: DataFrame, n: int = SAMPLE_RATINGS, seed: int = SEED) -> DataFrame:

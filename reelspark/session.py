@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,7 @@ def build_session(app: str, master: str = "local[8]", shuffle_partitions: int =
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "12g")
@@ -50,7 +52,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts lineage and survives executor loss."""
+    """Write once to the shared folder and read back: cuts lineage, survives executor loss,
+    keeps column pruning and gives the optimizer the real size."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fixed_partitions(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: like ``materialise``, with partitions and their order kept."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
