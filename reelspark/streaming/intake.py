@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reelspark.constants import BATCH_PREFIX
 from reelspark.operators.ingest import latest_by_key, rejected_rows, valid_rows
+from reelspark.session import broadcast_if_small
 from reelspark.sources import files
 from reelspark.sources.schema import missing_columns
 from reelspark.sources.store import RatingsStore
@@ -74,9 +75,12 @@ def ingest_batches(
             )
             raw = files.with_file_order(files.read_text_csv(spark, [p for e in entries for p in batches[e]]))
             marker = landing.rstrip("/").split(":", 1)[-1] + "/"
-            inside = F.element_at(F.split(F.url_decode("_file"), F.lit(f"\\Q{marker}\\E")), -1)
-            # One small row per batch of this trigger.
-            tagged = raw.withColumn("_entry", F.element_at(F.split(inside, "/"), 1)).join(F.broadcast(names), "_entry")
+            # File paths are percent-encoded, but a plus sign stands for itself.
+            decoded = F.url_decode(F.replace(F.col("_file"), F.lit("+"), F.lit("%2B")))
+            inside = F.substring_index(decoded, marker, -1)
+            tagged = raw.withColumn("_entry", F.substring_index(inside, "/", 1)).join(
+                broadcast_if_small(names, len(entries), 512), "_entry"
+            )
             carried = ["batch_id", "batch_seq", "_file", "_block", "_line"]
             good = valid_rows(tagged, *carried)
             rejected = rejected_rows(tagged, "batch_id", "batch_seq")

@@ -54,6 +54,20 @@ def test_last_row_of_a_key_wins_inside_a_file(spark, folders):
     assert state(store) == {(1, 10, 100): (2.5, "b")}
 
 
+def test_folders_and_odd_names_are_batches_too(spark, folders):
+    part = folders / "landing" / "batch_id=spring a+b%41"
+    part.mkdir()
+    for i in range(3):
+        (part / f"part-{i}.csv").write_text(HEADER + f"1,{i},3.0,100\n")
+    (folders / "landing" / "x y+z.csv").write_text(HEADER + "2,7,4.0,100\n")
+    store = RatingsStore(spark, str(folders / "store"))
+    run(spark, folders, store)
+    assert state(store) == {
+        **{(1, i, 100): (3.0, "spring a+b%41") for i in range(3)}, (2, 7, 100): (4.0, "x y+z"),
+    }
+    assert names(folders / "processed") == ["batch_id=spring a+b%41", "x y+z.csv"]
+
+
 def test_bad_files_and_rows_are_set_aside(spark, folders):
     (folders / "landing" / "a.csv").write_text("userId,movieId,rating\n1,2,3.0\n")
     (folders / "landing" / "b.csv").write_text("timestamp,rating,movieId,userId,x\n100,4.0,20,1,z\n100,bad,21,1,z\n")
