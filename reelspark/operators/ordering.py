@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from reelspark.session import fixed_partitions
 
@@ -21,7 +22,7 @@ def with_offsets(df: DataFrame, order: Sequence[str], weights: Mapping[str, str]
     ``weights`` maps a new column to the column it accumulates; without it the
     new column ``pos`` is the zero-based position. Rows are range-partitioned and
     checkpointed, so the partition boundaries are the same in both passes; only
-    one total per partition is brought together.
+    one total per partition is brought together. Weights are whole numbers.
     """
     ordered = fixed_partitions(df.repartitionByRange(*order).sortWithinPartitions(*order))
     row_id = F.monotonically_increasing_id()
@@ -30,10 +31,7 @@ def with_offsets(df: DataFrame, order: Sequence[str], weights: Mapping[str, str]
         local = tagged.withColumn("pos", F.col("_row") - F.shiftleft("_part", _ROW_BITS))
         names = {"pos": F.count(F.lit(1))}
     else:
-        within = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-        local = tagged
-        for name, source in weights.items():
-            local = local.withColumn(name, F.coalesce(F.sum(source).over(within), F.lit(0)))
+        local = _running_totals(tagged.drop("_row"), weights)
         names = {name: F.sum(source) for name, source in weights.items()}
     totals = tagged.groupBy("_part").agg(*[value.alias(f"_t_{name}") for name, value in names.items()])
     # One row per partition of the range sort: bounded by the partition count.
@@ -45,6 +43,26 @@ def with_offsets(df: DataFrame, order: Sequence[str], weights: Mapping[str, str]
     return joined.select(*df.columns, *[(F.col(name) + F.col(f"_s_{name}")).alias(name) for name in names])
 
 
+def _running_totals(df: DataFrame, weights: Mapping[str, str]) -> DataFrame:
+    """Exclusive running totals inside each partition, in its row order; no further shuffle."""
+    sources = dict(weights)
+    names = [*df.columns, *sources]
+
+    def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = dict.fromkeys(sources, 0)
+        for batch in batches:
+            columns = list(batch.columns)
+            for name, source in sources.items():
+                values = batch.column(source).to_numpy(zero_copy_only=False).astype(np.int64)
+                upto = np.cumsum(values) + before[name]
+                columns.append(pa.array(upto - values))
+                before[name] = int(upto[-1]) if upto.size else before[name]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = T.StructType([*df.schema.fields, *[T.StructField(name, T.LongType()) for name in sources]])
+    return df.mapInArrow(accumulate, schema)
+
+
 def count_copies(df: DataFrame) -> DataFrame:
     """Collapse identical rows into one with ``copies``, combined before the shuffle."""
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
