@@ -29,6 +29,17 @@ def clip(score: Column) -> Column:
     return F.greatest(F.lit(MIN_RATING), F.least(F.lit(MAX_RATING), score))
 
 
+def round_binary(value: Column, digits: int) -> Column:
+    """Scale, round half to even, scale back: the rounding of array libraries."""
+    scale = float(10**digits)
+    return F.rint(value * scale) / scale
+
+
+def round_exact(value: Column, digits: int) -> Column:
+    """Correct decimal rounding of the stored binary value, half to even."""
+    return F.replace(F.format_number(value, digits), F.lit(","), F.lit("")).cast("double")
+
+
 def dot(left: Column, right: Column) -> Column:
     """Inner product of two equal-length double arrays."""
     return F.aggregate(F.zip_with(left, right, lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from reelspark.constants import COLD_START_RATINGS, MAX_RATING, MIN_RATING, MIN_TOP_RATED
-from reelspark.functions.scalar import hash_number, row_hash
+from reelspark.functions.scalar import hash_number, round_binary, row_hash
 
 
 def user_counts(ratings: DataFrame) -> DataFrame:
@@ -127,8 +127,8 @@ def movie_stats(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """Count, mean and deviation per movie, rounded to two digits, with catalogue data."""
     stats = ratings.groupBy("movieId").agg(
         F.count(F.lit(1)).alias("num_ratings"),
-        F.round(F.avg("rating"), 2).alias("avg_rating"),
-        F.round(F.stddev_samp("rating"), 2).alias("rating_std"),
+        round_binary(F.avg("rating"), 2).alias("avg_rating"),
+        round_binary(F.stddev_samp("rating"), 2).alias("rating_std"),
     )
     return stats.join(movies, "movieId").select(
         F.col("movieId").alias("movie_id"), "title", "genres", "num_ratings", "avg_rating", "rating_std"

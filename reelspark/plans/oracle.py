@@ -36,8 +36,8 @@ def _crc(*parts: str) -> str:
     return _with(R, H, *parts, recursive=True)
 
 
-STATS = """stats AS (SELECT m.m AS movie_id, title, genres, count(*) AS num_ratings, round(avg(rating), 2) AS avg_rating,
-  round(stddev_samp(rating), 2) AS rating_std FROM r JOIN m USING (m) GROUP BY ALL)"""
+STATS = """stats AS (SELECT m.m AS movie_id, title, genres, count(*) AS num_ratings, round_even((avg(rating)) * 100, 0) / 100 AS avg_rating,
+  round_even((stddev_samp(rating)) * 100, 0) / 100 AS rating_std FROM r JOIN m USING (m) GROUP BY ALL)"""
 
 SPLIT = f"""s AS (SELECT u, m, rating, ts, row_number() OVER (ORDER BY {ROW_HASH}, u, m, ts, rating)
   <= ceil(0.2 * count(*) OVER ()) AS is_test FROM r)"""
@@ -66,7 +66,7 @@ cum AS (SELECT CAST(row_number() OVER (ORDER BY b) AS INT) AS version, 'run_' ||
   sum(hs) OVER w AS hs, sum(hq) OVER w AS hq
   FROM per WINDOW w AS (ORDER BY b ROWS UNBOUNDED PRECEDING)),
 runs AS (SELECT version, run_id, n AS n_train, hn AS n_eval, s / n AS global_mean,
-  round(sqrt((hq - 2 * (s / n) * hs + hn * (s / n) * (s / n)) / hn), 6) AS metric FROM cum),
+  round_even((sqrt((hq - 2 * (s / n) * hs + hn * (s / n) * (s / n)) / hn)) * 1e6, 0) / 1e6 AS metric FROM cum),
 hist AS (SELECT *, min(metric) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS champion FROM runs),
 decided AS (SELECT *, champion IS NULL OR isnan(champion) OR metric < champion AS promoted FROM hist),
 aliases AS (SELECT 'production' AS alias, max(version) FILTER (promoted) AS version FROM decided
@@ -108,7 +108,7 @@ ORACLE: dict[str, str] = {
     "all_movie_ids": _with(M) + "SELECT m AS movie_id FROM m",
     "train_rows_capped": _crc() + f"SELECT {ROW} FROM h WHERE NOT hold ORDER BY u, m, ts, rating LIMIT 10000",
     "ingest_append": _with(R)
-    + """SELECT batch_id, count(*) AS inserted, round(sum(rating), 6) AS sum_rating, max(ts) AS last_ts
+    + """SELECT batch_id, count(*) AS inserted, round_even((sum(rating)) * 1e6, 0) / 1e6 AS sum_rating, max(ts) AS last_ts
 FROM r GROUP BY batch_id""",
     "tag_batch": _with(R) + f"SELECT {ROW}, 'lineitem' AS batch_id FROM r",
     "upsert_ratings": _with(R, LATEST) + f"SELECT {ROW}, batch_id FROM latest",
@@ -128,7 +128,7 @@ CAST(sum(m) AS BIGINT) AS sum_movie_id
 FROM (SELECT row_number() OVER (ORDER BY {ROW_HASH.replace('ts, rating', 'rating, ts')}, u, m, ts, rating) - 1 AS i, m, rating FROM r)
 GROUP BY 1""",
     "load_check": _with(R, M)
-    + """SELECT count(*) AS ratings, round(avg(rating), 6) AS avg_rating, (SELECT count(*) FROM m) AS movies FROM r""",
+    + """SELECT count(*) AS ratings, round_even((avg(rating)) * 1e6, 0) / 1e6 AS avg_rating, (SELECT count(*) FROM m) AS movies FROM r""",
     "top_most_rated": _with(R, M, STATS)
     + "SELECT movie_id, title, avg_rating, num_ratings FROM stats ORDER BY num_ratings DESC, movie_id LIMIT 5",
     "dataset_fingerprint": _with(R)
@@ -161,12 +161,12 @@ WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.u = users.u AND r.m = m.m) GROUP BY us
     "distinct_movies": _with(R) + "SELECT DISTINCT m AS movie_id FROM r",
     "dataset_overview": _with(R, M)
     + """SELECT count(*) AS total_ratings, count(DISTINCT u) AS users, count(DISTINCT m) AS movies_rated,
-(SELECT count(*) FROM m) AS catalog_size, round(avg(rating), 6) AS avg_rating,
-round(stddev_samp(rating), 6) AS rating_std FROM r""",
+(SELECT count(*) FROM m) AS catalog_size, round_even((avg(rating)) * 1e6, 0) / 1e6 AS avg_rating,
+round_even((stddev_samp(rating)) * 1e6, 0) / 1e6 AS rating_std FROM r""",
     "matrix_sparsity": _with(R)
     + """, z AS (SELECT count(DISTINCT u) * count(DISTINCT m) AS possible, count(*) AS actual FROM r)
-SELECT possible, actual, round((1 - actual / possible) * 100, 6) AS sparsity_pct,
-round(100 - (1 - actual / possible) * 100, 6) AS density_pct FROM z""",
+SELECT possible, actual, round_even(((1 - actual / possible) * 100) * 1e6, 0) / 1e6 AS sparsity_pct,
+round_even((100 - (1 - actual / possible) * 100) * 1e6, 0) / 1e6 AS density_pct FROM z""",
     "data_quality": _with(R, M)
     + """SELECT CAST(count(*) FILTER (u IS NULL) + count(*) FILTER (m IS NULL) + count(*) FILTER (rating IS NULL)
   + count(*) FILTER (ts IS NULL) AS BIGINT) AS null_ratings,
@@ -174,7 +174,7 @@ round(100 - (1 - actual / possible) * 100, 6) AS density_pct FROM z""",
 count(*) - (SELECT count(*) FROM (SELECT DISTINCT u, m FROM r)) AS duplicate_pairs,
 count(*) FILTER (rating < 0.5 OR rating > 5.0) AS invalid_ratings FROM r""",
     "rating_distribution": _with(R)
-    + """SELECT rating, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM r)::DOUBLE, 6) AS pct
+    + """SELECT rating, count(*) AS n, round_even((count(*) * 100.0 / (SELECT count(*) FROM r)::DOUBLE) * 1e6, 0) / 1e6 AS pct
 FROM r GROUP BY rating""",
     "modal_rating": _with(R) + "SELECT rating, count(*) AS n FROM r GROUP BY rating ORDER BY n DESC, rating LIMIT 1",
     "user_counts": _with(R) + "SELECT u AS user_id, count(*) AS n FROM r GROUP BY u",
@@ -183,17 +183,17 @@ FROM r GROUP BY rating""",
     + """, c AS (SELECT 'user' AS entity, count(*) AS n FROM r GROUP BY u
   UNION ALL SELECT 'movie', count(*) FROM r GROUP BY m)
 SELECT entity, count(*) FILTER (n < 5) AS cold, count(*) AS total,
-round(count(*) FILTER (n < 5) * 100.0 / count(*)::DOUBLE, 6) AS pct FROM c GROUP BY entity""",
-    "user_means": _with(R) + "SELECT u AS user_id, round(avg(rating), 6) AS mean_rating, count(*) AS n FROM r GROUP BY u",
+round_even((count(*) FILTER (n < 5) * 100.0 / count(*)::DOUBLE) * 1e6, 0) / 1e6 AS pct FROM c GROUP BY entity""",
+    "user_means": _with(R) + "SELECT u AS user_id, round_even((avg(rating)) * 1e6, 0) / 1e6 AS mean_rating, count(*) AS n FROM r GROUP BY u",
     "movie_means": _with(R)
-    + "SELECT m AS movie_id, round(avg(rating), 6) AS mean_rating, count(*) AS n FROM r GROUP BY m",
+    + "SELECT m AS movie_id, round_even((avg(rating)) * 1e6, 0) / 1e6 AS mean_rating, count(*) AS n FROM r GROUP BY m",
     "mean_of_means": _with(R)
-    + """SELECT round((SELECT avg(a) FROM (SELECT avg(rating) AS a FROM r GROUP BY u)), 6) AS mean_user_mean,
-round((SELECT avg(a) FROM (SELECT avg(rating) AS a FROM r GROUP BY m)), 6) AS mean_movie_mean""",
+    + """SELECT round_even(((SELECT avg(a) FROM (SELECT avg(rating) AS a FROM r GROUP BY u))) * 1e6, 0) / 1e6 AS mean_user_mean,
+round_even(((SELECT avg(a) FROM (SELECT avg(rating) AS a FROM r GROUP BY m))) * 1e6, 0) / 1e6 AS mean_movie_mean""",
     "user_bias": _with(R)
-    + "SELECT u AS user_id, round(avg(rating) - (SELECT avg(rating) FROM r), 6) AS bias FROM r GROUP BY u",
+    + "SELECT u AS user_id, round_even((avg(rating) - (SELECT avg(rating) FROM r)) * 1e6, 0) / 1e6 AS bias FROM r GROUP BY u",
     "movie_bias": _with(R)
-    + "SELECT m AS movie_id, round(avg(rating) - (SELECT avg(rating) FROM r), 6) AS bias FROM r GROUP BY m",
+    + "SELECT m AS movie_id, round_even((avg(rating) - (SELECT avg(rating) FROM r)) * 1e6, 0) / 1e6 AS bias FROM r GROUP BY m",
     "hist_user_counts": _with(R) + ", " + _histogram("SELECT count(*)::DOUBLE AS x FROM r GROUP BY u", 50),
     "hist_movie_counts": _with(R) + ", " + _histogram("SELECT count(*)::DOUBLE AS x FROM r GROUP BY m", 50),
     "hist_user_means": _with(R) + ", " + _histogram("SELECT avg(rating) AS x FROM r GROUP BY u", 30),
@@ -215,27 +215,27 @@ ORDER BY md5(concat_ws(':', '42', movie_id)), movie_id LIMIT 5000""",
 SELECT u, m, rating, row_number() OVER (PARTITION BY u ORDER BY rating DESC, m, ts) AS k
 FROM r WHERE m IN (SELECT m FROM m)) x JOIN m USING (m) WHERE k <= 3""",
     "train_global_mean": _crc()
-    + "SELECT round(avg(rating), 6) AS global_mean, count(*) AS n FROM h WHERE NOT hold",
-    "rating_cells_mean": _with(R) + "SELECT u AS user_id, m AS movie_id, round(avg(rating), 6) AS v FROM r GROUP BY u, m",
+    + "SELECT round_even((avg(rating)) * 1e6, 0) / 1e6 AS global_mean, count(*) AS n FROM h WHERE NOT hold",
+    "rating_cells_mean": _with(R) + "SELECT u AS user_id, m AS movie_id, round_even((avg(rating)) * 1e6, 0) / 1e6 AS v FROM r GROUP BY u, m",
     "train_scope_batch": _crc(
         "p AS (SELECT batch_id, count(*) AS n, sum(rating) AS s FROM h WHERE NOT hold GROUP BY batch_id)"
     )
-    + """SELECT batch_id, n, round(s / n, 6) AS batch_mean, CAST(sum(n) OVER w AS BIGINT) AS cumulative_n,
-round(sum(s) OVER w / sum(n) OVER w, 6) AS cumulative_mean
+    + """SELECT batch_id, n, round_even((s / n) * 1e6, 0) / 1e6 AS batch_mean, CAST(sum(n) OVER w AS BIGINT) AS cumulative_n,
+round_even((sum(s) OVER w / sum(n) OVER w) * 1e6, 0) / 1e6 AS cumulative_mean
 FROM p WINDOW w AS (ORDER BY batch_id ROWS UNBOUNDED PRECEDING)""",
     "popular_movies": _popular(
-        "movie_id, title, genres, round(a, 6) AS predicted_rating, c AS num_ratings", 20, "a DESC, c DESC, movie_id"
+        "movie_id, title, genres, round_even((a) * 1e6, 0) / 1e6 AS predicted_rating, c AS num_ratings", 20, "a DESC, c DESC, movie_id"
     ),
     "popular_endpoint": _popular(
-        "movie_id, title, genres, round(a, 2) AS avg_rating, c AS num_ratings, round(a, 6) AS predicted_rating",
+        "movie_id, title, genres, CAST(printf('%.2f', a) AS DOUBLE) AS avg_rating, c AS num_ratings, round_even((a) * 1e6, 0) / 1e6 AS predicted_rating",
         20,
         "a DESC, movie_id",
     ),
     "popular_min50": _popular(
-        "movie_id, title, genres, round(a, 6) AS avg_rating, c AS rating_count", 50, "a DESC, c DESC, movie_id"
+        "movie_id, title, genres, round_even((a) * 1e6, 0) / 1e6 AS avg_rating, c AS rating_count", 50, "a DESC, c DESC, movie_id"
     ),
     "popular_min40": _popular(
-        "movie_id, title, genres, round(a, 6) AS avg_rating, c AS rating_count", 40, "a DESC, c DESC, movie_id"
+        "movie_id, title, genres, round_even((a) * 1e6, 0) / 1e6 AS avg_rating, c AS rating_count", 40, "a DESC, c DESC, movie_id"
     ),
     "candidate_movies": _with(R, M, USERS, RANKED, CANDIDATES)
     + "SELECT u AS user_id, m AS movie_id, popularity, CAST(k AS INT) AS k FROM c WHERE k <= 20",
@@ -249,7 +249,7 @@ FROM users LEFT JOIN c ON c.u = users.u AND k <= 5000 GROUP BY users.u""",
 p AS (SELECT m, avg(rating) AS a, count(*) AS c FROM r JOIN m USING (m) GROUP BY m HAVING count(*) >= 20
   ORDER BY a DESC, c DESC, m LIMIT 5),
 k AS (SELECT *, CAST(row_number() OVER (ORDER BY a DESC, c DESC, m) AS INT) AS rank FROM p)
-SELECT u AS user_id, rank, m AS movie_id, round(a, 6) AS predicted_rating, c AS num_ratings,
+SELECT u AS user_id, rank, m AS movie_id, round_even((a) * 1e6, 0) / 1e6 AS predicted_rating, c AS num_ratings,
 'popularity_fallback' AS served_by FROM cold CROSS JOIN k""",
     "recommend_unsampled": _crc(
         M,
@@ -259,24 +259,24 @@ SELECT u AS user_id, rank, m AS movie_id, round(a, 6) AS predicted_rating, c AS
         CANDIDATES,
     )
     + """SELECT c.u AS user_id, CAST(k AS INT) AS rank, c.m AS movie_id, title, genres,
-(SELECT round(avg(rating), 6) FROM h WHERE u % 6 = 0 AND NOT hold) AS predicted_rating
+(SELECT round_even((avg(rating)) * 1e6, 0) / 1e6 FROM h WHERE u % 6 = 0 AND NOT hold) AS predicted_rating
 FROM c JOIN m ON m.m = c.m WHERE k <= 5""",
     "centered_cells": _crc("g AS (SELECT avg(rating) AS a FROM h WHERE NOT hold)")
-    + """SELECT u AS user_id, m AS movie_id, round(sum(rating) - count(rating) * any_value(a), 6) AS v
+    + """SELECT u AS user_id, m AS movie_id, round_even((sum(rating) - count(rating) * any_value(a)) * 1e6, 0) / 1e6 AS v
 FROM h, g WHERE NOT hold GROUP BY u, m""",
     "eval_pairs": _crc(EVAL) + f"SELECT {ROW} FROM ev",
     "evaluate_global_mean": _crc(EVAL, "g AS (SELECT avg(rating) AS a FROM h WHERE NOT hold)")
-    + """SELECT round(sqrt(avg((rating - a) * (rating - a))), 6) AS rmse, round(avg(abs(rating - a)), 6) AS mae,
+    + """SELECT round_even((sqrt(avg((rating - a) * (rating - a)))) * 1e6, 0) / 1e6 AS rmse, round_even((avg(abs(rating - a))) * 1e6, 0) / 1e6 AS mae,
 count(*) AS predictions FROM ev, g""",
     "evaluate_coverage": _with(R, SPLIT)
     + """, q AS (SELECT count(*) FILTER (u IN (SELECT u FROM s WHERE NOT is_test)
   AND m IN (SELECT m FROM s WHERE NOT is_test)) AS n_predictions, count(*) AS n_test FROM s WHERE is_test)
-SELECT n_predictions, n_test, round(n_predictions / n_test, 6) AS coverage FROM q""",
+SELECT n_predictions, n_test, round_even((n_predictions / n_test) * 1e6, 0) / 1e6 AS coverage FROM q""",
     "bias_baseline": _with(R)
     + """, g AS (SELECT avg(rating) AS a FROM r), ub AS (SELECT u, avg(rating) - (SELECT a FROM g) AS x FROM r GROUP BY u),
 mb AS (SELECT m, avg(rating) - (SELECT a FROM g) AS y FROM r GROUP BY m)
-SELECT u AS user_id, m AS movie_id, round(x, 6) AS user_bias, round(y, 6) AS movie_bias,
-round(greatest(0.5, least(5.0, a + x + y)), 6) AS predicted_rating
+SELECT u AS user_id, m AS movie_id, round_even((x) * 1e6, 0) / 1e6 AS user_bias, round_even((y) * 1e6, 0) / 1e6 AS movie_bias,
+round_even((greatest(0.5, least(5.0, a + x + y))) * 1e6, 0) / 1e6 AS predicted_rating
 FROM (SELECT DISTINCT u, m FROM r) JOIN ub USING (u) JOIN mb USING (m), g""",
     "drift_ks": _with(R, M, FRAMES)
     + f""", v AS ({_ks_values()}),
@@ -289,16 +289,16 @@ k AS (SELECT col, max(abs(fr - fc)) AS ks, CAST(any_value(n1) AS BIGINT) AS n_re
 l AS (SELECT *, ks * sqrt(n_ref::DOUBLE * n_cur / (n_ref + n_cur)) AS lam FROM k),
 q AS (SELECT *, CASE WHEN lam < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * list_sum(list_transform(range(1, 101),
   lambda j: CASE WHEN j % 2 = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END * exp(-2.0::DOUBLE * j * j * lam * lam))))) END AS p FROM l)
-SELECT col AS "column", round(ks, 6) AS ks, n_ref, n_cur, CAST(round(p, 6) AS DOUBLE) AS p_value, p < 0.05 AS drift FROM q""",
+SELECT col AS "column", round_even((ks) * 1e6, 0) / 1e6 AS ks, n_ref, n_cur, CAST(round_even((p) * 1e6, 0) / 1e6 AS DOUBLE) AS p_value, p < 0.05 AS drift FROM q""",
     "drift_chi2": _with(R, M, FRAMES)
     + """, v AS (SELECT 'genres' AS col, genres AS x, b FROM f UNION ALL SELECT 'title', title, b FROM f),
 d AS (SELECT col, x, count(*) FILTER (b <= 3) AS nr, count(*) FILTER (b > 3) AS nc FROM v GROUP BY col, x),
 z AS (SELECT col, sum(nr)::DOUBLE AS r, sum(nc)::DOUBLE AS c, count(*) - 1 AS dof FROM d GROUP BY col),
 e AS (SELECT col, dof, nr, nc, (nr + nc) * r / (r + c) AS er, (nr + nc) * c / (r + c) AS ec FROM d JOIN z USING (col))
-SELECT col AS "column", round(sum((nr - er) * (nr - er) / er + (nc - ec) * (nc - ec) / ec), 6) AS chi2,
+SELECT col AS "column", round_even((sum((nr - er) * (nr - er) / er + (nc - ec) * (nc - ec) / ec)) * 1e6, 0) / 1e6 AS chi2,
 any_value(dof) AS dof FROM e GROUP BY col""",
     "run_log": _crc(RUNS)
-    + "SELECT run_id, n_train, n_eval, round(global_mean, 6) AS global_mean, metric AS rmse FROM runs",
+    + "SELECT run_id, n_train, n_eval, round_even((global_mean) * 1e6, 0) / 1e6 AS global_mean, metric AS rmse FROM runs",
     "promotion_decisions": _crc(RUNS) + "SELECT run_id, metric AS candidate, champion, promoted FROM decided",
     "alias_resolution": _crc(RUNS) + "SELECT alias, version FROM aliases",
     "latest_version_of_run": _crc(RUNS) + "SELECT run_id, max(version) AS version FROM runs GROUP BY run_id",

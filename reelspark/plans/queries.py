@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from reelspark import constants as C
-from reelspark.functions.scalar import file_stem, in_user_sample, is_holdout
+from reelspark.functions.scalar import file_stem, in_user_sample, is_holdout, round_binary
 from reelspark.operators import drift, evaluate, factorise, ingest, model, popular, profile, recommend, registry, sampling
 from reelspark.session import materialise, shared_folder
 from reelspark.sources import files, tables
@@ -28,7 +28,7 @@ def register(query: Query) -> Query:
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({name: F.round(name, digits) for name in columns})
+    return df.withColumns({name: round_binary(F.col(name), digits) for name in columns})
 
 
 def renamed(df: DataFrame) -> DataFrame:
@@ -536,7 +536,7 @@ def predict_with_bias(spark, sf):
     ratings, trained = _trained(spark, sf)
     pairs = sampling.holdout_rows(ratings, base=1).select("userId", "movieId")
     scored = model.predict_with_bias(pairs, ratings, tables.movies(spark, sf), trained)
-    parts = [F.round(F.col("components")[p], 6).alias(p) for p in ("user_bias", "movie_bias", "svd_component")]
+    parts = [round_binary(F.col("components")[p], 6).alias(p) for p in ("user_bias", "movie_bias", "svd_component")]
     return rounded(scored, "predicted_rating").select("*", *parts).drop("components")
 
 
@@ -652,7 +652,7 @@ def _runs(spark, sf):
     squared = F.col("hq") - 2 * mean * F.col("hs") + F.col("hn") * mean * mean
     return sums.select(
         "name", "version", "run_id", F.col("n").alias("n_train"), F.col("hn").alias("n_eval"), mean.alias("global_mean"),
-        F.when(F.col("hn") > 0, F.round(F.sqrt(squared / F.col("hn")), 6)).alias("metric"),
+        F.when(F.col("hn") > 0, round_binary(F.sqrt(squared / F.col("hn")), 6)).alias("metric"),
     )
 
 

@@ -1,6 +1,7 @@
+import numpy as np
 from pyspark.sql import functions as F
 
-from reelspark.functions.scalar import clip, dot, file_stem, in_user_sample, is_holdout
+from reelspark.functions.scalar import clip, dot, file_stem, in_user_sample, is_holdout, round_binary, round_exact
 from reelspark.operators.sampling import holdout_rows, train_rows
 
 
@@ -38,3 +39,11 @@ def test_clip_dot_stem_and_sample(spark):
         in_user_sample().alias("i"),
     ).collect()
     assert [tuple(r) for r in rows] == [(5.0, 11.0, "ratings_batch_003", True), (0.5, 1.0, "x.tar", False)]
+
+
+def test_rounding_like_numpy_and_python(spark):
+    values = [2.175, 2.125, 2.675, 2.325, 1.005, 4.0, 0.5, *(s / 2 / n for n in range(1, 41) for s in range(1, 10 * n, 7))]
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i INT, v DOUBLE")
+    rows = df.select("i", round_binary(F.col("v"), 2).alias("b"), round_exact(F.col("v"), 2).alias("e")).orderBy("i").collect()
+    assert [r["b"] for r in rows] == list(np.round(values, 2))
+    assert [r["e"] for r in rows] == [round(v, 2) for v in values]
