@@ -109,8 +109,8 @@ def pivotal_round(open_items: DataFrame, id_type: str, seed: int = SEED) -> Data
 
     ``pos`` numbers the rows, sources in one run each. Level by level, 64 neighbours of a source
     fold into at most one open item, so a block is bounded whatever the source holds and levels
-    grow with the logarithm of the rows. Larger items meet first, which leaves a small one to the
-    last coin: a source's sum misses its target by less than one item.
+    grow with the logarithm of the rows. The one item a source has left without a partner goes to
+    the nearest whole number, so a source's sum misses its target by half an item at most.
     """
     kind = f"struct<order:bigint,pos:bigint,doc_id:{id_type},p:double>"
     items = open_items.select(
@@ -127,8 +127,8 @@ def pivotal_round(open_items: DataFrame, id_type: str, seed: int = SEED) -> Data
         items = state.where("state.left IS NOT NULL").select("source", F.col("state.left").alias("x"))
         if top >> bits == 0:
             break
-    coin = F.when(_uniform(F.col("x.pos"), F.lit(seed), F.lit("last")) < F.col("x.p"), 1).otherwise(0)
-    done = items.select("source", "x.doc_id", (-F.col("x.order")).alias("size"), coin.alias("rounded"))
+    nearest = F.when(F.col("x.p") >= 0.5, 1).otherwise(0)
+    done = items.select("source", "x.doc_id", (-F.col("x.order")).alias("size"), nearest.alias("rounded"))
     for part in parts:
         whole = part.select("source", "x.doc_id", (-F.col("x.order")).alias("size"), F.col("x.p").cast("int").alias("rounded"))
         done = done.unionByName(whole)
