@@ -18,6 +18,18 @@ def _passes(rule) -> str:
     return "(" + " AND ".join(bounds) + ")"
 
 
+ORACLE["op1_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 1
+            ELSE greatest(1, ceil(payload_bytes / 1048576.0))::BIGINT END AS chunks
+FROM q
+"""
+
 ORACLE["op6_quality_rules"] = rf"""
 WITH numbered AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 texts AS (
@@ -42,3 +54,23 @@ judged AS (
   FROM counted)
 SELECT *, NOT base_failed AND failed_rules = '' AS kept FROM judged
 """
+
+ORACLE["op10_jaccard_join"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 1))) AS i FROM texts WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+reach AS (SELECT doc_id AS node, doc_id AS other FROM documents
+          UNION SELECT node, b FROM reach JOIN links ON a = other),
+parts AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT t.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM texts t LEFT JOIN sizes USING (doc_id) JOIN parts ON node = t.doc_id
+"""
