@@ -18,15 +18,15 @@ from reelspark.session import materialise
 
 SHARD_HOME = 250
 SHARD_MOST = 1_500
-MARGIN = 0.12
+MARGIN = 0.1
 SAMPLE = 32_768
 CENTRES = 512
 LEVELS = 4
 CHUNK = 4_096
-DEGREE = 16
-POOL = 48
+DEGREE = 12
+POOL = 32
 ALPHA = 1.2
-BEAM = 32
+BEAM = 16
 RECALL = 0.98
 AUDIT_EVERY = 50
 
@@ -118,9 +118,9 @@ def _tasks(shards: DataFrame) -> DataFrame:
 def _build(frame: pd.DataFrame) -> pd.DataFrame:
     ordered = frame.sort_values("cid")
     cids = ordered["cid"].to_numpy()
-    graph = graphs.robust_prune(_matrix(ordered["unit"]), DEGREE, POOL, ALPHA)
-    neighbours = [cids[row[row >= 0]] for row in graph]
-    return pd.DataFrame({"cid": cids, "neighbours": neighbours})
+    source, target = graphs.robust_prune(_matrix(ordered["unit"]), DEGREE, POOL, ALPHA)
+    lists = np.split(cids[target], np.searchsorted(source, np.arange(1, len(cids))))
+    return pd.DataFrame({"cid": cids, "neighbours": lists})
 
 
 def _first_common(shards: np.ndarray, q: np.ndarray, node: np.ndarray, own: int) -> np.ndarray:
@@ -137,12 +137,12 @@ def _searcher(least: float):
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         ordered = frame.sort_values("cid")
         cids, units = ordered["cid"].to_numpy(), _matrix(ordered["unit"])
-        lists = [np.unique(x) for x in ordered["neighbours"]]
-        known = [np.searchsorted(cids, x) for x in lists]
-        known = [at[cids[np.minimum(at, len(cids) - 1)] == x] for at, x in zip(known, lists, strict=True)]
-        graph = np.full((len(cids), max(1, max(map(len, known)))), -1, np.int64)
-        for i, at in enumerate(known):
-            graph[i, : len(at)] = at
+        lists = ordered["neighbours"].tolist()
+        target = np.concatenate(lists)
+        source = np.repeat(np.arange(len(cids)), [len(x) for x in lists])
+        at = np.minimum(np.searchsorted(cids, target), len(cids) - 1)
+        here = cids[at] == target
+        graph = graphs.Graph(len(cids), source[here], at[here])
         q, node = graphs.audited_search(units, graph, least, BEAM, RECALL, AUDIT_EVERY)
         # Both directions of a pair count, whichever search met it.
         n = len(cids)

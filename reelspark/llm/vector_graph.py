@@ -6,6 +6,7 @@ import numpy as np
 
 _QUERY_ROWS = 256
 _PAIR_ROWS = 200_000
+_AT_ONCE = 4
 
 
 def kmeans(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
@@ -20,44 +21,65 @@ def kmeans(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     return np.unique(centres, axis=0)
 
 
-def robust_prune(units: np.ndarray, degree: int, pool: int, alpha: float) -> np.ndarray:
-    """Out-neighbours of each vector (padded with -1).
+def robust_prune(units: np.ndarray, degree: int, pool: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (node, neighbour) of a pruned graph, each in both directions.
 
     From its nearest ``pool`` vectors a node takes the nearest, drops those that are closer to
-    the one taken than to itself by the factor ``alpha``, and goes on with the rest.
+    the one taken than to itself by the factor ``alpha``, and goes on with the rest. Reverse edges
+    keep the outer nodes of a dense clump within reach of its centre.
     """
     n = len(units)
     pool = min(pool, n - 1)
-    graph = np.full((n, degree), -1, np.int64)
-    for start in range(0, n, _QUERY_ROWS):
+    sources, targets = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for start in range(0, n if pool else 0, _QUERY_ROWS):
         sims = units[start : start + _QUERY_ROWS] @ units.T
         rows = np.arange(len(sims))
         sims[rows, start + rows] = -np.inf
-        near = np.argpartition(-sims, pool - 1, axis=1)[:, :pool] if pool else np.empty((len(sims), 0), np.int64)
+        near = np.argpartition(-sims, pool - 1, axis=1)[:, :pool]
         near = np.take_along_axis(near, np.argsort(-np.take_along_axis(sims, near, 1), axis=1, kind="stable"), 1)
         far = 1 - np.take_along_axis(sims, near, 1)
-        among = 1 - np.einsum("qid,qjd->qij", units[near], units[near])
+        among = 1 - np.matmul(units[near], units[near].transpose(0, 2, 1))
         alive = np.ones(near.shape, bool)
-        for slot in range(min(degree, pool)):
+        for _ in range(min(degree, pool)):
             has = alive.any(axis=1)
             if not has.any():
                 break
             pick = np.argmax(alive, axis=1)
-            graph[start + rows[has], slot] = near[rows[has], pick[has]]
+            sources.append(start + rows[has])
+            targets.append(near[rows[has], pick[has]])
             alive &= ~(alpha * among[rows, pick] <= far)
             alive[rows, pick] = False
-    return graph
+    one, other = np.concatenate(sources), np.concatenate(targets)
+    pairs = np.unique(np.concatenate([one * n + other, other * n + one]))
+    return pairs // max(n, 1), pairs % max(n, 1)
+
+
+class Graph:
+    """Adjacency lists one behind the other."""
+
+    def __init__(self, n: int, source: np.ndarray, target: np.ndarray) -> None:
+        order = np.argsort(source, kind="stable")
+        self._target = target[order]
+        self._start = np.searchsorted(source[order], np.arange(n + 1))
+
+    def neighbours(self, owner: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(owner, neighbour) for all neighbours of each node."""
+        count = self._start[node + 1] - self._start[node]
+        skip = np.cumsum(count) - count
+        at = np.arange(count.sum()) + np.repeat(self._start[node] - skip, count)
+        return np.repeat(owner, count), self._target[at]
 
 
 def medoid(units: np.ndarray) -> int:
     return int(np.argmax(units @ units.sum(axis=0)))
 
 
-def range_search(units: np.ndarray, graph: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+def range_search(units: np.ndarray, graph: Graph, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, node) with cosine ``least`` or more that a search over ``graph`` meets.
 
     Every vector is a query. Greedy search starts at the medoid and at the query's own node and
-    keeps the best ``beam`` nodes; then every node in range is expanded until none is new.
+    expands until the best ``beam`` nodes are done; then every node in range is expanded until
+    none is new.
     """
     n = len(units)
     entry = medoid(units)
@@ -70,18 +92,18 @@ def range_search(units: np.ndarray, graph: np.ndarray, least: float, beam: int)
     return np.concatenate(queries), np.concatenate(nodes)
 
 
-def _search(units, graph, mine, entry, least, beam):
+def _search(
+    units: np.ndarray, graph: Graph, mine: np.ndarray, entry: int, least: float, beam: int
+) -> tuple[np.ndarray, np.ndarray]:
     count, n = len(mine), len(units)
-    seen = np.zeros((count, n), bool)
     done = np.zeros((count, n), bool)
-    near = np.full((count, n), -np.inf)
+    near = np.full((count, n), -np.inf)  # -inf: not seen
     rows = np.arange(count)
 
     def visit(q: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        new = (node >= 0) & ~seen[q, node]
+        new = np.isneginf(near[q, node])
         flat = np.unique(q[new] * n + node[new])
         q, node = flat // n, flat % n
-        seen[q, node] = True
         for at in range(0, len(q), _PAIR_ROWS):
             part = slice(at, at + _PAIR_ROWS)
             near[q[part], node[part]] = np.einsum("pd,pd->p", units[mine[q[part]]], units[node[part]])
@@ -93,23 +115,24 @@ def _search(units, graph, mine, entry, least, beam):
         top = np.argpartition(-near[active], beam - 1, axis=1)[:, :beam]
         held = np.take_along_axis(near[active], top, 1)
         held[np.take_along_axis(done[active], top, 1)] = -np.inf
-        best = np.argmax(held, axis=1)
-        going = np.isfinite(held[np.arange(len(active)), best])
-        q, node = active[going], top[np.arange(len(active)), best][going]
+        best = np.argsort(-held, axis=1)[:, :_AT_ONCE]
+        going = np.isfinite(np.take_along_axis(held, best, 1))
+        owner, slot = np.nonzero(going)
+        q, node = active[owner], top[owner, best[owner, slot]]
         done[q, node] = True
-        visit(np.repeat(q, graph.shape[1]), graph[node].ravel())
-        active = q
+        visit(*graph.neighbours(q, node))
+        active = active[going.any(axis=1)]
     q, node = np.nonzero((near >= least) & ~done)
     while len(q):
         done[q, node] = True
-        q, node = visit(np.repeat(q, graph.shape[1]), graph[node].ravel())
+        q, node = visit(*graph.neighbours(q, node))
         keep = near[q, node] >= least
         q, node = q[keep], node[keep]
     return np.nonzero(near >= least)
 
 
 def audited_search(
-    units: np.ndarray, graph: np.ndarray, least: float, beam: int, recall: float, every: int
+    units: np.ndarray, graph: Graph, least: float, beam: int, recall: float, every: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """``range_search`` checked against all vectors for each ``every``-th query; the beam doubles
     until the audited recall is met (at the full width the search is exhaustive)."""
