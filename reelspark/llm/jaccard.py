@@ -6,8 +6,10 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reelspark.llm.components import connected_components
 from reelspark.llm.shingles import WordHasher, shingle_set, text_words
@@ -16,8 +18,10 @@ from reelspark.session import broadcast_if_small, materialise
 
 HEAVY_ROWS = 32
 HEAVY_TOKENS = 1 << 20
+SMALL_LIST = 16
+CENTRES = 12
+BLOCK = 512
 _CELL_SHARE = 64
-_MOST_CELLS = 1 << 14
 
 
 def _prefix_length(n: int, pct: int) -> int:
@@ -35,19 +39,28 @@ def _ordered(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
 
 def _cell_counts(tokens: np.ndarray) -> np.ndarray:
     """Tokens per cell of the digest space; the number of cells, a power of two, grows with the set."""
-    cells = min(_MOST_CELLS, max(64, 1 << int(len(tokens) // _CELL_SHARE).bit_length()))
+    cells = max(64, 1 << int(len(tokens) // _CELL_SHARE).bit_length())
     place = (tokens.view(np.uint64) >> np.uint64(64 - (cells.bit_length() - 1))).astype(np.int64)
-    return np.bincount(place, minlength=cells).astype(np.uint32)
-
-
-def _least_difference(a: np.ndarray, b: np.ndarray) -> int:
-    """Tokens that at least differ between two sets, from their cell counts."""
-    cells = min(len(a), len(b))
-    fold = lambda x: x.reshape(cells, -1).sum(axis=1).astype(np.int64)
-    return int(np.abs(fold(a) - fold(b)).sum())
-
-
-def _similar(common: int, n_a: int, n_b: int, pct: int) -> bool:
+    return np.minimum(np.bincount(place, minlength=cells), 65_535).astype(np.uint16)
+
+
+def _least_differences(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Tokens that at least differ between two sets of each row, from their cell counts."""
+    width_a, width_b = (pc.binary_length(x).to_numpy(zero_copy_only=False) for x in (left, right))
+    least = np.empty(len(left), np.int64)
+    for wide in np.unique(np.stack([width_a, width_b]), axis=1).T:
+        rows = np.flatnonzero((width_a == wide[0]) & (width_b == wide[1]))
+        cells = int(wide.min()) // 2
+        parts = []
+        for column in (left, right):
+            packed = b"".join(column.take(pa.array(rows)).to_pylist())
+            parts.append(np.frombuffer(packed, np.uint16).reshape(len(rows), cells, -1).sum(axis=2, dtype=np.int64))
+        least[rows] = np.abs(parts[0] - parts[1]).sum(axis=1)
+    return least
+
+
+def _similar(common, n_a, n_b, pct: int):
+    """Numbers or arrays of them."""
     return 100 * common >= pct * (n_a + n_b - common)
 
 
@@ -150,13 +163,10 @@ def _filtered(pairs: DataFrame, pct: int) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            sizes = zip(batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist(), strict=True)
-            for (n_a, n_b), left, right in zip(sizes, batch.column("cells_a"), batch.column("cells_b"), strict=True):
-                a, b = np.frombuffer(left.as_buffer(), np.uint32), np.frombuffer(right.as_buffer(), np.uint32)
-                # |a & b| = (|a| + |b| - |a ^ b|) / 2
-                keep.append(_similar((n_a + n_b - _least_difference(a, b)) // 2, n_a, n_b, pct))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            n_a, n_b = (batch.column(name).to_numpy() for name in ("n_a", "n_b"))
+            differ = _least_differences(batch.column("cells_a"), batch.column("cells_b"))
+            # |a & b| = (|a| + |b| - |a ^ b|) / 2
+            yield batch.select(["a", "b"]).filter(pa.array(_similar((n_a + n_b - differ) // 2, n_a, n_b, pct)))
 
     fits = (100 * F.least("n_a", "n_b") >= pct * F.greatest("n_a", "n_b")) & (F.col("a") != F.col("b"))
     kept = pairs.where(fits).select("a", "b", "n_a", "n_b", "cells_a", "cells_b").mapInArrow(check, "a binary, b binary")
@@ -169,6 +179,80 @@ def _sides(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return joined.withColumnsRenamed({"class_a": "a", "class_b": "b"})
 
 
+def _reaches(pct: int) -> Column:
+    """Whether a pair can be similar if this token is its first in common: what follows it in both
+    sets must be enough. A similar pair passes at its first common token."""
+    most = 1 + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1
+    return (100 + pct) * most >= pct * (F.col("n_a") + F.col("n_b"))
+
+
+def _fold(column: pd.Series, cells: int) -> np.ndarray:
+    return np.stack([np.frombuffer(x, np.uint16).reshape(cells, -1).sum(axis=1) for x in column]).astype(np.int32)
+
+
+def _across_components(lists: DataFrame, pct: int) -> DataFrame:
+    """Distinct pairs (a, b) of a list that are in different components and may be similar.
+
+    Rows of a size step meet those of the step and the one above, in pairs of blocks of bounded
+    size, so a list of any length is spread over tasks and only what passes all filters comes out.
+    """
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        low, high = frame["low"].iloc[0], frame["high"].iloc[0]
+        cells = _fold(frame["cells"], frame["cells"].str.len().min() // 2)
+        n, pos, block = (frame[name].to_numpy() for name in ("n", "pos", "block"))
+        names, component, home = frame["class"].to_numpy(), pd.factorize(frame["component"])[0], frame["home"].to_numpy()
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        found_a, found_b = [], []
+        for i in left:
+            j = right[(component[right] != component[i]) & (home[right] | home[i])]
+            if low == high:
+                j = j[j > i]
+            after = np.minimum(n[i] - pos[i], n[j] - pos[j])
+            j = j[((100 + pct) * after >= pct * (n[i] + n[j])) & (100 * np.minimum(n[i], n[j]) >= pct * np.maximum(n[i], n[j]))]
+            differ = np.abs(cells[j] - cells[i]).sum(axis=1)
+            j = j[_similar((n[i] + n[j] - differ) // 2, n[i], n[j], pct)]
+            found_a.extend([names[i]] * len(j))
+            found_b.extend(names[j])
+        return pd.DataFrame({"a": found_a, "b": found_b})
+
+    own = ["class", "n", "pos", "cells", "component"]
+    group = F.explode(F.array("step", F.col("step") - 1)).alias("group")
+    placed = lists.select("token", group, "step", *own).withColumn("home", F.expr("group = step")).drop("step")
+    sized = placed.groupBy("token", "group").agg(F.count(F.lit(1)).alias("size"), F.max("home").alias("homes")).where("homes")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = placed.join(sized, ["token", "group"]).withColumn("blocks", blocks)
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    paired = paired.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    tasks = paired.select("token", "group", "low", "high", "block", "home", *own).groupBy("token", "group", "low", "high")
+    pairs = tasks.applyInPandas(compare, "a binary, b binary")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _candidates(lists: DataFrame, turn: int, pct: int) -> DataFrame:
+    """Pairs within the token lists (token, step, class, n, pos, cells, component, rows).
+
+    All pairs of a small list; in a larger one each row with the centres of its size step and the
+    one above, drawn by digest anew for each token and turn. Either way a row meets a bounded
+    number of others.
+    """
+    own = ["class", "n", "pos", "cells", "component"]
+    small, large = lists.where(F.col("rows") <= SMALL_LIST), lists.where(F.col("rows") > SMALL_LIST)
+    every = _sides(small.select("token", *own), small.select("token", *own), ["token"])
+    draws = [F.min_by(F.struct(*own), F.xxhash64("class", "token", F.lit(turn), F.lit(k))) for k in range(CENTRES)]
+    centre = large.groupBy("token", "step").agg(F.array_distinct(F.array(*draws)).alias("cs"))
+    centre = centre.select("token", "step", F.explode("cs").alias("c")).select("token", "step", "c.*")
+    reach = large.select("token", F.explode(F.array("step", F.col("step") + 1)).alias("step"), *own)
+    return every.where("a < b").where(_reaches(pct)).unionByName(_sides(reach, centre, ["token", "step"]).drop("step"))
+
+
+def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
+    found = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    joined = classes.join(found.withColumnRenamed("node", "class"), "class", "left")
+    return materialise(joined.withColumn("component", F.coalesce("component", "class")))
+
+
 def similar_documents(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, pct: int = 80
 ) -> DataFrame:
@@ -182,11 +266,12 @@ def similar_documents(
 
     1. Equal sets are one class. Classes of equal prefix and size are one bundle. Prefixes follow
        an order in which shingles frequent in prefixes, counted over all documents, come last.
-    2. Bundles that share a prefix token and fit in size are compared through one bundle per
-       token and size step, members of a bundle through one member: as many pairs as rows.
-    3. Verified links join classes to components; what a token's list then still holds in
-       different components is compared pair by pair, which makes the result exact without the
-       pairs inside a group of near copies.
+    2. Bundles that share a prefix token are compared: all pairs in a short list, through centres
+       in a long one, and the members of a bundle through one of them.
+    3. Verified links join classes to components. Lists that are not settled and still span
+       several components are expanded to members and compared through other centres, then pair
+       by pair across components, which makes the result exact without the pairs inside a group
+       of near copies.
     Cell counts (how many tokens fall in each part of the digest space) bound the difference of
     two sets from below and remove nearly all false pairs before any full set is moved.
     """
@@ -201,39 +286,46 @@ def similar_documents(
         .groupBy("class")
         .agg(F.min("doc_id").alias("first_id"), first("n"), first("bundle"), first("prefix"), first("cells"))
     )
+    member = classes.select("bundle", "class", "n", "cells")
     # One member stands for its bundle.
-    heads = classes.groupBy("bundle").agg(F.min_by(F.struct("class", "n", "cells", "prefix"), "class").alias("h"))
-    heads = heads.select("bundle", "h.*")
+    heads = classes.groupBy("bundle").agg(
+        F.min_by(F.struct("class", "n", "cells", "prefix"), "class").alias("h"), F.count(F.lit(1)).alias("members")
+    )
+    heads = materialise(heads.select("bundle", "members", "h.*"))
     step = F.floor(F.log(F.col("n")) / np.log(100 / pct)).cast("int").alias("step")
-    token = F.explode("prefix").alias("token")
-    postings = heads.select(token, step, "bundle", "class", "n", "cells")
-    shared = postings.select("token").groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("token")
-    shared = materialise(postings.join(shared, "token"))
-
-    centre = shared.groupBy("token", "step").agg(F.min_by(F.struct("class", "n", "cells"), "class").alias("c"))
-    centre = centre.select("token", "step", "c.*")
-    reach = shared.select("token", F.explode(F.array("step", F.col("step") + 1)).alias("step"), "class", "n", "cells")
-    across = _sides(reach, centre, ["token", "step"])
-    member = classes.select("bundle", "class", "n", "cells")
-    inside = _sides(member, heads.select("bundle", "class", "n", "cells"), ["bundle"])
+    postings = heads.select(F.posexplode("prefix").alias("pos", "token"), "bundle")
+    lengths = postings.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    shared = materialise(postings.join(lengths, "token"))
     columns = ["a", "b", "n_a", "n_b", "cells_a", "cells_b"]
-    links = _verified(_filtered(across.select(*columns).unionByName(inside.select(*columns)), pct), classes, docs, size, pct)
 
-    found = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    named = member.join(found.withColumnRenamed("node", "class"), "class", "left")
-    named = materialise(named.withColumn("component", F.coalesce("component", "class")))
-    # Token lists at class level, only those that still span several components.
-    lists = shared.select("token", "bundle").join(named, "bundle").select("token", "class", "n", "cells", "component")
-    own = named.select(F.xxhash64("bundle").alias("token"), "class", "n", "cells", "component")
-    lists = lists.unionByName(own)
-    mixed = lists.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_lists = materialise(lists.join(mixed.select("token"), "token"))
-    both = _sides(open_lists, open_lists, ["token"]).where("component_a < component_b")
-    more = _verified(_filtered(both.select(*columns), pct), classes, docs, size, pct)
-    merged = found.select(F.col("component").alias("u"), F.col("node").alias("v")).unionByName(
-        more.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    )
-    final = connected_components(merged)
+    lists = shared.join(heads.select("bundle", "class", "n", "cells", "members"), "bundle").withColumn("step", step)
+    lists = materialise(lists.withColumn("component", F.col("class")))
+    inside = _sides(member, heads.select("bundle", "class", "n", "cells"), ["bundle"])
+    pairs = _candidates(lists.drop("bundle", "members"), 0, pct).select(*columns).unionByName(inside.select(*columns))
+    links = _verified(_filtered(pairs, pct), classes, docs, size, pct)
+    # Settled: short lists of bundles with one member. A bundle with more is a list of its own.
+    unsettled = lists.groupBy("token").agg(F.max("rows").alias("rows"), F.max("members").alias("members"))
+    unsettled = unsettled.where((F.col("rows") > SMALL_LIST) | (F.col("members") > 1)).select("token")
+    several = heads.where("members > 1").select(F.xxhash64("bundle").alias("token"), F.lit(0).alias("pos"), "bundle")
+    left = materialise(shared.select("token", "pos", "bundle").join(unsettled, "token").unionByName(several))
+    for turn in (1, 2):
+        if left.isEmpty():
+            break
+        named = _components(member, links)
+        expanded = left.join(named, "bundle").withColumn("step", step)
+        mixed = expanded.groupBy("token").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows")
+        )
+        mixed = mixed.where("lo < hi").where(F.col("rows") > (0 if turn == 1 else SMALL_LIST))
+        lists = materialise(expanded.join(mixed.select("token", "rows"), "token").drop("bundle"))
+        if turn == 1:
+            pairs = _candidates(lists, turn, pct).where("component_a <> component_b")
+            pairs = _filtered(pairs.select(*columns), pct)
+        else:
+            pairs = _across_components(lists, pct)
+        kept = named.where(F.col("component") != F.col("class")).select(F.col("component").alias("a"), F.col("class").alias("b"))
+        links = kept.unionByName(_verified(pairs, classes, docs, size, pct))
+    final = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     per_class = classes.select("class", "first_id").join(final.withColumnRenamed("node", "class"), "class", "left")
     per_class = per_class.withColumn("component", F.coalesce("component", "class"))
