@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelspark.llm import embeddings, jaccard, mixing, quality_rules, sharding, warc
+from reelspark.llm import embeddings, jaccard, mixing, quality_rules, sentencepiece, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +51,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+@_query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = sentencepiece.decode(sentencepiece.encode(docs))
+    whole = F.col("decoded").eqNullSafe(F.translate("text", sentencepiece.SPACE, " "))
+    return decoded.select("doc_id", "n_tokens", "token_ids", whole.alias("round_trip"))
