@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelspark.llm import embeddings, jaccard, mixing, quality_rules, sentencepiece, sharding, warc
+from reelspark.llm import embeddings, jaccard, line_dedup, mixing, quality_rules, sentencepiece, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,3 +59,9 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = sentencepiece.decode(sentencepiece.encode(docs))
     whole = F.col("decoded").eqNullSafe(F.translate("text", sentencepiece.SPACE, " "))
     return decoded.select("doc_id", "n_tokens", "token_ids", whole.alias("round_trip"))
+
+
+@_query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
