@@ -18,7 +18,7 @@ from reelspark.session import broadcast_if_small, materialise
 
 HEAVY_ROWS = 32
 HEAVY_TOKENS = 1 << 20
-SMALL_LIST = 16
+SMALL_LIST = 64
 CENTRES = 12
 BLOCK = 512
 _CELL_SHARE = 64
@@ -41,7 +41,7 @@ def _cell_counts(tokens: np.ndarray) -> np.ndarray:
     """Tokens per cell of the digest space; the number of cells, a power of two, grows with the set."""
     cells = max(64, 1 << int(len(tokens) // _CELL_SHARE).bit_length())
     place = (tokens.view(np.uint64) >> np.uint64(64 - (cells.bit_length() - 1))).astype(np.int64)
-    return np.minimum(np.bincount(place, minlength=cells), 65_535).astype(np.uint16)
+    return np.minimum(np.bincount(place, minlength=cells), 255).astype(np.uint8)
 
 
 def _least_differences(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -50,11 +50,11 @@ def _least_differences(left: pa.Array, right: pa.Array) -> np.ndarray:
     least = np.empty(len(left), np.int64)
     for wide in np.unique(np.stack([width_a, width_b]), axis=1).T:
         rows = np.flatnonzero((width_a == wide[0]) & (width_b == wide[1]))
-        cells = int(wide.min()) // 2
+        cells = int(wide.min())
         parts = []
         for column in (left, right):
             packed = b"".join(column.take(pa.array(rows)).to_pylist())
-            parts.append(np.frombuffer(packed, np.uint16).reshape(len(rows), cells, -1).sum(axis=2, dtype=np.int64))
+            parts.append(np.frombuffer(packed, np.uint8).reshape(len(rows), cells, -1).sum(axis=2, dtype=np.int64))
         least[rows] = np.abs(parts[0] - parts[1]).sum(axis=1)
     return least
 
@@ -64,11 +64,12 @@ def _similar(common, n_a, n_b, pct: int):
     return 100 * common >= pct * (n_a + n_b - common)
 
 
-def _heavy_tokens(docs: DataFrame, size: int, pct: int, heavy: np.ndarray) -> np.ndarray:
-    """The tokens found in the prefixes of more than 32 documents, over all documents.
+def _heavy_tokens(docs: DataFrame, size: int, pct: int) -> np.ndarray:
+    """The tokens found near the front of more than 32 documents, over all documents.
 
-    Any set may stand last in the global order and results stay exact, so the bound on its
-    size (the 2^20 most frequent) decides speed alone.
+    Twice the length of a prefix is counted, as putting some tokens last brings others forward.
+    Any set may stand last in the global order and results stay exact, so the bound on its size
+    (the 2^20 most frequent) decides speed alone.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,12 +78,12 @@ def _heavy_tokens(docs: DataFrame, size: int, pct: int, heavy: np.ndarray) -> np
             found = [np.empty(0, np.int64)]
             for words in text_words(batch.column("text"), hasher):
                 tokens = shingle_set(words, size)
-                found.append(_ordered(tokens, heavy)[: _prefix_length(len(tokens), pct) if len(tokens) else 0])
+                found.append(tokens[: 2 * _prefix_length(len(tokens), pct) if len(tokens) else 0])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["token"])
 
     counts = docs.select("text").mapInArrow(emit, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     top = counts.where(F.col("n") > HEAVY_ROWS).orderBy(F.desc("n"), "token").limit(HEAVY_TOKENS)
-    return np.unique(np.concatenate([heavy, top.select("token").toArrow()["token"].to_numpy()]))[-HEAVY_TOKENS:]
+    return np.sort(top.select("token").toArrow()["token"].to_numpy())
 
 
 _SKETCH = "doc_id {}, n long, class binary, bundle binary, prefix array<bigint>, cells binary"
@@ -132,8 +133,11 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["_id", "class", "tokens"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    made = docs.mapInArrow(emit, f"_id {id_type}, class binary, tokens binary")
     few = broadcast_if_small(wanted, wanted.count(), 64)
+    # Where the wanted ids can be broadcast, only their texts are hashed again.
+    ids = few.select(F.col("first_id").alias("_first"))
+    source = docs if few is wanted else docs.join(F.broadcast(ids), docs["doc_id"].eqNullSafe(ids["_first"]), "left_semi")
+    made = source.mapInArrow(emit, f"_id {id_type}, class binary, tokens binary")
     one = made.join(few, "class").where(F.col("_id").eqNullSafe(F.col("first_id")))
     return materialise(one.select("class", "tokens").dropDuplicates(["class"]))
 
@@ -187,7 +191,7 @@ def _reaches(pct: int) -> Column:
 
 
 def _fold(column: pd.Series, cells: int) -> np.ndarray:
-    return np.stack([np.frombuffer(x, np.uint16).reshape(cells, -1).sum(axis=1) for x in column]).astype(np.int32)
+    return np.stack([np.frombuffer(x, np.uint8).reshape(cells, -1).sum(axis=1) for x in column]).astype(np.int32)
 
 
 def _across_components(lists: DataFrame, pct: int) -> DataFrame:
@@ -199,7 +203,7 @@ def _across_components(lists: DataFrame, pct: int) -> DataFrame:
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         low, high = frame["low"].iloc[0], frame["high"].iloc[0]
-        cells = _fold(frame["cells"], frame["cells"].str.len().min() // 2)
+        cells = _fold(frame["cells"], frame["cells"].str.len().min())
         n, pos, block = (frame[name].to_numpy() for name in ("n", "pos", "block"))
         names, component, home = frame["class"].to_numpy(), pd.factorize(frame["component"])[0], frame["home"].to_numpy()
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
@@ -276,9 +280,7 @@ def similar_documents(
     two sets from below and remove nearly all false pairs before any full set is moved.
     """
     docs = only(df, doc_id=doc_id, text=text)
-    heavy = np.empty(0, np.int64)
-    for _ in range(2):
-        heavy = _heavy_tokens(docs, size, pct, heavy)
+    heavy = _heavy_tokens(docs, size, pct)
     rows = materialise(_sketches(docs, size, pct, heavy))
     first = lambda name: F.first(name).alias(name)
     classes = materialise(

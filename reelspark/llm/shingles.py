@@ -24,18 +24,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_PLAIN = np.where(_IS_SPACE, np.uint64(0), mix(np.arange(1, 257, dtype=np.uint64)))
+_LOWER = _PLAIN.copy()
+_LOWER[65:91] = _PLAIN[97:123]
 
 
 class WordHasher:
     """Digests of the words of UTF-8 bytes; equal words have equal digests wherever they stand."""
 
     def __init__(self, lower: bool = True) -> None:
-        self._lower = lower
+        self._values = _LOWER if lower else _PLAIN
         self._powers = self._inverses = np.empty(0, np.uint64)
 
     def _reach(self, n: int) -> None:
@@ -53,16 +53,16 @@ class WordHasher:
             return np.empty(0, np.int64), np.empty(0, np.uint64)
         self._reach(n + 1)
         space = _IS_SPACE[data]
-        edge = np.zeros(n + 1, bool)
+        edge = np.empty(n + 1, bool)
+        edge[0] = True
+        edge[1:] = space
         edge[cuts] = True
-        edge[0] = edge[n] = True
-        before = np.concatenate([[True], space[:-1]]) | edge[:-1]
-        after = np.concatenate([space[1:], [True]]) | edge[1:]
-        starts, ends = np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
-        values = _BYTE[_LOWER[data] if self._lower else data] * self._powers[:n]
-        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-        raw = (upto[ends] - upto[starts]) * self._inverses[starts]
-        return starts, mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        starts = np.flatnonzero(~space & edge[:-1])
+        if not len(starts):
+            return starts, np.empty(0, np.uint64)
+        # Blanks count as zero, so a word's sum may run on to the next word.
+        sums = np.add.reduceat(self._values[data] * self._powers[:n], starts)
+        return starts, mix(sums * self._inverses[starts])
 
 
 def _slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -119,6 +119,6 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     width = min(size, len(words))
     total = np.full(len(words) - width + 1, width, np.uint64)
     for k in range(width):
-        factor = np.uint64((_BASE * (2 * k + 3)) & _MASK)
-        total += mix(words[k : len(words) - width + 1 + k] * factor)
-    return np.unique(mix(total).view(np.int64))
+        total += words[k : len(words) - width + 1 + k] * np.uint64((_BASE * (2 * k + 3)) & _MASK)
+    ordered = np.sort(mix(total).view(np.int64))
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])]
