@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelspark.llm import embeddings, jaccard, line_dedup, mixing, quality_rules, sentencepiece, sharding, warc
+from reelspark.llm import embeddings, jaccard, line_dedup, mixing, quality_rules, sentencepiece, sharding, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +65,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs)
+
+
+@_query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
