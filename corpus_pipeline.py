@@ -2,13 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelspark.session import materialise
+from reelspark.llm import jaccard, line_dedup, mixing, sentencepiece, toxicity
+from reelspark.llm.text import count_words
+from reelspark.session import broadcast_if_small, materialise
 
-STAGES: list = []
+ID_BYTES = 32
 
-# No stage but the last could be told in SQL; tests hold the stages against brute force.
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the restored-text score does not call toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score_toxicity(docs, labels).where("predicted = 0").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of repeated line runs; ``n_chars`` follows the text.
+
+    A document of which no word is left was a copy throughout and goes.
+    """
+    deduped = line_dedup.dedup_lines(docs)
+    emptied = (F.col("n_deleted") > 0) & (count_words(F.col("text")) == 0)
+    left = deduped.where(~emptied)
+    changed = F.col("n_deleted") > 0
+    n_chars = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five-word shingles, similarity 0.8): the one
+    with the smallest doc_id.
+
+    A doc_id that repeats stays while any of its rows stays. Documents without doc_id cannot be
+    told apart and go only if their group has one with a doc_id.
+    """
+    found = jaccard.similar_documents(docs, size=5, pct=80)
+    stays = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = found.groupBy("doc_id").agg(stays.alias("stays")).where(~F.col("stays")).select(F.col("doc_id").alias("_gone"))
+    gone = materialise(gone)
+    gone = broadcast_if_small(gone, gone.count(), ID_BYTES)
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it. Rows that repeat doc_id and text are taken
+    equally often."""
+    key = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit("")))))
+    keyed = docs.withColumn("_key", key)
+    taken = mixing.mix(keyed, doc_id="_key").groupBy("doc_id").agg(F.floor(F.avg("copies")).cast("int").alias("_copies"))
+    taken = materialise(taken.where("_copies > 0").withColumnRenamed("doc_id", "_key"))
+    taken = broadcast_if_small(taken, taken.count(), 2 * ID_BYTES)
+    repeated = keyed.join(taken, "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return repeated.select(*docs.columns)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and whether decoding them gives the text back."""
+    decoded = sentencepiece.decode(sentencepiece.encode(docs))
+    whole = F.col("decoded").eqNullSafe(F.translate("text", sentencepiece.SPACE, " "))
+    return decoded.select("doc_id", "lang", "source", "n_tokens", "token_ids", whole.alias("round_trip"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("jaccard_join", drop_near_duplicates),
+    ("mix_sources", mix_sources),
+    ("sentencepiece", encode_pieces),
+]
+
+# Restoration, pivotal rounding and Viterbi paths cannot be told in SQL; tests hold the stages
+# against brute force.
 ORACLE_SQL = None
 
 

@@ -83,20 +83,17 @@ def _cover_step(acc: Column, start: Column) -> Column:
     return F.struct((acc["n"] + new).alias("n"), (start + WINDOW).alias("end"))
 
 
-def apply_rules(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", thresholds: Sequence[Threshold] = THRESHOLDS
-) -> DataFrame:
-    """One row per document: its counts, ``base_failed``, the rules it failed and ``kept``.
+def text_counts(df: DataFrame, text: str = "text") -> DataFrame:
+    """The other columns of ``df`` with the counts of ``text`` that rules and classifiers use.
 
-    Null and blank texts have no words and fail the base. Repeated rows give repeated results.
-    Columns other than the two named are ignored. An empty table gives no rows. A row is judged
-    by itself: nothing is shuffled.
+    Only projections: a row is counted by itself and nothing is shuffled. A null text counts as empty.
     """
-    plain = F.coalesce(F.col("text"), F.lit(""))
+    others = [name for name in df.columns if name != text]
+    plain = F.coalesce(F.col(text), F.lit(""))
     without = lambda chars: F.length(F.translate(plain, chars, ""))
-    base = only(df, doc_id=doc_id, text=text).select(
-        "doc_id",
-        words_of(F.col("text")).alias("words"),
+    base = df.select(
+        *others,
+        words_of(F.col(text)).alias("words"),
         F.filter(F.split(plain, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "").alias("lines"),
         without(SPACES).cast("bigint").alias("word_chars"),
         (F.length(plain) - without(SYMBOLS)).cast("bigint").alias("n_symbols"),
@@ -107,8 +104,8 @@ def apply_rules(
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     tagged = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     ordered = windows.withColumn("ordered", F.when(repeats, F.sort_array(tagged)))
-    counted = ordered.select(
-        "doc_id",
+    return ordered.select(
+        *others,
         F.size("words").cast("bigint").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -120,6 +117,17 @@ def apply_rules(
         F.size(F.filter("words", lambda w: w.isin(*dict.fromkeys(STOP_WORDS)))).cast("bigint").alias("n_stop_words"),
         F.size(F.filter("words", lambda w: w.endswith("!!"))).cast("bigint").alias("n_shouts"),
     )
+
+
+def apply_rules(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", thresholds: Sequence[Threshold] = THRESHOLDS
+) -> DataFrame:
+    """One row per document: its counts, ``base_failed``, the rules it failed and ``kept``.
+
+    Null and blank texts have no words and fail the base. Repeated rows give repeated results.
+    Columns other than the two named are ignored. An empty table gives no rows.
+    """
+    counted = text_counts(only(df, doc_id=doc_id, text=text))
     failed = F.filter(
         F.array(*[F.when(~rule.passes(), F.lit(rule.name)) for rule in thresholds]), lambda name: name.isNotNull()
     )

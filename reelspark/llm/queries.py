@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelspark.llm import embeddings, jaccard, line_dedup, mixing, quality_rules, sentencepiece, sharding, toxicity, warc
+from reelspark.llm import embeddings, jaccard, line_dedup, mixing, quality_rules, sentencepiece, sharding, site_quality, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +72,9 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score_toxicity(docs, _table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@_query
+def op2_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return site_quality.classify_quality(docs, labels, host="source", path="lang")
