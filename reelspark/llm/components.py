@@ -26,7 +26,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(lowest, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u < v").distinct()
-        large = materialise(large)
         down = large.select(F.col("v").alias("u"), F.col("u").alias("v"))
         smallest = down.groupBy("u").agg(F.min("v").alias("m"))
         joined = down.join(smallest, "u")

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelspark.llm.components import connected_components
 from reelspark.llm.shingles import WordHasher, shingle_set, text_words
@@ -19,7 +19,7 @@ from reelspark.session import broadcast_if_small, materialise
 HEAVY_ROWS = 32
 HEAVY_TOKENS = 1 << 20
 SMALL_LIST = 64
-CENTRES = 12
+CENTRES = 32
 BLOCK = 512
 _CELL_SHARE = 64
 
@@ -234,19 +234,18 @@ def _across_components(lists: DataFrame, pct: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _candidates(lists: DataFrame, turn: int, pct: int) -> DataFrame:
-    """Pairs within the token lists (token, step, class, n, pos, cells, component, rows).
+def _candidates(lists: DataFrame, pct: int) -> DataFrame:
+    """Pairs within the token lists (token, step, class, n, pos, cells, rows).
 
     All pairs of a small list; in a larger one each row with the centres of its size step and the
-    one above, drawn by digest anew for each token and turn. Either way a row meets a bounded
-    number of others.
+    one above, drawn by digest anew for each token. Either way a row meets a bounded number of others.
     """
-    own = ["class", "n", "pos", "cells", "component"]
+    own = ["class", "n", "pos", "cells"]
     small, large = lists.where(F.col("rows") <= SMALL_LIST), lists.where(F.col("rows") > SMALL_LIST)
     every = _sides(small.select("token", *own), small.select("token", *own), ["token"])
-    draws = [F.min_by(F.struct(*own), F.xxhash64("class", "token", F.lit(turn), F.lit(k))) for k in range(CENTRES)]
-    centre = large.groupBy("token", "step").agg(F.array_distinct(F.array(*draws)).alias("cs"))
-    centre = centre.select("token", "step", F.explode("cs").alias("c")).select("token", "step", "c.*")
+    # The limit on the rank is applied before the shuffle, so no list comes together whole.
+    place = F.row_number().over(Window.partitionBy("token", "step").orderBy(F.xxhash64("class", "token"), "class"))
+    centre = large.withColumn("_place", place).where(F.col("_place") <= CENTRES).select("token", "step", *own)
     reach = large.select("token", F.explode(F.array("step", F.col("step") + 1)).alias("step"), *own)
     return every.where("a < b").where(_reaches(pct)).unionByName(_sides(reach, centre, ["token", "step"]).drop("step"))
 
@@ -273,9 +272,8 @@ def similar_documents(
     2. Bundles that share a prefix token are compared: all pairs in a short list, through centres
        in a long one, and the members of a bundle through one of them.
     3. Verified links join classes to components. Lists that are not settled and still span
-       several components are expanded to members and compared through other centres, then pair
-       by pair across components, which makes the result exact without the pairs inside a group
-       of near copies.
+       several components are expanded to members and compared in blocks across components, which
+       makes the result exact without the pairs inside a group of near copies.
     Cell counts (how many tokens fall in each part of the digest space) bound the difference of
     two sets from below and remove nearly all false pairs before any full set is moved.
     """
@@ -301,30 +299,20 @@ def similar_documents(
     columns = ["a", "b", "n_a", "n_b", "cells_a", "cells_b"]
 
     lists = shared.join(heads.select("bundle", "class", "n", "cells", "members"), "bundle").withColumn("step", step)
-    lists = materialise(lists.withColumn("component", F.col("class")))
+    lists = materialise(lists)
     inside = _sides(member, heads.select("bundle", "class", "n", "cells"), ["bundle"])
-    pairs = _candidates(lists.drop("bundle", "members"), 0, pct).select(*columns).unionByName(inside.select(*columns))
+    pairs = _candidates(lists, pct).select(*columns).unionByName(inside.select(*columns))
     links = _verified(_filtered(pairs, pct), classes, docs, size, pct)
     # Settled: short lists of bundles with one member. A bundle with more is a list of its own.
     unsettled = lists.groupBy("token").agg(F.max("rows").alias("rows"), F.max("members").alias("members"))
     unsettled = unsettled.where((F.col("rows") > SMALL_LIST) | (F.col("members") > 1)).select("token")
     several = heads.where("members > 1").select(F.xxhash64("bundle").alias("token"), F.lit(0).alias("pos"), "bundle")
     left = materialise(shared.select("token", "pos", "bundle").join(unsettled, "token").unionByName(several))
-    for turn in (1, 2):
-        if left.isEmpty():
-            break
+    if not left.isEmpty():
         named = _components(member, links)
         expanded = left.join(named, "bundle").withColumn("step", step)
-        mixed = expanded.groupBy("token").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows")
-        )
-        mixed = mixed.where("lo < hi").where(F.col("rows") > (0 if turn == 1 else SMALL_LIST))
-        lists = materialise(expanded.join(mixed.select("token", "rows"), "token").drop("bundle"))
-        if turn == 1:
-            pairs = _candidates(lists, turn, pct).where("component_a <> component_b")
-            pairs = _filtered(pairs.select(*columns), pct)
-        else:
-            pairs = _across_components(lists, pct)
+        mixed = expanded.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+        pairs = _across_components(expanded.join(mixed.select("token"), "token").drop("bundle"), pct)
         kept = named.where(F.col("component") != F.col("class")).select(F.col("component").alias("a"), F.col("class").alias("b"))
         links = kept.unionByName(_verified(pairs, classes, docs, size, pct))
     final = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
