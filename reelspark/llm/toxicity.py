@@ -8,9 +8,11 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reelspark.llm.shingles import WordHasher, mix, shingle_set, text_words
 from reelspark.llm.text import only
 from reelspark.session import materialise
 
@@ -19,10 +21,12 @@ FIT_TOXIC = 10_000
 FIT_CLEAN = 20_000
 LM_TRIGRAMS = 1 << 17
 MIN_DOCS = 5
-MIN_PRECISION = 0.8
+MIN_PRECISION = 0.9
 CHANCE = 0.01
+FAMILY_MARKS = 4
 MOST_FEATURES = 5_000
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 17
+COUNTED_AT_ONCE = 300_000
 LONGEST_WORD = 64
 
 # Letters a sign may stand for.
@@ -166,6 +170,12 @@ def _features(words: Iterable[str]) -> set[str]:
     return out
 
 
+def _counts(toxic: Counter[str], every: Counter[str]) -> pa.RecordBatch:
+    names = list(every)
+    arrays = [pa.array(names, pa.string()), *[pa.array([c[f] for f in names], pa.int64()) for c in (toxic, every)]]
+    return pa.RecordBatch.from_arrays(arrays, ["feature", "n1", "n"])
+
+
 @dataclass
 class Lexicon:
     """Chosen features with the share of toxic ones among the documents that have them; ``base``
@@ -203,21 +213,43 @@ def fit_lexicon(
     ]
     picked = materialise(drawn[0].unionByName(drawn[1]))
     texts = docs.where("text IS NOT NULL").join(F.broadcast(picked), "doc_id").select("text", "toxic").dropDuplicates(["text", "toxic"])
-    restorer = model
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Restorer(restorer)
+    marks = [f"mark{k}" for k in range(FAMILY_MARKS)]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
         for batch in batches:
-            features = [sorted(_features(reader.words(text))) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(features, pa.list_(pa.string()))], ["toxic", "features"])
-
-    kind = docs.sparkSession.createDataFrame([], labels.select("toxic").schema).schema["toxic"].dataType.simpleString()
-    rows = materialise(texts.mapInArrow(emit, f"toxic {kind}, features array<string>"))
-    # Near copies share their smallest digest mostly; a family of them counts once for a feature.
-    family = F.array_min(F.transform("features", lambda f: F.xxhash64(f)))
-    single = rows.select("toxic", family.alias("family"), F.explode("features").alias("feature")).distinct()
-    counts = single.groupBy("feature").agg(F.sum(F.col("toxic").cast("long")).alias("n1"), F.count(F.lit(1)).alias("n"))
-    counts = materialise(counts)
+            sets = [shingle_set(words, 5).view(np.uint64) for words in text_words(batch.column("text"), hasher)]
+            least = [
+                pa.array([int(mix(s + np.uint64(k)).view(np.int64).min()) if len(s) else None for s in sets], pa.int64())
+                for k in range(len(marks))
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *least], ["text", "toxic", *marks])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Restorer(model)
+        toxic: Counter[str] = Counter()
+        every: Counter[str] = Counter()
+        for batch in batches:
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                features = _features(reader.words(text))
+                every.update(features)
+                if label == 1:
+                    toxic.update(features)
+                if len(every) > COUNTED_AT_ONCE:
+                    yield _counts(toxic, every)
+                    toxic.clear(), every.clear()
+        yield _counts(toxic, every)
+
+    kind = labels.schema["toxic"].dataType.simpleString()
+    # Near copies mostly share their smallest shingle digest, so that a few such marks one after
+    # the other leave one of a family to stand for all.
+    placed = texts.mapInArrow(place, f"text string, toxic {kind}, " + ", ".join(f"{m} long" for m in marks))
+    for mark in marks:
+        placed = placed.dropDuplicates([mark, "toxic"])
+    rows = materialise(placed.drop(*marks))
+    partial = rows.select("text", "toxic").mapInArrow(count, "feature string, n1 long, n long")
+    counts = materialise(partial.groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n").alias("n")))
     sums = rows.agg(F.sum(F.col("toxic").cast("long")).alias("n1"), F.count(F.lit(1)).alias("n")).first()
     if not sums["n1"]:
         return Lexicon({}, 0.0)
@@ -229,9 +261,17 @@ def fit_lexicon(
     good = counts.where((F.col("n1") >= MIN_DOCS) & (share >= MIN_PRECISION) & beats_chance)
     good = good.orderBy(F.desc(evidence), "feature").limit(MOST_FEATURES).select("feature", share.alias("share")).toArrow()
     weights = dict(zip(good["feature"].to_pylist(), good["share"].to_pylist(), strict=True))
-    chosen = sorted(weights)
-    hit = F.arrays_overlap("features", F.lit(chosen)) if chosen else F.lit(False)
-    rest = rows.where(~hit).agg(F.sum(F.col("toxic").cast("long")).alias("n1"), F.count(F.lit(1)).alias("n")).first()
+    # What documents without any of them are: scored once more, over the fitted rows.
+    lexicon = Lexicon(weights, 0.0)
+
+    def misses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Restorer(model)
+        for batch in batches:
+            hit = [lexicon.score(reader.words(text)) > 0 for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(hit, pa.bool_())], ["toxic", "hit"])
+
+    judged = rows.select("text", "toxic").mapInArrow(misses, f"toxic {kind}, hit boolean").where("NOT hit")
+    rest = judged.agg(F.sum(F.col("toxic").cast("long")).alias("n1"), F.count(F.lit(1)).alias("n")).first()
     base = ((rest["n1"] or 0) + 0.5) / (rest["n"] + 1.0) if rest["n"] else 0.0
     return Lexicon(weights, min(base, 0.49))
 
