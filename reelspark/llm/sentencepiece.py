@@ -17,7 +17,8 @@ from reelspark.session import materialise
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 FREQUENT_WORDS = 1 << 17
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 17
+_ROWS_AT_ONCE = 1_000
 _UNKNOWN_PENALTY = 10.0
 
 
@@ -181,7 +182,7 @@ def encode(df: DataFrame, text: str = "text", model: str = MODEL, frequent: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, met = shared.value, {}
-        for batch in batches:
+        for batch in (b.slice(at, _ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, _ROWS_AT_ONCE)):
             ids, ends = [], [0]
             texts = batch.column("_text").to_pylist()
             for value in texts:
