@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +19,28 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 FREQUENT_WORDS = 1 << 17
 CACHED_WORDS = 1 << 17
-_ROWS_AT_ONCE = 1_000
+LONGEST_TOGETHER = 100
+_ROWS_AT_ONCE = 2_000
 _UNKNOWN_PENALTY = 10.0
 
 
+_BASE = 0x9E3779B97F4A7C15 | 1
+_HIGH = np.uint64(48)
+
+
+def _power(k: int) -> np.uint64:
+    return np.uint64(pow(_BASE, k, 1 << 64))
+
+
+def _digests(strings: list[str], length: int) -> np.ndarray:
+    """Digests of all beginnings of strings of one length, a row for each end."""
+    codes = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, length).astype(np.uint64)
+    out = np.zeros((length + 1, len(strings)), np.uint64)
+    for k in range(length):
+        out[k + 1] = out[k] * np.uint64(_BASE) + codes[:, k] + np.uint64(1)
+    return out
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Pieces with ids and scores; ``cuts`` are characters that only stand alone as a piece."""
@@ -32,6 +51,7 @@ class Vocabulary:
     longest: int = field(init=False)
     unknown: float = field(init=False)
     unit: str = field(init=False)
+    tables: dict[int, tuple[np.ndarray, ...]] = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
         inside = {c for piece in self.ids if len(piece) > 1 for c in piece}
@@ -42,6 +62,7 @@ class Vocabulary:
         pattern = f"{SPACE}*{free}+|{SPACE}+" if words else f"{free}+"
         object.__setattr__(self, "unit", pattern + (f"|[{cuts}]" if cuts else ""))
         object.__setattr__(self, "longest", max(map(len, self.ids)))
+        object.__setattr__(self, "tables", self._tables())
         object.__setattr__(self, "unknown", min(s for s in self.scores.values() if s > -1e8) - _UNKNOWN_PENALTY)
 
     @classmethod
@@ -82,7 +103,67 @@ class Vocabulary:
             end = back[end]
         return out[::-1]
 
+    def _tables(self) -> dict[int, tuple[np.ndarray, ...]]:
+        """Pieces by length: which high bits occur, sorted digests, scores and ids."""
+        found = {}
+        for length in {len(piece) for piece in self.ids}:
+            pieces = [piece for piece in self.ids if len(piece) == length]
+            digests = _digests(pieces, length)[-1]
+            order = np.argsort(digests)
+            maybe = np.zeros(1 << 16, bool)
+            maybe[digests >> _HIGH] = True
+            scores = np.array([self.scores[piece] for piece in pieces])[order]
+            found[length] = (maybe, digests[order], scores, np.array([self.ids[piece] for piece in pieces], np.int32)[order])
+        return found
+
+    def encode_units(self, units: list[str]) -> list[list[int]]:
+        """``encode_unit`` for many units: the lattices of those of one length are solved together,
+        substrings looked up in the piece table by digest."""
+        out: list[list[int]] = [[]] * len(units)
+        by_length: dict[int, list[int]] = {}
+        for k, unit in enumerate(units):
+            by_length.setdefault(len(unit), []).append(k)
+        for length, places in by_length.items():
+            if length > LONGEST_TOGETHER:
+                for k in places:
+                    out[k] = self.encode_unit(units[k])
+                continue
+            prefix = _digests([units[k] for k in places], length)
+            best = np.full((length + 1, len(places)), -np.inf)
+            best[0] = 0.0
+            back = np.zeros((length + 1, len(places)), np.int8)
+            chosen = np.full((length + 1, len(places)), -1, np.int32)
+            for end in range(1, length + 1):
+                for start in range(max(0, end - self.longest), end):
+                    if end - start not in self.tables:
+                        continue
+                    maybe, digests, scores, ids = self.tables[end - start]
+                    wanted = prefix[end] - prefix[start] * _power(end - start)
+                    one = end - start == 1
+                    rows = slice(None) if one else np.flatnonzero(maybe[wanted >> _HIGH])
+                    at = np.minimum(np.searchsorted(digests, wanted[rows]), len(digests) - 1)
+                    miss = digests[at] != wanted[rows]
+                    total, piece = scores[at], ids[at]
+                    total[miss], piece[miss] = self.unknown if one else -np.inf, -1
+                    total += best[start][rows]
+                    better = total > best[end][rows]
+                    where = np.flatnonzero(better) if one else rows[better]
+                    best[end][where] = total[better]
+                    back[end][where] = start
+                    chosen[end][where] = piece[better]
+            for k, starts, path in zip(places, back.T.tolist(), chosen.T.tolist(), strict=True):
+                end, found = length, []
+                while end:
+                    if path[end] >= 0:
+                        found.append(path[end])
+                    else:
+                        found.extend(self.first_byte + b for b in reversed(units[k][end - 1].encode()))
+                    end = starts[end]
+                out[k] = found[::-1]
+        return out
+
     def units(self, text: str) -> list[str]:
+        """The text in parts that no piece of the vocabulary crosses."""
         return re.findall(self.unit, SPACE + text.replace(" ", SPACE)) if text else []
 
     def decoder(self) -> dict[int, bytes]:
@@ -143,17 +224,16 @@ def _best_path(edges: Column) -> Column:
     return F.aggregate(edges, zero, step, lambda acc: acc["best"]["ids"])
 
 
-def _frequent(docs: DataFrame, vocabulary: Vocabulary, most: int) -> DataFrame:
-    """The most frequent units of all texts, counted per batch and then together."""
+def _frequent(docs: DataFrame, most: int) -> DataFrame:
+    """The words that most texts hold, as they stand after a space; counted per batch and then together."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
-                found.update(vocabulary.units(text or ""))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["word", "n"]
-            )
+                found.update(set((text or "").split()))
+            words = pa.array([SPACE + word for word in found], pa.string())
+            yield pa.RecordBatch.from_arrays([words, pa.array(list(found.values()), pa.int64())], ["word", "n"])
 
     counts = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return counts.orderBy(F.desc("n"), "word").limit(most).where("length(word) <= 64").select("word")
@@ -173,7 +253,7 @@ def encode(df: DataFrame, text: str = "text", model: str = MODEL, frequent: int
     """
     vocabulary = Vocabulary.load(model)
     spark: SparkSession = df.sparkSession
-    solved = materialise(lattice_words(materialise(_frequent(only(df, text=text), vocabulary, frequent)), vocabulary))
+    solved = materialise(lattice_words(materialise(_frequent(only(df, text=text), frequent)), vocabulary))
     # At most ``frequent`` words of 64 characters.
     table = solved.toArrow()
     known = dict(zip(table["word"].to_pylist(), table["ids"].to_pylist(), strict=True))
@@ -183,18 +263,18 @@ def encode(df: DataFrame, text: str = "text", model: str = MODEL, frequent: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, met = shared.value, {}
         for batch in (b.slice(at, _ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, _ROWS_AT_ONCE)):
-            ids, ends = [], [0]
             texts = batch.column("_text").to_pylist()
-            for value in texts:
-                for unit in vocabulary.units(value or ""):
-                    path = words.get(unit) or met.get(unit)
-                    if path is None:
-                        path = vocabulary.encode_unit(unit)
-                        if len(met) >= CACHED_WORDS:
-                            met.clear()
-                        if len(unit) <= 64:
-                            met[unit] = path
-                    ids.extend(path)
+            split = [vocabulary.units(value or "") for value in texts]
+            distinct = set().union(*split)
+            new = [unit for unit in distinct if unit not in words and unit not in met]
+            if len(met) + len(new) > CACHED_WORDS:
+                met.clear()
+                new = [unit for unit in distinct if unit not in words]
+            met.update(zip(new, vocabulary.encode_units(new), strict=True))
+            paths = {unit: words[unit] if unit in words else met[unit] for unit in distinct}
+            ids, ends = [], [0]
+            for units in split:
+                ids.extend(chain.from_iterable(map(paths.__getitem__, units)))
                 ends.append(len(ids))
             counts = pa.array(np.diff(ends), pa.int64())
             offsets = pa.array(ends, pa.int32(), mask=np.array([t is None for t in texts] + [False]))
@@ -219,11 +299,13 @@ def decode(df: DataFrame, ids: str = "token_ids", output: str = "decoded", model
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for row in batch.column("_ids"):
-                if not row.is_valid:
+            lists = batch.column("_ids")
+            for k, valid in enumerate(lists.is_valid().to_pylist()):
+                if not valid:
                     texts.append(None)
                     continue
-                joined = b"".join([table.get(i, b"") for i in row.values.to_pylist()])
+                ids = lists.values[lists.offsets[k].as_py() : lists.offsets[k + 1].as_py()].to_numpy(zero_copy_only=False)
+                joined = b"".join([table.get(i, b"") for i in ids.tolist()])
                 texts.append(joined.decode("utf-8", "replace").removeprefix(" "))
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], pa.array(texts, pa.string())], [*kept, output])
 
