@@ -8,7 +8,7 @@ MAX_RATING = 5.0
 REQUIRED_COLUMNS = ("userId", "movieId", "rating", "timestamp")
 MOVIE_COLUMNS = ("movieId", "title", "genres")
 
-# Training sample, holdout and model size.
+# Training sample, holdout and model size; the caps apply only where a caller passes them.
 USER_MOD_BASE = 6
 USER_MOD_REMAINDER = 0
 HOLDOUT_PCT = 10
@@ -19,7 +19,7 @@ EVAL_CAP = 1_000
 RANDOM_TEST_SHARE = 0.2
 SEED = 42
 
-# Popularity and cold-start thresholds.
+# Popularity and cold-start thresholds.
 MIN_POPULARITY = 20
 MIN_POPULARITY_STRICT = 50
 MIN_TOP_RATED = 100
@@ -29,12 +29,14 @@ COLD_START_RATINGS = 5
 MAX_CANDIDATES = 5_000
 SAMPLE_RATINGS = 50_000
 
-# Batches.
+# Batches.
 N_BATCHES = 250
 BATCH_SIZE = 1_000
 BATCH_PREFIX = "ratings_batch_"
 
-# Labels found in served records.
+# Labels found in served records, and what stands in for missing catalogue data.
+UNKNOWN_TITLE = "Movie "
+UNKNOWN_GENRES = "Unknown"
 SERVED_POPULAR = "popularity_fallback"
 SERVED_PERSONAL = "personalized_mlflow"
 SERVED_LOCAL = "personalized_local_svd"
@@ -45,7 +47,7 @@ MODEL_NAME = "movie_recommender_svd"
 PRODUCTION_ALIAS = "production"
 STAGING_ALIAS = "staging"
 
-# Drift test level.
+# Fixed value: drift test level.
 DRIFT_ALPHA = 0.05
 
 # Ceiling for anything this library broadcasts on purpose.

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reelspark.constants import N_COMPONENTS, SERVED_PAIR, SERVED_PAIR_LOCAL
+from reelspark.constants import N_COMPONENTS, SERVED_PAIR, SERVED_PAIR_LOCAL, UNKNOWN_GENRES, UNKNOWN_TITLE
 from reelspark.functions.scalar import clip, dot
 from reelspark.operators.factorise import truncated_svd
 from reelspark.operators.profile import movie_info
@@ -48,16 +48,16 @@ def centered_cells(train: DataFrame, mean: float | Column) -> DataFrame:
     return sums.select("userId", "movieId", (F.col("s") - F.col("n") * centre).alias("v"))
 
 
-def train_svd(train: DataFrame, k: int = N_COMPONENTS, method: str = "randomized") -> FactorModel:
-    """Factorise the mean-centred matrix of the training rows."""
+def train_svd(train: DataFrame, k: int = N_COMPONENTS, **solver) -> FactorModel:
+    """Factorise the mean-centred matrix of the training rows; ``solver`` goes to ``truncated_svd``."""
     mean, n = train_mean(train)
-    found = truncated_svd(centered_cells(train, mean), k, method=method)
+    found = truncated_svd(centered_cells(train, mean), k, **solver)
     return FactorModel(mean, found.singular_values, found.users, found.items, found.n_items, n)
 
 
-def train_svd_uncentered(cells: DataFrame, k: int = N_COMPONENTS, method: str = "randomized") -> FactorModel:
+def train_svd_uncentered(cells: DataFrame, k: int = N_COMPONENTS, **solver) -> FactorModel:
     """Factorise the plain pivot (mean of repeats, zero where unrated)."""
-    found = truncated_svd(cells, k, method=method)
+    found = truncated_svd(cells, k, **solver)
     return FactorModel(0.0, found.singular_values, found.users, found.items, found.n_items, 0)
 
 
@@ -152,8 +152,8 @@ def predict_with_bias(pairs: DataFrame, ratings: DataFrame, movies: DataFrame, m
         F.col("userId").alias("user_id"),
         F.col("movieId").alias("movie_id"),
         F.when(known, clip(mean + user_bias + movie_bias + svd)).alias("predicted_rating"),
-        F.coalesce("title", F.concat(F.lit("Movie "), movie_id)).alias("title"),
-        F.coalesce("genres", F.lit("Unknown")).alias("genres"),
+        F.coalesce("title", F.concat(F.lit(UNKNOWN_TITLE), movie_id)).alias("title"),
+        F.coalesce("genres", F.lit(UNKNOWN_GENRES)).alias("genres"),
         F.when(known, components).alias("components"),
         error.alias("error"),
         F.when(known, F.lit(SERVED_PAIR_LOCAL)).alias("served_by"),

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from reelspark.constants import COLD_START_RATINGS, MAX_RATING, MIN_RATING, MIN_TOP_RATED
+from reelspark.constants import (
+    COLD_START_RATINGS,
+    MAX_RATING,
+    MIN_RATING,
+    MIN_TOP_RATED,
+    UNKNOWN_GENRES,
+    UNKNOWN_TITLE,
+)
 from reelspark.functions.scalar import hash_number, round_binary, row_hash
 
 
@@ -185,8 +192,8 @@ def movie_info(ids: DataFrame, movies: DataFrame) -> DataFrame:
     """Title and genres of requested ids, with defaults for unknown ones."""
     return ids.join(movies, "movieId", "left").select(
         F.col("movieId").alias("movie_id"),
-        F.coalesce("title", F.concat(F.lit("Movie "), F.col("movieId").cast("string"))).alias("title"),
-        F.coalesce("genres", F.lit("Unknown")).alias("genres"),
+        F.coalesce("title", F.concat(F.lit(UNKNOWN_TITLE), F.col("movieId").cast("string"))).alias("title"),
+        F.coalesce("genres", F.lit(UNKNOWN_GENRES)).alias("genres"),
     )
 
 

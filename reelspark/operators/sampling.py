@@ -7,7 +7,6 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from reelspark.constants import (
-    EVAL_CAP,
     HOLDOUT_PCT,
     MIN_QUALITY_SAMPLE,
     QUALITY_SAMPLE_SIZE,
@@ -21,6 +20,7 @@ from reelspark.constants import (
 )
 from reelspark.functions.scalar import in_user_sample, is_holdout, row_hash
 from reelspark.operators.ordering import ordered_prefix, rank_split
+from reelspark.session import broadcast_if_small, materialise
 
 
 def user_sample(ratings: DataFrame, base: int = USER_MOD_BASE, remainder: int = USER_MOD_REMAINDER) -> DataFrame:
@@ -88,11 +88,19 @@ def known_ids(rows: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame
 
 
 def latest_known_holdout(
-    holdout: DataFrame, users: DataFrame, movies: DataFrame, cap: int = EVAL_CAP
+    holdout: DataFrame, users: DataFrame, movies: DataFrame, cap: int | None = None
 ) -> DataFrame:
-    """The newest 3*cap holdout rows, filtered to known ids, cut to ``cap``."""
+    """Holdout rows with known ids; with ``cap``, the newest 3*cap rows are filtered and cut to ``cap``."""
+    rows = holdout.select("userId", "movieId", "rating", "timestamp")
+    if cap is None:
+        return known_ids(rows, users, movies)
     newest_first = [F.col("timestamp").desc(), F.col("userId"), F.col("movieId"), F.col("rating")]
-    newest = holdout.select("userId", "movieId", "rating", "timestamp").orderBy(*newest_first).limit(3 * cap)
+    newest = materialise(rows.orderBy(*newest_first).limit(3 * cap))
+    # The few rows bound both sides: ids are looked up among theirs, not brought together whole.
+    users, movies = (
+        ids.join(broadcast_if_small(newest.select(key), 3 * cap, 16), key, "left_semi")
+        for ids, key in ((users, "userId"), (movies, "movieId"))
+    )
     return known_ids(newest, users, movies).orderBy(*newest_first).limit(cap)
 
 

@@ -53,8 +53,12 @@ CANDIDATES = """c AS (SELECT users.u, pop.m, popularity,
   row_number() OVER (PARTITION BY users.u ORDER BY popularity DESC, pop.m) AS k
   FROM users, pop WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.u = users.u AND r.m = pop.m))"""
 
-EVAL = """e AS (SELECT u, m, rating, ts FROM h WHERE hold ORDER BY ts DESC, u, m, rating LIMIT 3000),
-ev AS (SELECT * FROM e ORDER BY ts DESC, u, m, rating LIMIT 1000)"""
+KNOWN = "u IN (SELECT u FROM h WHERE NOT hold) AND m IN (SELECT m FROM h WHERE NOT hold)"
+
+EVAL = f"""e AS (SELECT u, m, rating, ts FROM h WHERE hold ORDER BY ts DESC, u, m, rating LIMIT 3000),
+ev AS (SELECT * FROM e WHERE {KNOWN} ORDER BY ts DESC, u, m, rating LIMIT 1000)"""
+
+KNOWN_HELD = f"ev AS (SELECT u, m, rating, ts FROM h WHERE hold AND {KNOWN})"
 
 FRAMES = """f AS (SELECT u, r.m, rating, ts, b, title, genres, CAST(right(title, 5)[1:4] AS INT) AS year FROM r JOIN m USING (m))"""
 
@@ -103,6 +107,117 @@ FROM r JOIN m USING (m) GROUP BY ALL HAVING count(*) >= {having} ORDER BY {order
     )
 
 
+ROW_HASH_SPLIT = ROW_HASH  # the split keeps the columns in this order
+GLOBAL = "g AS (SELECT avg(rating) AS a FROM h WHERE NOT hold)"
+CENTRED = "c AS (SELECT u, m, sum(rating) - count(rating) * any_value(a) AS v FROM h, g WHERE NOT hold GROUP BY u, m)"
+PIVOT = "c AS (SELECT u, m, avg(rating) AS v FROM s WHERE NOT is_test GROUP BY u, m)"
+
+
+def _power(passes: int = 3) -> str:
+    """Rank-1 factors of the cells c by power iteration from a vector of ones: uf, vf and sigma."""
+    steps = ["z0 AS (SELECT m, 1 / sqrt(count(*) OVER ()) AS z FROM (SELECT DISTINCT m FROM c))"]
+    for k in range(passes + 1):
+        steps.append(f"y{k} AS (SELECT u, sum(v * z) AS y FROM c JOIN z{k} USING (m) GROUP BY u)")
+        steps.append(f"w{k} AS (SELECT m, sum(v * y) AS w FROM c JOIN y{k} USING (u) GROUP BY m)")
+        steps.append(f"z{k + 1} AS (SELECT m, w / sqrt(sum(w * w) OVER ()) AS z FROM w{k})")
+    last = passes
+    steps.append(f"sigma AS (SELECT sqrt(sum(w * w) / sum(w * z)) AS s FROM w{last} JOIN z{last} USING (m))")
+    steps.append(f"vf AS (SELECT m, z AS f FROM z{last + 1})")
+    steps.append("uf AS (SELECT u, sum(v * f) AS f FROM c JOIN vf USING (m) GROUP BY u)")
+    return ", ".join(steps)
+
+
+def _r6(value: str) -> str:
+    return f"round_even(({value}) * 1e6, 0) / 1e6"
+
+
+CENTRED_MODEL = (GLOBAL, CENTRED, _power())
+PIVOT_MODEL = (SPLIT, PIVOT, _power())
+CLIPPED = "greatest(0.5, least(5.0, a + coalesce(uf.f * vf.f, 0)))"
+
+ALL_USERS = "users AS (SELECT CAST(c_custkey AS INT) AS u FROM customer)"
+COUNTED = "cnt AS (SELECT u, count(*) AS n FROM r GROUP BY u)"
+
+POPULAR_LIST = """p AS (SELECT m, title, genres, avg(rating) AS pa, count(*) AS pc FROM r JOIN m USING (m)
+  GROUP BY ALL HAVING count(*) >= 20 ORDER BY pa DESC, pc DESC, m LIMIT 5),
+pl AS (SELECT *, row_number() OVER (ORDER BY pa DESC, pc DESC, m) AS rank FROM p)"""
+
+STRICT_LIST = """p AS (SELECT m, title, genres, avg(rating) AS pa, count(*) AS pc FROM s JOIN m USING (m)
+  GROUP BY ALL HAVING count(*) >= 50 ORDER BY pa DESC, pc DESC, m LIMIT 10),
+pl AS (SELECT *, row_number() OVER (ORDER BY pa DESC, pc DESC, m) AS rank FROM p)"""
+
+# Every column of the matrix that a user has no cell in, best product first, lowest id on ties.
+UNCENTERED = """cand AS (SELECT uf.u, vf.m, uf.f * vf.f AS score FROM uf, vf
+  WHERE uf.u IN (SELECT u FROM users) AND NOT EXISTS (SELECT 1 FROM c WHERE c.u = uf.u AND c.m = vf.m)),
+best AS (SELECT u, m, score, row_number() OVER (PARTITION BY u ORDER BY score DESC, m) AS rank FROM cand),
+listed AS (SELECT u, rank, m, title, genres, score, NULL::BIGINT AS num_ratings FROM best JOIN m USING (m) WHERE rank <= {n}
+  UNION ALL SELECT u, rank, m, title, genres, pa, pc FROM users, pl WHERE u NOT IN (SELECT u FROM uf))"""
+
+
+def _rank1() -> dict[str, str]:
+    spectrum = f"SELECT 1 AS component, {_r6('s')} AS singular_value FROM sigma"
+    pairs = "(SELECT DISTINCT u, m FROM h WHERE hold) q LEFT JOIN uf USING (u) LEFT JOIN vf USING (m)"
+    served = f"u AS user_id, CAST(rank AS INT) AS rank, m AS movie_id, title, genres, {_r6('score')} AS predicted_rating, num_ratings"
+    biases = """ub AS (SELECT u, avg(rating) - (SELECT a FROM g) AS x FROM r GROUP BY u),
+mb AS (SELECT m, avg(rating) - (SELECT a FROM g) AS y FROM r GROUP BY m)"""
+    uncentered = (M, ALL_USERS, STRICT_LIST, UNCENTERED.format(n=10))
+    return {
+        "svd_spectrum_rank1": _crc(*CENTRED_MODEL) + spectrum,
+        "svd_uncentered_rank1": _with(R, *PIVOT_MODEL) + spectrum,
+        "svd_reconstruction_rank1": _crc(*CENTRED_MODEL)
+        + f"SELECT u AS user_id, m AS movie_id, {_r6('v')} AS v, {_r6('uf.f * vf.f')} AS approx FROM c JOIN uf USING (u) JOIN vf USING (m)",
+        "predict_ratings_rank1": _crc(*CENTRED_MODEL)
+        + f"SELECT u AS user_id, m AS movie_id, {_r6(CLIPPED)} AS predicted_rating FROM {pairs}, g",
+        "predict_endpoint_rank1": _crc(M, *CENTRED_MODEL)
+        + f"""SELECT q.u AS user_id, q.m AS movie_id, {_r6(CLIPPED)} AS predicted_rating, title, genres, 'mlflow' AS served_by
+FROM {pairs} JOIN m ON m.m = q.m, g""",
+        "predict_with_bias_rank1": _crc(M, *CENTRED_MODEL, biases)
+        + f"""SELECT q.u AS user_id, q.m AS movie_id,
+CASE WHEN known THEN {_r6('greatest(0.5, least(5.0, a + x + y + uf.f * vf.f))')} END AS predicted_rating, title, genres,
+CASE WHEN uf.f IS NULL THEN concat('User ', q.u, ' not found') WHEN vf.f IS NULL THEN concat('Movie ', q.m, ' not found') END AS error,
+CASE WHEN known THEN 'local' END AS served_by, CASE WHEN known THEN {_r6('x')} END AS user_bias,
+CASE WHEN known THEN {_r6('y')} END AS movie_bias, {_r6('uf.f * vf.f')} AS svd_component
+FROM {pairs} JOIN ub ON ub.u = q.u JOIN mb ON mb.m = q.m JOIN m ON m.m = q.m, g,
+LATERAL (SELECT uf.f IS NOT NULL AND vf.f IS NOT NULL AS known) k""",
+        "evaluate_model_rank1": _crc(*CENTRED_MODEL, KNOWN_HELD)
+        + f"""SELECT {_r6('sqrt(avg((rating - p) * (rating - p)))')} AS rmse, {_r6('avg(abs(rating - p))')} AS mae, count(*) AS predictions
+FROM (SELECT rating, {CLIPPED} AS p FROM ev LEFT JOIN uf USING (u) LEFT JOIN vf USING (m), g)""",
+        "evaluate_uncentered_rank1": _with(R, *PIVOT_MODEL)
+        + f""", t AS (SELECT rating - uf.f * vf.f AS e FROM s JOIN uf USING (u) JOIN vf USING (m) WHERE is_test),
+x AS (SELECT avg(e * e) AS mse, avg(abs(e)) AS mae, count(*) AS n FROM t)
+SELECT {_r6('sqrt(mse)')} AS rmse, {_r6('mae')} AS mae, {_r6('mse')} AS mse,
+{_r6('n / (SELECT count(*) FROM s WHERE is_test)')} AS coverage, n AS n_predictions, {_r6('1 / (1 + sqrt(mse))')} AS accuracy FROM x""",
+        "recommend_rank1": _crc(M, ALL_USERS, COUNTED, *CENTRED_MODEL, RANKED, CANDIDATES.replace("c AS", "cd AS", 1), POPULAR_LIST)
+        + f""", warm AS (SELECT u FROM users JOIN cnt USING (u) WHERE n >= 5),
+sc AS (SELECT cd.u, cd.m, CASE WHEN uf.f IS NULL THEN a ELSE {CLIPPED} END AS score,
+  row_number() OVER (PARTITION BY cd.u ORDER BY CASE WHEN uf.f IS NULL THEN a ELSE {CLIPPED} END DESC, k) AS rank
+  FROM cd JOIN warm ON warm.u = cd.u LEFT JOIN uf ON uf.u = cd.u LEFT JOIN vf ON vf.m = cd.m, g),
+listed AS (SELECT u, rank, m, title, genres, score, NULL::BIGINT AS num_ratings, 'personalized_mlflow' AS served_by
+  FROM sc JOIN m USING (m) WHERE rank <= 5
+  UNION ALL SELECT u, rank, m, title, genres, pa, pc, 'popularity_fallback' FROM users, pl
+  WHERE u NOT IN (SELECT u FROM warm) OR u NOT IN (SELECT u FROM cd))
+SELECT {served}, served_by FROM listed""",
+        "recommend_uncentered_rank1": _with(R, *PIVOT_MODEL, *uncentered) + f"SELECT {served} FROM listed",
+        "recommendation_confidence_rank1": _with(R, *PIVOT_MODEL, *uncentered)
+        + f"SELECT u AS user_id, {_r6('avg(score)')} AS confidence, count(*) AS n FROM listed GROUP BY u",
+        "sample_predictions_rank1": _with(
+            R, *PIVOT_MODEL, M, f"users AS (SELECT DISTINCT u FROM (SELECT u FROM s ORDER BY {ROW_HASH_SPLIT}, u, m, rating, ts LIMIT 10))",
+            STRICT_LIST.replace("LIMIT 10", "LIMIT 3"), UNCENTERED.format(n=3),
+        )
+        + f"SELECT u AS user_id, m AS movie_id, title, {_r6('score')} AS score FROM listed",
+        "recommend_with_bias_rank1": _crc(M, ALL_USERS, *CENTRED_MODEL, biases, POPULAR_LIST, "pv AS (SELECT DISTINCT u, m FROM c)")
+        + f""", warm AS (SELECT u FROM pv GROUP BY u HAVING count(*) >= 5),
+sc AS (SELECT uf.u, vf.m, greatest(0.5, least(5.0, a + x + y + uf.f * vf.f)) AS score,
+  row_number() OVER (PARTITION BY uf.u ORDER BY greatest(0.5, least(5.0, a + x + y + uf.f * vf.f)) DESC, vf.m) AS rank
+  FROM uf JOIN warm ON warm.u = uf.u JOIN ub ON ub.u = uf.u, vf JOIN mb ON mb.m = vf.m, g
+  WHERE uf.u IN (SELECT u FROM users) AND NOT EXISTS (SELECT 1 FROM pv WHERE pv.u = uf.u AND pv.m = vf.m)),
+listed AS (SELECT u, rank, m, title, genres, score, NULL::BIGINT AS num_ratings, 'personalized_local_svd' AS served_by
+  FROM sc JOIN m USING (m) WHERE rank <= 5
+  UNION ALL SELECT u, rank, m, title, genres, pa, pc, 'popularity_fallback' FROM users, pl WHERE u NOT IN (SELECT u FROM sc))
+SELECT {served}, served_by FROM listed""",
+    }
+
+
 ORACLE: dict[str, str] = {
     "scan_ratings": _with(R) + f"SELECT {ROW} FROM r",
     "all_movie_ids": _with(M) + "SELECT m AS movie_id FROM m",
@@ -238,11 +353,12 @@ FROM p WINDOW w AS (ORDER BY batch_id ROWS UNBOUNDED PRECEDING)""",
         "movie_id, title, genres, round_even((a) * 1e6, 0) / 1e6 AS avg_rating, c AS rating_count", 40, "a DESC, c DESC, movie_id"
     ),
     "candidate_movies": _with(R, M, USERS, RANKED, CANDIDATES)
-    + "SELECT u AS user_id, m AS movie_id, popularity, CAST(k AS INT) AS k FROM c WHERE k <= 20",
+    + """SELECT u AS user_id, count(*) AS n, CAST(sum(k * m) AS BIGINT) AS movie_sum,
+CAST(sum(k * popularity) AS BIGINT) AS popularity_sum FROM c GROUP BY u""",
     "candidate_pool": _with(R, M, USERS, RANKED, CANDIDATES)
     + """SELECT users.u AS user_id, CAST(count(c.m) AS INT) AS n_candidates,
 CAST(coalesce(sum(popularity), 0) AS BIGINT) AS popularity_mass
-FROM users LEFT JOIN c ON c.u = users.u AND k <= 5000 GROUP BY users.u""",
+FROM users LEFT JOIN c ON c.u = users.u GROUP BY users.u""",
     "cold_user_recommendations": _with(R, M, USERS)
     + """, cold AS (SELECT x.u FROM (SELECT u FROM users UNION SELECT 999999) x LEFT JOIN r ON r.u = x.u
   GROUP BY x.u HAVING count(r.rating) < 5),
@@ -265,7 +381,7 @@ FROM c JOIN m ON m.m = c.m WHERE k <= 5""",
     + """SELECT u AS user_id, m AS movie_id, round_even((sum(rating) - count(rating) * any_value(a)) * 1e6, 0) / 1e6 AS v
 FROM h, g WHERE NOT hold GROUP BY u, m""",
     "eval_pairs": _crc(EVAL) + f"SELECT {ROW} FROM ev",
-    "evaluate_global_mean": _crc(EVAL, "g AS (SELECT avg(rating) AS a FROM h WHERE NOT hold)")
+    "evaluate_global_mean": _crc(KNOWN_HELD, "g AS (SELECT avg(rating) AS a FROM h WHERE NOT hold)")
     + """SELECT round_even((sqrt(avg((rating - a) * (rating - a)))) * 1e6, 0) / 1e6 AS rmse, round_even((avg(abs(rating - a))) * 1e6, 0) / 1e6 AS mae,
 count(*) AS predictions FROM ev, g""",
     "evaluate_coverage": _with(R, SPLIT)
@@ -306,3 +422,5 @@ any_value(dof) AS dof FROM e GROUP BY col""",
     + """SELECT 'movie_recommender_svd' AS name, alias, true AS models_loaded, version, run_id, metric AS rmse
 FROM aliases JOIN runs USING (version)""",
 }
+
+ORACLE.update(_rank1())

@@ -27,6 +27,14 @@ def register(query: Query) -> Query:
     return query
 
 
+def register_both_ranks(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Register a model query at full rank, and as ``<name>_rank1``."""
+    name = {"recommend_all": "recommend"}.get(query.__name__, query.__name__)
+    REGISTRY[name] = lambda spark, sf: query(spark, sf)
+    REGISTRY[f"{name}_rank1"] = lambda spark, sf: query(spark, sf, **RANK1)
+    return query
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: round_binary(F.col(name), digits) for name in columns})
 
@@ -417,9 +425,13 @@ def popular_min40(spark, sf):
 
 @register
 def candidate_movies(spark, sf):
-    """The head of every user's candidate list."""
-    return recommend.candidate_movies(
-        tables.users(spark, sf), tables.ratings(spark, sf), tables.movies(spark, sf), limit=20
+    """Every user's whole candidate list, told by its length and by sums that depend on its order."""
+    listed = recommend.candidate_movies(tables.users(spark, sf), tables.ratings(spark, sf), tables.movies(spark, sf))
+    place = F.col("k").cast("bigint")
+    return listed.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(place * F.col("movie_id")).alias("movie_sum"),
+        F.sum(place * F.col("popularity")).alias("popularity_sum"),
     )
 
 
@@ -449,6 +461,11 @@ def recommend_unsampled(spark, sf):
 # --- model ------------------------------------------------------------------------
 
 
+def _known_holdout(ratings, cap=None):
+    train = sampling.train_rows(ratings, base=1)
+    return sampling.latest_known_holdout(sampling.holdout_rows(ratings, base=1), train, train, cap)
+
+
 @register
 def centered_cells(spark, sf):
     train = sampling.train_rows(tables.ratings(spark, sf), base=1)
@@ -458,17 +475,15 @@ def centered_cells(spark, sf):
 
 @register
 def eval_pairs(spark, sf):
-    ratings = tables.ratings(spark, sf)
-    pairs = sampling.latest_known_holdout(sampling.holdout_rows(ratings, base=1), ratings, ratings)
-    return renamed(pairs)
+    """The newest thousand held-out rows that the training rows know."""
+    return renamed(_known_holdout(tables.ratings(spark, sf), cap=C.EVAL_CAP))
 
 
 @register
 def evaluate_global_mean(spark, sf):
     ratings = tables.ratings(spark, sf)
     mean = sampling.train_rows(ratings, base=1).agg(F.avg("rating").alias("m")).scalar()
-    pairs = sampling.latest_known_holdout(sampling.holdout_rows(ratings, base=1), ratings, ratings)
-    return rounded(evaluate.evaluate_constant(pairs, mean), "rmse", "mae")
+    return rounded(evaluate.evaluate_constant(_known_holdout(ratings), mean), "rmse", "mae")
 
 
 @register
@@ -484,95 +499,98 @@ def bias_baseline(spark, sf):
     return rounded(model.bias_baseline(pairs, ratings), "user_bias", "movie_bias", "predicted_rating")
 
 
-def _trained(spark, sf):
+# Rank 1 by plain power iteration: the form of the model that SQL can repeat.
+RANK1 = {"k": 1, "oversample": 0, "start": "ones", "power_iterations": 3}
+
+
+def _trained(spark, sf, **solver):
     ratings = materialise(tables.ratings(spark, sf))
-    return ratings, model.train_svd(sampling.train_rows(ratings, base=1))
+    return ratings, model.train_svd(sampling.train_rows(ratings, base=1), **solver)
 
 
-def _pivot_trained(spark, sf):
+def _pivot_trained(spark, sf, **solver):
     ratings = tables.ratings(spark, sf).select(*ROW_ORDER)
     split = materialise(sampling.random_split(ratings))
     train = split.where(~F.col("is_test")).drop("is_test")
     cells = materialise(profile.rating_cells(train))
-    return split, cells, model.train_svd_uncentered(cells)
+    return split, cells, model.train_svd_uncentered(cells, **solver)
 
 
-@register
-def svd_spectrum(spark, sf):
-    _, trained = _trained(spark, sf)
+@register_both_ranks
+def svd_spectrum(spark, sf, **solver):
+    _, trained = _trained(spark, sf, **solver)
     return rounded(model.spectrum(trained, spark), "singular_value")
 
 
-@register
-def svd_reconstruction(spark, sf):
-    ratings, trained = _trained(spark, sf)
+@register_both_ranks
+def svd_reconstruction(spark, sf, **solver):
+    ratings, trained = _trained(spark, sf, **solver)
     cells = model.centered_cells(sampling.train_rows(ratings, base=1), trained.global_mean)
     return rounded(model.reconstruction(trained, cells), "v", "approx")
 
 
-@register
-def svd_uncentered(spark, sf):
-    _, _, trained = _pivot_trained(spark, sf)
+@register_both_ranks
+def svd_uncentered(spark, sf, **solver):
+    _, _, trained = _pivot_trained(spark, sf, **solver)
     return rounded(model.spectrum(trained, spark), "singular_value")
 
 
-@register
-def predict_ratings(spark, sf):
+@register_both_ranks
+def predict_ratings(spark, sf, **solver):
     """Predictions for every held-out pair."""
-    ratings, trained = _trained(spark, sf)
+    ratings, trained = _trained(spark, sf, **solver)
     pairs = sampling.holdout_rows(ratings, base=1).select("userId", "movieId").distinct()
     return renamed(rounded(model.predict(pairs, trained), "predicted_rating"))
 
 
-@register
-def predict_endpoint(spark, sf):
-    ratings, trained = _trained(spark, sf)
+@register_both_ranks
+def predict_endpoint(spark, sf, **solver):
+    ratings, trained = _trained(spark, sf, **solver)
     pairs = sampling.holdout_rows(ratings, base=1).select("userId", "movieId")
     return rounded(model.predict_record(pairs, tables.movies(spark, sf), trained), "predicted_rating")
 
 
-@register
-def predict_with_bias(spark, sf):
-    ratings, trained = _trained(spark, sf)
+@register_both_ranks
+def predict_with_bias(spark, sf, **solver):
+    ratings, trained = _trained(spark, sf, **solver)
     pairs = sampling.holdout_rows(ratings, base=1).select("userId", "movieId")
     scored = model.predict_with_bias(pairs, ratings, tables.movies(spark, sf), trained)
     parts = [round_binary(F.col("components")[p], 6).alias(p) for p in ("user_bias", "movie_bias", "svd_component")]
     return rounded(scored, "predicted_rating").select("*", *parts).drop("components")
 
 
-@register
-def evaluate_model(spark, sf):
-    ratings, trained = _trained(spark, sf)
-    pairs = sampling.latest_known_holdout(sampling.holdout_rows(ratings, base=1), ratings, ratings)
-    return rounded(evaluate.evaluate(pairs, trained), "rmse", "mae")
+@register_both_ranks
+def evaluate_model(spark, sf, **solver):
+    ratings, trained = _trained(spark, sf, **solver)
+    return rounded(evaluate.evaluate(_known_holdout(ratings), trained), "rmse", "mae")
 
 
-@register
-def evaluate_uncentered(spark, sf):
-    split, _, trained = _pivot_trained(spark, sf)
+@register_both_ranks
+def evaluate_uncentered(spark, sf, **solver):
+    split, _, trained = _pivot_trained(spark, sf, **solver)
     metrics = evaluate.evaluate_uncentered(split.where("is_test"), trained)
     return rounded(metrics, "rmse", "mae", "mse", "coverage", "accuracy")
 
 
-@register
-def recommend_users(spark, sf):
-    ratings, trained = _trained(spark, sf)
+@register_both_ranks
+def recommend_all(spark, sf, **solver):
+    ratings, trained = _trained(spark, sf, **solver)
     served = recommend.recommend(tables.users(spark, sf), ratings, tables.movies(spark, sf), trained)
     return rounded(served, "predicted_rating")
 
 
-@register
-def recommend_uncentered(spark, sf):
-    split, cells, trained = _pivot_trained(spark, sf)
+@register_both_ranks
+def recommend_uncentered(spark, sf, **solver):
+    split, cells, trained = _pivot_trained(spark, sf, **solver)
     served = recommend.recommend_uncentered(
         tables.users(spark, sf), cells, split.drop("is_test"), tables.movies(spark, sf), trained
     )
     return rounded(served, "predicted_rating")
 
 
-@register
-def recommend_with_bias(spark, sf):
-    ratings, trained = _trained(spark, sf)
+@register_both_ranks
+def recommend_with_bias(spark, sf, **solver):
+    ratings, trained = _trained(spark, sf, **solver)
     cells = profile.rating_cells(sampling.train_rows(ratings, base=1))
     served = recommend.recommend_with_bias(
         tables.users(spark, sf), cells, ratings, tables.movies(spark, sf), trained
@@ -580,19 +598,19 @@ def recommend_with_bias(spark, sf):
     return rounded(served, "predicted_rating")
 
 
-@register
-def sample_predictions(spark, sf):
+@register_both_ranks
+def sample_predictions(spark, sf, **solver):
     """Three recommendations for the users of ten sampled rating rows."""
-    split, cells, trained = _pivot_trained(spark, sf)
+    split, cells, trained = _pivot_trained(spark, sf, **solver)
     ratings = split.drop("is_test")
     users = sampling.sample_rows(ratings, 10).select("userId")
     served = recommend.recommend_uncentered(users, cells, ratings, tables.movies(spark, sf), trained, n=3)
     return rounded(served.select("user_id", "movie_id", "title", F.col("predicted_rating").alias("score")), "score")
 
 
-@register
-def recommendation_confidence(spark, sf):
-    split, cells, trained = _pivot_trained(spark, sf)
+@register_both_ranks
+def recommendation_confidence(spark, sf, **solver):
+    split, cells, trained = _pivot_trained(spark, sf, **solver)
     served = recommend.recommend_uncentered(
         tables.users(spark, sf), cells, split.drop("is_test"), tables.movies(spark, sf), trained
     )
@@ -690,5 +708,3 @@ def model_status(spark, sf):
     versions = runs.select("version", "run_id", F.lit(None).cast("timestamp").alias("created_at"))
     return registry.model_status(log, versions, _alias_events(runs)).drop("last_trained")
 
-
-REGISTRY["recommend"] = REGISTRY.pop("recommend_users")

@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelspark.constants import (
-    EVAL_CAP,
     HOLDOUT_PCT,
     N_COMPONENTS,
     SEED,
     TRAIN_CHUNK_SIZE,
-    TRAIN_MAX_ROWS,
-    USER_MOD_BASE,
-    USER_MOD_REMAINDER,
 )
 from reelspark.operators.evaluate import evaluate
 from reelspark.operators.model import FactorModel, train_svd
@@ -34,17 +30,21 @@ from reelspark.streaming.intake import run_intake
 def train_and_evaluate(
     ratings: DataFrame,
     k: int = N_COMPONENTS,
-    base: int = USER_MOD_BASE,
-    remainder: int = USER_MOD_REMAINDER,
+    base: int = 1,
+    remainder: int = 0,
     percent: int = HOLDOUT_PCT,
-    max_rows: int = TRAIN_MAX_ROWS,
+    max_rows: int | None = None,
     chunk: int = TRAIN_CHUNK_SIZE,
-    cap: int = EVAL_CAP,
+    cap: int | None = None,
     batch_id: str | None = None,
 ) -> tuple[FactorModel, dict[str, float]]:
-    """A model and its holdout errors; no errors when the holdout is empty."""
+    """A model and its holdout errors; no errors when the holdout is empty.
+
+    All users and rows take part; ``base``/``remainder`` draw a user sample, ``max_rows`` and ``cap``
+    cut the training and the evaluation rows.
+    """
     train = train_rows(ratings, base, remainder, percent, batch_id)
-    if train.count() > effective_cap(max_rows, chunk):
+    if max_rows is not None and train.count() > effective_cap(max_rows, chunk):
         train = materialise(capped_train_rows(train.select("userId", "movieId", "timestamp", "rating"), max_rows, chunk))
     model = train_svd(train, k)
     pairs = latest_known_holdout(

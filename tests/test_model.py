@@ -39,16 +39,6 @@ def test_repeated_pair_sums_centred_and_averages_plain(ratings_of):
     assert {r["userId"]: r["v"] for r in profile.rating_cells(df).collect()} == {1: 3.0, 2: 3.0}
 
 
-def test_converged_solver_equals_numpy(ratings_of):
-    cells = model.centered_cells(ratings_of(random_rows()), 2.75)
-    found = factorise.truncated_svd(cells, 6, method="lanczos")
-    _, _, matrix = dense(cells)
-    u, s, vt = np.linalg.svd(matrix, full_matrices=False)
-    assert np.allclose(found.singular_values, s[:6], atol=1e-8)
-    approx = stacked(found.users, "userId") @ stacked(found.items, "movieId").T
-    assert np.allclose(approx, u[:, :6] * s[:6] @ vt[:6], atol=1e-6)
-
-
 @pytest.mark.parametrize("budget", [1 << 26, 1])
 def test_randomised_solver_equals_its_dense_form(ratings_of, budget):
     cells = model.centered_cells(ratings_of(random_rows()), 2.75)
@@ -156,3 +146,41 @@ def test_saved_model_predicts_the_same(spark, trained, tmp_path):
     pairs = rows.select("userId", "movieId").distinct()
     key = lambda frame: sorted(map(tuple, frame.collect()))
     assert key(model.predict(pairs, loaded)) == key(model.predict(pairs, fitted))
+
+
+@pytest.mark.parametrize("budget", [1 << 26, 1])
+def test_rank_one_from_ones_is_power_iteration(ratings_of, budget):
+    cells = model.centered_cells(ratings_of(random_rows()), 2.75)
+    found = factorise.truncated_svd(cells, 1, oversample=0, start="ones", power_iterations=3, budget=budget)
+    _, _, matrix = dense(cells)
+    z = np.ones(matrix.shape[1])
+    for _ in range(4):
+        last = z / np.linalg.norm(z)
+        z = matrix.T @ (matrix @ last)
+    assert np.isclose(found.singular_values[0], np.sqrt(z @ z / (z @ last)))
+    approx = stacked(found.users, "userId") @ stacked(found.items, "movieId").T
+    v = z / np.linalg.norm(z)
+    assert np.allclose(approx, np.outer(matrix @ v, v))
+    with pytest.raises(ValueError, match="one wide"):
+        factorise.truncated_svd(cells, 2, start="ones")
+
+
+def test_passes_send_only_touched_slices(spark, monkeypatch):
+    """Many stored partitions and many items: what a pass sends follows tasks and touched slices."""
+    cells = spark.createDataFrame([(u, 10_000 * (u % 2) + i, 1.0 + u % 3) for u in range(40) for i in range(5)], "userId INT, movieId INT, v DOUBLE")
+    padding = spark.createDataFrame([(1000, m, 1.0) for m in range(100, 3000)], "userId INT, movieId INT, v DOUBLE")
+    sent = []
+    original = type(cells).mapInArrow
+
+    def counted(self, function, schema, *rest, **more):
+        frame = original(self, function, schema, *rest, **more)
+        if schema == "part INT, block BINARY":
+            sent.append(frame.count())
+        return frame
+
+    monkeypatch.setattr(type(cells), "mapInArrow", counted)
+    monkeypatch.setattr(factorise, "matrix_partitions", lambda spark, nnz: 64)
+    factorise.truncated_svd(cells.unionByName(padding), 2, oversample=2, power_iterations=1)
+    folds = factorise._FOLDS_PER_CORE * spark.sparkContext.defaultParallelism
+    slices = -(-2910 // factorise._SLICE)
+    assert sent and sent[0] <= slices + 3 * folds < slices * 64
