@@ -50,6 +50,13 @@ def row_hash(*columns: str, seed: int = SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(name).cast("string") for name in columns]))
 
 
+def row_digest(*columns: str, seed: int = SEED) -> Column:
+    """Seeded md5 over the columns with their lengths, so that nulls and separators cannot be mistaken."""
+    texts = [F.col(name).cast("string") for name in columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+
+
 def file_stem(path: Column) -> Column:
     """Last path segment without its extension."""
     name = F.element_at(F.split(path, "/"), -1)

@@ -16,7 +16,11 @@ _TYPES = {"userId": "int", "movieId": "int", "rating": "double", "timestamp": "b
 
 
 def _typed(name: str) -> Column:
-    return F.col(name).try_cast(_TYPES[name])
+    """The value as its type; null where it does not parse or is not a finite number."""
+    value = F.col(name).try_cast(_TYPES[name])
+    if _TYPES[name] != "double":
+        return value
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
 
 
 def valid_rows(raw: DataFrame, *extra: str) -> DataFrame:

@@ -12,7 +12,7 @@ from reelspark.constants import (
     UNKNOWN_GENRES,
     UNKNOWN_TITLE,
 )
-from reelspark.functions.scalar import hash_number, round_binary, row_hash
+from reelspark.functions.scalar import hash_number, round_binary, row_digest
 
 
 def user_counts(ratings: DataFrame) -> DataFrame:
@@ -223,8 +223,8 @@ def batch_lineage(tagged: DataFrame) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count plus two order-free digests of the content."""
-    hashed = df.select(hash_number(row_hash(*df.columns)).alias("h"))
+    """Row count plus two order-free digests of the content, which tell nulls and value borders apart."""
+    hashed = df.select(hash_number(row_digest(*df.columns)).alias("h"))
     return hashed.agg(
         F.count(F.lit(1)).alias("n"),
         F.bit_xor("h").alias("xor_hash"),

@@ -25,6 +25,7 @@ held AS (SELECT u, m, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
 h AS (SELECT r.*, hold FROM r JOIN held USING (u, m))"""
 
 ROW = "u AS user_id, m AS movie_id, rating, ts"
+LENGTHED = ", ".join(f"concat(length(CAST({c} AS VARCHAR)), ':', {c})" for c in ("u", "m", "rating", "ts"))
 ROW_HASH = "md5(concat_ws(':', '42', u, m, ts, rating))"
 
 
@@ -247,7 +248,7 @@ GROUP BY 1""",
     "top_most_rated": _with(R, M, STATS)
     + "SELECT movie_id, title, avg_rating, num_ratings FROM stats ORDER BY num_ratings DESC, movie_id LIMIT 5",
     "dataset_fingerprint": _with(R)
-    + f""", k AS (SELECT CAST('0x' || substr({ROW_HASH.replace('ts, rating', 'rating, ts')}, 1, 15) AS BIGINT) AS x FROM r)
+    + f""", k AS (SELECT CAST('0x' || substr(md5(concat_ws('|', '42', {LENGTHED})), 1, 15) AS BIGINT) AS x FROM r)
 SELECT count(*) AS n, bit_xor(x) AS xor_hash, CAST(sum(x) % 1000000007 AS BIGINT) AS sum_hash FROM k""",
     "user_mod_sample": _with(R) + f"SELECT {ROW} FROM r WHERE u % 6 = 0",
     "holdout_split": _crc() + f"SELECT {ROW} FROM h WHERE hold",

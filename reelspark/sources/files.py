@@ -71,11 +71,25 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in _fs(spark, path).listStatus(_path(spark, path)))
 
 
-def move(spark: SparkSession, source: str, folder: str) -> str:
-    """Move a file or folder into ``folder``; an entry of that name must not exist there."""
+def holds_csv(spark: SparkSession, path: str) -> bool:
+    """Whether a folder has a CSV file somewhere below it."""
+    fs, found = _fs(spark, path), None
+    if not fs.getFileStatus(_path(spark, path)).isDirectory():
+        return False
+    found = fs.listFiles(_path(spark, path), True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(".csv"):
+            return True
+    return False
+
+
+def move(spark: SparkSession, source: str, folder: str, spare: str | None = None) -> str:
+    """Move a file or folder into ``folder``, under the name ``spare`` if its own is taken there."""
     fs = _fs(spark, source)
     fs.mkdirs(_path(spark, folder))
     target = f"{folder.rstrip('/')}/{_path(spark, source).getName()}"
+    if spare is not None and fs.exists(_path(spark, target)):
+        target = f"{folder.rstrip('/')}/{spare}"
     if not fs.rename(_path(spark, source), _path(spark, target)):
         raise OSError(f"could not move {source} to {target}")
     return target

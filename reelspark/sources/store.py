@@ -57,6 +57,9 @@ class RatingsStore:
         self._replace_partitions(_typed(rows, _REJECTS), "rejects")
 
     def _replace_partitions(self, rows: DataFrame, name: str) -> None:
+        # A batch comes from few tasks, clustered by user: few files, and readers skip by min/max.
+        keys = [key for key in ("batch_seq", *KEY) if key in rows.columns]
+        rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("batch_seq").parquet(self._at(name))
 

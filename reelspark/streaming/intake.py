@@ -1,14 +1,20 @@
-"""Batch files in a landing folder, taken in name order into the ratings store."""
+"""Batch files in a landing folder, taken in name order into the ratings store.
+
+A stream finds what has landed; what it will not report again (a file sent anew under an old
+name) is found by listing the folder. Either way the numbers of the batches are written down
+before anything is published, so a replay after any failure publishes the same batches again.
+"""
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from reelspark.constants import BATCH_PREFIX
+from reelspark.constants import BATCH_PREFIX, REQUIRED_COLUMNS
 from reelspark.operators.ingest import latest_by_key, rejected_rows, valid_rows
-from reelspark.session import broadcast_if_small
+from reelspark.session import broadcast_if_small, materialise
 from reelspark.sources import files
 from reelspark.sources.schema import missing_columns
 from reelspark.sources.store import RatingsStore
@@ -22,8 +28,7 @@ _FILE = T.StructType(
     ]
 )
 
-# Batches of one trigger get consecutive numbers below this.
-_PER_TRIGGER = 1_000_000
+_PROGRESS = "entry STRING, batch_seq BIGINT"
 
 
 def feed_landing(spark: SparkSession, incoming: str, landing: str) -> str | None:
@@ -34,67 +39,96 @@ def feed_landing(spark: SparkSession, incoming: str, landing: str) -> str | None
     return files.move(spark, f"{incoming}/{waiting[0]}", landing) if waiting else None
 
 
-def _entry(path: str, landing: str) -> str:
-    """The file or folder of the landing folder that a path belongs to."""
-    inside = path.split(landing.rstrip("/").split(":", 1)[-1] + "/", 1)[-1]
-    return inside.split("/", 1)[0]
-
-
 def batch_id_of(entry: str) -> str:
     """A batch is named by its file stem, or by the value of its partition folder."""
     name = entry.split("=", 1)[-1]
     return name.rsplit(".", 1)[0] if "." in name else name
 
 
-def ingest_batches(
-    spark: SparkSession, store: RatingsStore, landing: str, batches: dict[str, list[str]], first_seq: int
-) -> list[str]:
-    """Publish the given batches in name order; returns the entries that lack required columns.
-
-    Batches with the same header are read in one job.
+def _entry_of(path: Column, landing: str) -> Column:
+    """The file or folder of the landing folder that a path belongs to."""
+    marker = landing.rstrip("/").split(":", 1)[-1] + "/"
+    return F.substring_index(F.substring_index(path, marker, -1), "/", 1)
+
+
+def _numbered(spark: SparkSession, progress: str, key: str, entries: list[str]) -> dict[str, int]:
+    """The batch numbers of a trigger: those written down before, else the next ones in name order."""
+    path = f"{progress}/numbers/trigger={key}"
+    if not files.published(spark, path):
+        last = -1
+        if files.list_names(spark, f"{progress}/numbers"):
+            known = spark.read.schema(_PROGRESS).json(f"{progress}/numbers").agg(F.max("batch_seq")).first()[0]
+            last = -1 if known is None else known
+        rows = [(entry, last + 1 + i) for i, entry in enumerate(sorted(entries))]
+        spark.createDataFrame(rows, _PROGRESS).coalesce(1).write.mode("overwrite").json(path)
+    return {row["entry"]: row["batch_seq"] for row in spark.read.schema(_PROGRESS).json(path).collect()}
+
+
+def _lines(spark: SparkSession, landing: str, entries: list[str]) -> DataFrame:
+    """(_entry, _file, _block, _line, value) of all lines of the entries' CSV files."""
+    paths = [f"{landing.rstrip('/')}/{entry}" for entry in entries]
+    raw = files.with_file_order(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(paths))
+    # File paths are percent-encoded, but a plus sign stands for itself.
+    decoded = F.url_decode(F.replace(F.col("_file"), F.lit("+"), F.lit("%2B")))
+    return raw.withColumn("_entry", _entry_of(decoded, landing))
+
+
+def ingest_batches(spark: SparkSession, store: RatingsStore, landing: str, numbers: dict[str, int]) -> list[str]:
+    """Publish the given entries under their numbers; returns those of which no file could be taken.
+
+    The first lines of all files are found in one job. Every file is bound by its own header,
+    whatever the others of its folder look like; a file that lacks required columns is refused by
+    itself. Drivers only see distinct headers and entries.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for entry in sorted(batches):
-        header = tuple(files.read_text_csv(spark, batches[entry][0]).columns)
-        by_header.setdefault(header, []).append(entry)
-    numbers = {entry: first_seq + i for i, entry in enumerate(sorted(batches))}
-    refused: list[str] = []
-    accepted = bad = None
-    for header, entries in by_header.items():
-        missing = missing_columns(header)
-        if missing:
-            refused += entries
-            reason = f"missing columns: {', '.join(missing)}"
-            rows = spark.createDataFrame(
-                [(batch_id_of(e), reason, numbers[e]) for e in entries], "batch_id STRING, reason STRING, batch_seq BIGINT"
-            )
-            rejected = rows
-        else:
-            names = spark.createDataFrame(
-                [(e, batch_id_of(e), numbers[e]) for e in entries], "_entry STRING, batch_id STRING, batch_seq BIGINT"
-            )
-            raw = files.with_file_order(files.read_text_csv(spark, [p for e in entries for p in batches[e]]))
-            marker = landing.rstrip("/").split(":", 1)[-1] + "/"
-            # File paths are percent-encoded, but a plus sign stands for itself.
-            decoded = F.url_decode(F.replace(F.col("_file"), F.lit("+"), F.lit("%2B")))
-            inside = F.substring_index(decoded, marker, -1)
-            tagged = raw.withColumn("_entry", F.substring_index(inside, "/", 1)).join(
-                broadcast_if_small(names, len(entries), 512), "_entry"
-            )
-            carried = ["batch_id", "batch_seq", "_file", "_block", "_line"]
-            good = valid_rows(tagged, *carried)
-            rejected = rejected_rows(tagged, "batch_id", "batch_seq")
-            accepted = good if accepted is None else accepted.unionByName(good)
-        bad = rejected if bad is None else bad.unionByName(rejected, allowMissingColumns=True)
-    if accepted is not None:
-        latest = latest_by_key(accepted, "batch_seq", "_file", "_block", "_line")
+    lines = _lines(spark, landing, list(numbers))
+    place = F.struct("_block", "_line")
+    firsts = materialise(
+        lines.groupBy("_entry", "_file").agg(F.min_by("value", place).alias("_header"), F.min(place).alias("_first"))
+    )
+    table = spark.createDataFrame([(e, batch_id_of(e), n) for e, n in numbers.items()], "_entry STRING, batch_id STRING, batch_seq BIGINT")
+    table = broadcast_if_small(table, len(numbers), 512)
+    headers = [row["_header"] for row in firsts.select("_header").distinct().collect()]
+    names = {header: next(csv.reader([header]), []) for header in headers}
+    missing = {header: missing_columns(columns) for header, columns in names.items()}
+    body = lines.join(firsts.drop("_entry"), "_file").where(F.struct("_block", "_line") > F.col("_first"))
+    body = body.where(F.trim("value") != "").join(table, "_entry")
+
+    accepted, rejected = [], []
+    carried = ["batch_id", "batch_seq", "_file", "_block", "_line"]
+    for header, columns in names.items():
+        if missing[header]:
+            continue
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(columns))])
+        parsed = body.where(F.col("_header") == header).withColumn("_row", F.from_csv("value", schema.simpleString()[7:-1].replace(":", " ")))
+        place_of = {name: i for i, name in reversed(list(enumerate(columns)))}
+        typed = parsed.select(*carried, *[F.col(f"_row.c{place_of[name]}").alias(name) for name in REQUIRED_COLUMNS])
+        accepted.append(valid_rows(typed, *carried))
+        rejected.append(rejected_rows(typed, "batch_id", "batch_seq"))
+    refused = [(header, f"missing columns: {', '.join(gone)}") for header, gone in missing.items() if gone]
+    if refused:
+        reasons = spark.createDataFrame(refused, "_header STRING, reason STRING")
+        rejected.append(firsts.join(reasons, "_header").join(table, "_entry").select("batch_id", "batch_seq", "reason"))
+    taken = firsts.where(F.col("_header").isin([h for h, gone in missing.items() if not gone])) if names else firsts
+    taken = {row["_entry"] for row in taken.select("_entry").distinct().collect()}
+    unread = sorted(set(numbers) - {row["_entry"] for row in firsts.select("_entry").distinct().collect()})
+    if unread:
+        empty = [(batch_id_of(e), numbers[e], "missing columns: " + ", ".join(sorted(REQUIRED_COLUMNS))) for e in unread]
+        rejected.append(spark.createDataFrame(empty, "batch_id STRING, batch_seq BIGINT, reason STRING"))
+    if accepted:
+        rows = accepted[0]
+        for more in accepted[1:]:
+            rows = rows.unionByName(more)
+        latest = latest_by_key(rows, "batch_seq", "_file", "_block", "_line")
         store.publish(latest.withColumn("imported_at", F.current_timestamp()))
-    if bad is not None:
-        for name in ("userId", "movieId", "rating", "timestamp"):
-            if name not in bad.columns:
-                bad = bad.withColumn(name, F.lit(None).cast("string"))
-        store.reject(bad)
-    return refused
+    if rejected:
+        rows = rejected[0]
+        for more in rejected[1:]:
+            rows = rows.unionByName(more, allowMissingColumns=True)
+        for name in REQUIRED_COLUMNS:
+            if name not in rows.columns:
+                rows = rows.withColumn(name, F.lit(None).cast("string"))
+        store.reject(rows)
+    return [entry for entry in numbers if entry not in taken]
 
 
 def run_intake(
@@ -106,40 +140,54 @@ def run_intake(
     checkpoint: str,
     after_publish: Callable[[int], None] | None = None,
 ) -> None:
-    """Take everything that has landed since the last run, then stop.
+    """Take everything that lies in ``landing``, then stop.
 
-    The stream only carries file paths. Files are moved after the batch is published
-    and ``after_publish`` has succeeded; a replayed trigger skips what was moved and
-    publishes the rest under the same numbers.
+    Files are moved after their batch is published and ``after_publish`` has succeeded. A replayed
+    trigger publishes what has not been moved yet under the numbers written down at first. A file
+    sent again under an old name is a new batch with a higher number; its rows replace older ones.
     """
     # A publish replaces the partitions it names, so replays are harmless.
     store.init_schema()
 
-    def handle(paths: DataFrame, trigger: int) -> None:
-        batches: dict[str, list[str]] = {}
-        for row in paths.select("path").collect():
-            batches.setdefault(_entry(row["path"], landing), []).append(row["path"])
-        present = {e: sorted(p) for e, p in batches.items() if files.exists(spark, f"{landing}/{e}")}
+    def take(key: str, entries: list[str], trigger: int) -> None:
+        numbers = _numbered(spark, checkpoint, key, entries)
+        present = {e: n for e, n in numbers.items() if files.exists(spark, f"{landing}/{e}")}
         if not present:
             return
-        refused = ingest_batches(spark, store, landing, present, trigger * _PER_TRIGGER)
+        refused = ingest_batches(spark, store, landing, present)
         if after_publish is not None and len(refused) < len(present):
             after_publish(trigger)
         for entry in sorted(present):
-            files.move(spark, f"{landing}/{entry}", failed if entry in refused else processed)
+            target = failed if entry in refused else processed
+            files.move(spark, f"{landing}/{entry}", target, f"{entry}.{present[entry]}")
+
+    def handle(paths: DataFrame, trigger: int) -> None:
+        found = paths.select(_entry_of(F.col("path"), landing).alias("entry")).distinct().collect()
+        if found:
+            take(f"stream-{trigger}", [row["entry"] for row in found], trigger)
 
     landed = (
         spark.readStream.format("binaryFile")
         .schema(_FILE)
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
+        # Age says nothing: a backlog moved in keeps its old times.
+        .option("maxFileAge", "36500d")
         .load(landing)
         .select("path")
     )
     query = (
         landed.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", f"{checkpoint}/stream")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    # What the stream has seen before under the same name, and listings a failure interrupted.
+    names = [n for n in files.list_names(spark, f"{checkpoint}/numbers") if n.startswith("trigger=listing-")]
+    last = max((int(n.rsplit("-", 1)[1]) for n in names), default=-1)
+    if last >= 0:
+        take(f"listing-{last}", [], last)
+    waiting = [n for n in files.list_names(spark, landing) if n.endswith(".csv") or files.holds_csv(spark, f"{landing}/{n}")]
+    if waiting:
+        take(f"listing-{last + 1}", waiting, last + 1)

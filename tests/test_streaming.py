@@ -1,5 +1,9 @@
+import os
+import time
+
 import pytest
 
+from reelspark.sources import files
 from reelspark.sources.models import Registry
 from reelspark.sources.store import RatingsStore
 from reelspark.streaming.intake import feed_landing, run_intake
@@ -143,3 +147,72 @@ def test_no_production_model(spark, tmp_path):
 def test_training_without_rows_fails(ratings_of):
     with pytest.raises(ValueError, match="no training rows"):
         train_and_evaluate(ratings_of([(1, 1, 3.0, 1)]), base=2, remainder=0)
+
+
+@pytest.mark.parametrize("failing", [1, 2, 3])
+def test_crash_between_moves_replays_to_the_undisturbed_state(spark, folders, monkeypatch, failing):
+    for number in (1, 2, 3):
+        (folders / "landing" / f"ratings_batch_{number:03d}.csv").write_text(HEADER + f"{number},10,{number}.0,100\n9,9,{number}.0,5\n")
+    store = RatingsStore(spark, str(folders / "store"))
+    moves, move = [], files.move
+
+    def flaky(*args):
+        moves.append(args)
+        if len(moves) == failing:
+            raise OSError("no space")
+        return move(*args)
+
+    monkeypatch.setattr(files, "move", flaky)
+    with pytest.raises(Exception):
+        run(spark, folders, store)
+    run(spark, folders, store)
+    assert state(store) == {
+        **{(n, 10, 100): (float(n), f"ratings_batch_{n:03d}") for n in (1, 2, 3)}, (9, 9, 5): (3.0, "ratings_batch_003"),
+    }
+    assert names(folders / "landing") == [] and len(names(folders / "processed")) == 3
+
+
+def test_files_of_a_folder_are_bound_by_their_own_header(spark, folders):
+    part = folders / "landing" / "batch_id=b1"
+    part.mkdir()
+    (part / "p0.csv").write_text(HEADER + "1,10,3.0,100\n")
+    (part / "p1.csv").write_text('movieId,"userId",rating,timestamp\n20,2,4.0,100\n')
+    (part / "p2.csv").write_text("userId,movieId,rating\n5,5,5.0\n")
+    store = RatingsStore(spark, str(folders / "store"))
+    run(spark, folders, store)
+    assert state(store) == {(1, 10, 100): (3.0, "b1"), (2, 20, 100): (4.0, "b1")}
+    assert [r["reason"] for r in store.rejects().collect()] == ["missing columns: timestamp"]
+
+
+def test_every_row_is_accepted_or_rejected(spark, folders):
+    values = ["3.0", "NaN", "Infinity", "-Infinity", "inf", "x", ""]
+    (folders / "landing" / "b.csv").write_text(HEADER + "".join(f"{i},1,{v},100\n" for i, v in enumerate(values)))
+    (folders / "landing" / "empty.csv").write_text("")
+    store = RatingsStore(spark, str(folders / "store"))
+    run(spark, folders, store)
+    rejects = [r for r in store.rejects().collect() if r["batch_id"] == "b"]
+    assert set(state(store)) == {(0, 1, 100)} and len(rejects) == len(values) - 1
+    assert names(folders / "failed") == ["empty.csv"]
+
+
+def test_old_files_and_files_sent_again_are_taken(spark, folders):
+    store = RatingsStore(spark, str(folders / "store"))
+    first = folders / "landing" / "b.csv"
+    first.write_text(HEADER + "1,10,3.0,100\n")
+    run(spark, folders, store)
+    old = folders / "landing" / "a.csv"
+    old.write_text(HEADER + "2,10,3.0,100\n")
+    os.utime(old, (time.time() - 864_000,) * 2)
+    first.write_text(HEADER + "1,10,4.5,100\n")
+    run(spark, folders, store)
+    assert state(store) == {(1, 10, 100): (4.5, "b"), (2, 10, 100): (3.0, "a")}
+    assert names(folders / "landing") == [] and len(names(folders / "processed")) == 3
+
+
+def test_a_batch_is_few_files(spark, folders):
+    for number in range(5):
+        (folders / "landing" / f"b{number}.csv").write_text(HEADER + "".join(f"{u},1,3.0,{number}\n" for u in range(200)))
+    store = RatingsStore(spark, str(folders / "store"))
+    run(spark, folders, store)
+    parts = list((folders / "store" / "log").rglob("part-*.parquet"))
+    assert len(parts) <= 5 + int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
