@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from reelspark.plans.queries import REGISTRY
@@ -41,7 +42,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = build_session("bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus))
+    # Intermediate tables of the run lie in one folder, which goes with it.
+    with tempfile.TemporaryDirectory(prefix="bench-") as folder:
+        conf = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": f"{folder}/warehouse"}
+        spark = build_session("bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus), **conf)
+        measure(spark, names, sf_dir, cpus)
+
+
+def measure(spark, names: list[str], sf_dir: str, cpus: str) -> None:
     # Session start and first-query compilation are not part of any query.
     REGISTRY["load_check"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds = {}

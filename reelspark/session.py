@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -51,10 +54,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for the tables ``materialise`` writes inside the block; it goes when the block ends.
+
+    For jobs whose results are stored elsewhere. A query that returns a frame over such tables
+    cannot end its block before the frame is read, so its tables stay for the owner of the folder.
+    """
+    path = f"{shared_folder(spark).rstrip('/')}/scratch/{uuid.uuid4().hex}"
+    token = _scope.set(path)
+    try:
+        yield path
+    finally:
+        _scope.reset(token)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage, survives executor loss,
     keeps column pruning and gives the optimizer the real size."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    folder = _scope.get() or f"{shared_folder(df.sparkSession).rstrip('/')}/tables"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from inspect import signature
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelspark.constants import (
     HOLDOUT_PCT,
     N_COMPONENTS,
     SEED,
+    STAGING_ALIAS,
     TRAIN_CHUNK_SIZE,
 )
+from reelspark.operators.drift import drift_ks
 from reelspark.operators.evaluate import evaluate
 from reelspark.operators.model import FactorModel, train_svd
+from reelspark.operators.profile import fingerprint
 from reelspark.operators.sampling import (
     capped_train_rows,
     distinct_movies,
@@ -21,7 +26,7 @@ from reelspark.operators.sampling import (
     latest_known_holdout,
     train_rows,
 )
-from reelspark.session import materialise
+from reelspark.session import materialise, scratch
 from reelspark.sources.models import Registry, load_model, save_model
 from reelspark.sources.store import RatingsStore
 from reelspark.streaming.intake import run_intake
@@ -57,20 +62,50 @@ def train_and_evaluate(
     return model, {} if row is None else {name: float(row[name]) for name in ("rmse", "mae", "predictions")}
 
 
+def data_version(ratings: DataFrame) -> str:
+    """Rows and digests of the ratings a run has seen."""
+    mark = fingerprint(ratings.select("userId", "movieId", "rating", "timestamp")).first()
+    return f"{mark['n']}-{mark['xor_hash']}-{mark['sum_hash']}"
+
+
+def newest_batch_drift(ratings: DataFrame) -> dict[str, float]:
+    """KS statistic of the newest batch's ratings against all others; nothing with one batch."""
+    newest = ratings.agg(F.max("batch_seq")).first()[0]
+    before, after = (ratings.where(c) for c in (F.col("batch_seq") < newest, F.col("batch_seq") == newest))
+    if newest is None or before.isEmpty():
+        return {}
+    row = drift_ks(before, after, ["rating"]).first()
+    return {"rating_ks": float(row["ks"]), "rating_drift": float(row["drift"])}
+
+
 def retrain(store: RatingsStore, registry: Registry, scope: str = "cumulative", **training) -> str:
-    """Train on the stored ratings (or on the newest batch), log, register and promote."""
-    ratings = store.current().withColumn("rating", F.col("rating").cast("double"))
-    batch_id = None
-    if scope == "batch":
-        batch_id = store.log().agg(F.max_by("batch_id", "batch_seq")).first()[0]
-    model, metrics = train_and_evaluate(ratings, batch_id=batch_id, **training)
-    params = {"n_components": model.k, "random_state": SEED, "train_scope": scope, **training}
-    run_id = registry.log_run(params, metrics)
-    version = registry.register(run_id)
-    save_model(model, registry.model_path(version))
-    if metrics:
-        registry.promote(run_id)
-    return run_id
+    """Train on the stored ratings (or on the newest batch), log, register, stage and promote.
+
+    The log holds every effective parameter, the split sizes, the version of the data and whether
+    the newest batch has drifted. Intermediate tables go when the run ends.
+    """
+    with scratch(registry.spark):
+        ratings = materialise(store.current().withColumn("rating", F.col("rating").cast("double")))
+        batch_id = None
+        if scope == "batch":
+            batch_id = store.log().agg(F.max_by("batch_id", "batch_seq")).first()[0]
+        model, metrics = train_and_evaluate(ratings, batch_id=batch_id, **training)
+        defaults = {
+            name: value.default
+            for name, value in signature(train_and_evaluate).parameters.items()
+            if name not in ("ratings", "batch_id", "k")
+        }
+        params = {
+            **defaults, **training, "n_components": model.k, "random_state": SEED, "train_scope": scope,
+            "batch_id": batch_id, "n_train": model.n_train, "n_ratings": ratings.count(), "data_version": data_version(ratings),
+        }
+        run_id = registry.log_run(params, {**metrics, **newest_batch_drift(ratings)})
+        version = registry.register(run_id)
+        save_model(model, registry.model_path(version))
+        registry.set_alias(STAGING_ALIAS, version)
+        if metrics:
+            registry.promote(run_id)
+        return run_id
 
 
 def run_pipeline(

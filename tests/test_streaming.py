@@ -1,8 +1,10 @@
 import os
+import pathlib
 import time
 
 import pytest
 
+from reelspark.session import shared_folder
 from reelspark.sources import files
 from reelspark.sources.models import Registry
 from reelspark.sources.store import RatingsStore
@@ -132,6 +134,12 @@ def test_batch_to_promoted_model(spark, folders):
     best = min(runs.values(), key=lambda r: r["metrics"]["rmse"])["run_id"]
     status = {r["alias"]: r for r in registry.status().collect()}
     assert status["production"]["run_id"] == best and status["production"]["models_loaded"]
+    assert status["staging"]["version"] == 2
+    logged = next(r["params"] for r in runs.values() if r["params"]["train_scope"] == "batch")
+    assert {"base", "percent", "max_rows", "cap", "chunk", "n_train", "data_version", "batch_id", "random_state"} <= set(logged)
+    assert next(r["metrics"] for r in runs.values() if r["params"]["train_scope"] == "batch")["rating_drift"] in (0.0, 1.0)
+    scratch = pathlib.Path(shared_folder(spark).removeprefix("file://")) / "scratch"
+    assert not scratch.exists() or not list(scratch.iterdir())
     served = serving_model(registry)
     assert served.k == 5 and served.n_items == 30
     assert '"version": 1' in registry.summary_json(registry.versions().where("version = 1").first()["run_id"])
