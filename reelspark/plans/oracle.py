@@ -224,9 +224,10 @@ ORACLE: dict[str, str] = {
     "all_movie_ids": _with(M) + "SELECT m AS movie_id FROM m",
     "train_rows_capped": _crc() + f"SELECT {ROW} FROM h WHERE NOT hold ORDER BY u, m, ts, rating LIMIT 10000",
     "ingest_append": _with(R)
-    + """SELECT batch_id, count(*) AS inserted, round_even((sum(rating)) * 1e6, 0) / 1e6 AS sum_rating, max(ts) AS last_ts
-FROM r GROUP BY batch_id""",
-    "tag_batch": _with(R) + f"SELECT {ROW}, 'lineitem' AS batch_id FROM r",
+    + """, p AS (SELECT batch_id, count(*) AS inserted, sum(rating) AS s FROM r GROUP BY batch_id)
+SELECT batch_id, inserted, CAST(sum(inserted) OVER w AS BIGINT) AS total, round_even((sum(s) OVER w) * 1e6, 0) / 1e6 AS sum_rating
+FROM p WINDOW w AS (ORDER BY batch_id ROWS UNBOUNDED PRECEDING)""",
+    "tag_batch": "SELECT l_orderkey AS order_id, l_partkey AS movie_id, l_linenumber AS line, 'lineitem' AS batch_id FROM lineitem",
     "upsert_ratings": _with(R, LATEST) + f"SELECT {ROW}, batch_id FROM latest",
     "stream_intake": _with(R, LATEST) + f"SELECT {ROW}, batch_id FROM latest",
     "batch_lineage": _with(R, LATEST)
@@ -237,6 +238,11 @@ CASE WHEN l_linestatus = 'F' THEN '851990400' END AS ts,
 CASE WHEN l_returnflag = 'R' THEN 'malformed rating' ELSE 'missing timestamp' END AS reason
 FROM lineitem WHERE l_returnflag = 'R' OR l_linestatus <> 'F'""",
     "split_n_batches": _split_report("ceil(count(*) / 250)::BIGINT"),
+    "split_files": _with(R)
+    + """, n AS (SELECT row_number() OVER (ORDER BY u, m, ts, rating) - 1 AS i, u, m, rating FROM r),
+z AS (SELECT ceil(count(*) / 250)::BIGINT AS size FROM r)
+SELECT 'ratings_batch_' || lpad(CAST(i // size + 1 AS VARCHAR), 3, '0') AS file, count(*) AS n, sum(rating) AS sum_rating,
+CAST(sum(m) AS BIGINT) AS sum_movie_id, min(u) AS first_user, max(u) AS last_user FROM n, z GROUP BY 1""",
     "split_by_size": _split_report("max(1000)"),
     "split_shuffled": _with(R)
     + f"""SELECT CAST(i // 1000 + 1 AS INT) AS batch_no, count(*) AS n, sum(rating) AS sum_rating,

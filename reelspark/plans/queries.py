@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from reelspark import constants as C
 from reelspark.functions.scalar import file_stem, in_user_sample, is_holdout, round_binary
 from reelspark.operators import drift, evaluate, factorise, ingest, model, popular, profile, recommend, registry, sampling
+from reelspark.operators.ordering import expand_copies
 from reelspark.session import materialise, shared_folder
-from reelspark.sources import files, tables
+from reelspark.sources import files, store, tables
 from reelspark.sources.store import RatingsStore
 from reelspark.streaming.intake import run_intake
 
@@ -65,20 +66,26 @@ def train_rows_capped(spark, sf):
 
 @register
 def ingest_append(spark, sf):
-    """Appending batch after batch keeps every row, repeated keys included."""
-    rows = tables.tagged_ratings(spark, sf)
-    return rounded(
-        rows.groupBy("batch_id").agg(
-            F.count(F.lit(1)).alias("inserted"), F.sum("rating").alias("sum_rating"), F.max("timestamp").alias("last_ts")
-        ),
-        "sum_rating",
-    )
+    """Each delivery appended to one table: rows written, and what the table holds after it."""
+    rows = materialise(tables.tagged_ratings(spark, sf))
+    path = f"{shared_folder(spark)}/append-{uuid.uuid4().hex}"
+    found = []
+    for row in rows.select("batch_id").distinct().orderBy("batch_id").collect():
+        inserted = store.append_ratings(rows.where(F.col("batch_id") == row["batch_id"]), path)
+        total = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s")).first()
+        found.append((row["batch_id"], inserted, total["n"], total["s"]))
+    report = spark.createDataFrame(found, "batch_id STRING, inserted BIGINT, total BIGINT, sum_rating DOUBLE")
+    return rounded(report, "sum_rating")
 
 
 @register
 def tag_batch(spark, sf):
-    path = F.lit(f"{sf.rstrip('/')}/lineitem.parquet")
-    return renamed(tables.ratings(spark, sf).withColumn("batch_id", file_stem(path)))
+    """Rows tagged with the stem of the file each was read from."""
+    rows = tables.table(spark, sf, "lineitem").withColumn("_path", F.col("_metadata.file_path"))
+    # A table may be a folder of files; its own name is the batch.
+    batch = file_stem(F.regexp_replace("_path", r"\.parquet/.*$", ".parquet"))
+    tagged = rows.select("l_orderkey", "l_partkey", "l_linenumber", batch.alias("batch_id"))
+    return tagged.withColumnsRenamed({"l_orderkey": "order_id", "l_partkey": "movie_id", "l_linenumber": "line"})
 
 
 @register
@@ -99,9 +106,9 @@ def stream_intake(spark, sf):
     root = f"{shared_folder(spark)}/intake-{uuid.uuid4().hex}"
     rows = tables.tagged_ratings(spark, sf)
     files.write_batches_csv(rows, f"{root}/landing", F.col("batch_id"), ROW_ORDER)
-    store = RatingsStore(spark, f"{root}/store")
-    run_intake(spark, store, f"{root}/landing", f"{root}/processed", f"{root}/failed", f"{root}/progress")
-    return renamed(store.current().withColumn("rating", F.col("rating").cast("double")).select(*ROW_ORDER, "batch_id"))
+    taken = RatingsStore(spark, f"{root}/store")
+    run_intake(spark, taken, f"{root}/landing", f"{root}/processed", f"{root}/failed", f"{root}/progress")
+    return renamed(taken.current().withColumn("rating", F.col("rating").cast("double")).select(*ROW_ORDER, "batch_id"))
 
 
 @register
@@ -125,6 +132,25 @@ def split_n_batches(spark, sf):
     return ingest.batch_report(pieces, ["userId", "movieId", "timestamp"])
 
 
+@register
+def split_files(spark, sf):
+    """The batches as named files, written and read back."""
+    pieces = ingest.split_by_count(tables.ratings(spark, sf).select(*ROW_ORDER), ROW_ORDER, C.N_BATCHES)
+    rows = expand_copies(pieces, "copies")
+    folder = f"{shared_folder(spark)}/split-{uuid.uuid4().hex}"
+    files.write_batch_files(rows, folder, ingest.batch_label(F.col("batch_no"), C.N_BATCHES), ROW_ORDER)
+    stem = F.regexp_replace(file_stem(F.col("_metadata.file_path")), r"-\d{4}$", "")
+    back = files.read_text_csv(spark, folder).select("*", stem.alias("file"))
+    typed = ingest.valid_rows(back, "file")
+    return typed.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("rating").alias("sum_rating"),
+        F.sum(F.col("movieId").cast("bigint")).alias("sum_movie_id"),
+        F.min("userId").alias("first_user"),
+        F.max("userId").alias("last_user"),
+    )
+
+
 @register
 def split_by_size(spark, sf):
     pieces = ingest.split_by_size(tables.ratings(spark, sf), ROW_ORDER, C.BATCH_SIZE)

@@ -52,6 +52,25 @@ def write_batches_csv(rows: DataFrame, path: str, label: Column, order: Sequence
     ).csv(path)
 
 
+def write_batch_files(rows: DataFrame, folder: str, label: Column, order: Sequence[str]) -> None:
+    """One file ``<label>.csv`` with header per batch, rows in ``order``; a batch too large for one
+    task goes on in ``<label>-0002.csv`` and so on. Spark writes the files, the driver only names them."""
+    spark = rows.sparkSession
+    parts = f"{folder.rstrip('/')}/_parts"
+    write_batches_csv(rows, parts, label, order)
+    fs = _fs(spark, parts)
+    for name in list_names(spark, parts):
+        if "=" not in name:
+            continue
+        written = [n for n in list_names(spark, f"{parts}/{name}") if n.endswith(".csv")]
+        stem = name.split("=", 1)[1]
+        for number, part in enumerate(written, start=1):
+            target = f"{folder.rstrip('/')}/{stem}{'' if number == 1 else f'-{number:04d}'}.csv"
+            if not fs.rename(_path(spark, f"{parts}/{name}/{part}"), _path(spark, target)):
+                raise OSError(f"could not name {target}")
+    fs.delete(_path(spark, parts), True)
+
+
 def _path(spark: SparkSession, text: str):
     return spark._jvm.org.apache.hadoop.fs.Path(text)
 
