@@ -59,9 +59,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding them gives the text back."""
-    decoded = sentencepiece.decode(sentencepiece.encode(docs))
-    whole = F.col("decoded").eqNullSafe(F.translate("text", sentencepiece.SPACE, " "))
-    return decoded.select("doc_id", "lang", "source", "n_tokens", "token_ids", whole.alias("round_trip"))
+    encoded = sentencepiece.encode(docs, check="round_trip")
+    return encoded.select("doc_id", "lang", "source", "n_tokens", "token_ids", "round_trip")
 
 
 STAGES = [

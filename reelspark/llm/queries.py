@@ -56,9 +56,8 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = sentencepiece.decode(sentencepiece.encode(docs))
-    whole = F.col("decoded").eqNullSafe(F.translate("text", sentencepiece.SPACE, " "))
-    return decoded.select("doc_id", "n_tokens", "token_ids", whole.alias("round_trip"))
+    encoded = sentencepiece.encode(docs, check="round_trip")
+    return encoded.select("doc_id", "n_tokens", "token_ids", "round_trip")
 
 
 @_query

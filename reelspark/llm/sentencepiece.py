@@ -18,7 +18,7 @@ from reelspark.session import materialise
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 FREQUENT_WORDS = 1 << 17
-CACHED_WORDS = 1 << 17
+CACHED_WORDS = 1 << 16
 LONGEST_TOGETHER = 100
 _ROWS_AT_ONCE = 2_000
 _UNKNOWN_PENALTY = 10.0
@@ -239,9 +239,13 @@ def _frequent(docs: DataFrame, most: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), "word").limit(most).where("length(word) <= 64").select("word")
 
 
-def encode(df: DataFrame, text: str = "text", model: str = MODEL, frequent: int = FREQUENT_WORDS) -> DataFrame:
+def encode(
+    df: DataFrame, text: str = "text", model: str = MODEL, frequent: int = FREQUENT_WORDS, check: str | None = None
+) -> DataFrame:
     """All columns of ``df`` with ``token_ids`` and ``n_tokens`` (columns of these names are replaced).
 
+    ``check`` names a further column that says whether the ids, decoded, give the text back.
+
     A null text gives a null ``token_ids`` and 0 tokens, an empty text an empty list. Characters
     outside the vocabulary become bytes. A text's U+2581 is read as a space, as the format has it.
     Repeated rows give repeated results; an empty table gives none; texts are encoded whole.
@@ -258,7 +262,11 @@ def encode(df: DataFrame, text: str = "text", model: str = MODEL, frequent: int
     table = solved.toArrow()
     known = dict(zip(table["word"].to_pylist(), table["ids"].to_pylist(), strict=True))
     shared = spark.sparkContext.broadcast(known)
-    kept = [name for name in df.columns if name not in ("token_ids", "n_tokens")]
+    kept = [name for name in df.columns if name not in ("token_ids", "n_tokens", check)]
+    pieces = vocabulary.decoder() if check else {}
+
+    def gives(value: str | None, ids: list[int]) -> bool:
+        return b"".join(map(pieces.__getitem__, ids)).decode().removeprefix(" ") == (value or "").replace(SPACE, " ")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, met = shared.value, {}
@@ -280,11 +288,18 @@ def encode(df: DataFrame, text: str = "text", model: str = MODEL, frequent: int
             offsets = pa.array(ends, pa.int32(), mask=np.array([t is None for t in texts] + [False]))
             lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
             columns = [batch.column(name) for name in kept]
-            yield pa.RecordBatch.from_arrays([*columns, lists, counts], [*kept, "token_ids", "n_tokens"])
+            names = [*kept, "token_ids", "n_tokens"]
+            if check:
+                whole = [gives(value, ids[a:b]) for value, a, b in zip(texts, ends, ends[1:])]
+                columns, names = [*columns, lists, counts, pa.array(whole, pa.bool_())], [*names, check]
+            else:
+                columns = [*columns, lists, counts]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in kept)
     named = df.select(*kept, df[text].alias("_text"))
-    return named.mapInArrow(run, f"{fields}, token_ids array<int>, n_tokens long")
+    checked = f", `{check}` boolean" if check else ""
+    return named.mapInArrow(run, f"{fields}, token_ids array<int>, n_tokens long{checked}")
 
 
 def decode(df: DataFrame, ids: str = "token_ids", output: str = "decoded", model: str = MODEL) -> DataFrame:
