@@ -56,5 +56,17 @@ def test_round_trip(spark, frequent):
         assert row["n_tokens"] == len(row["token_ids"] or []) and row["token"] == "clash"
 
 
+def test_check_in_the_encoding_task(spark):
+    docs = edge_documents() + [(100 + k, t) for k, t in enumerate(TEXTS)]
+    rows = sp.encode(frame(spark, docs), check="whole").select("whole", "score").collect()
+    assert len(rows) == len(docs) and all(r["whole"] and r["score"] == "clash" for r in rows)
+
+
+def test_many_units_together(vocabulary):
+    rng = random.Random(2)
+    units = ["".join(rng.choice("abcdeé漢▁ .\n") for _ in range(rng.randrange(1, 140))) for _ in range(400)]
+    assert vocabulary.encode_units(units) == [vocabulary.encode_unit(u) for u in units]
+
+
 def test_nothing_to_encode(spark):
     assert sp.decode(sp.encode(frame(spark, []))).collect() == []
