@@ -431,3 +431,10 @@ FROM aliases JOIN runs USING (version)""",
 }
 
 ORACLE.update(_rank1())
+
+# The upper tail of the chi-square distribution as one minus the series of the lower one.
+ORACLE["drift_report"] = f"""SELECT "column", 'ks' AS test, ks AS statistic, p_value, drift FROM ({ORACLE["drift_ks"]})
+UNION ALL SELECT "column", 'chi2', chi2, CAST({_r6("p")} AS DOUBLE), p < 0.05 FROM (SELECT "column", chi2,
+  greatest(0.0, 1 - list_sum(list_transform(range(0, CAST(chi2 AS BIGINT) + 2000),
+    lambda n: exp((dof / 2 + n) * ln(chi2 / 2) - chi2 / 2 - lgamma(dof / 2 + n + 1))))) AS p
+  FROM ({ORACLE["drift_chi2"]}))"""
