@@ -18,7 +18,7 @@ from reelspark.session import materialise
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 FREQUENT_WORDS = 1 << 17
-CACHED_WORDS = 1 << 16
+CACHED_WORDS = 1 << 18
 LONGEST_TOGETHER = 100
 _ROWS_AT_ONCE = 2_000
 _UNKNOWN_PENALTY = 10.0
@@ -265,35 +265,44 @@ def encode(
     kept = [name for name in df.columns if name not in ("token_ids", "n_tokens", check)]
     pieces = vocabulary.decoder() if check else {}
 
-    def gives(value: str | None, ids: list[int]) -> bool:
-        return b"".join(map(pieces.__getitem__, ids)).decode().removeprefix(" ") == (value or "").replace(SPACE, " ")
+    def whole(texts: list[str | None], split: list[list[str]], distinct: list[str], paths: list[list[int]]) -> list[bool]:
+        """A text comes back if its units make it up and the ids of each unit decode to it."""
+        lost = {
+            unit for unit, path in zip(distinct, paths, strict=True)
+            if b"".join(map(pieces.__getitem__, path)).decode("utf-8", "replace") != unit.replace(SPACE, " ")
+        }
+        return [
+            "".join(units) == (SPACE + value.replace(" ", SPACE) if value else "") and lost.isdisjoint(units)
+            for value, units in zip(texts, split, strict=True)
+        ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, met = shared.value, {}
         for batch in (b.slice(at, _ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, _ROWS_AT_ONCE)):
             texts = batch.column("_text").to_pylist()
             split = [vocabulary.units(value or "") for value in texts]
-            distinct = set().union(*split)
+            coded = pa.array(list(chain.from_iterable(split)), pa.string()).dictionary_encode()
+            distinct, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
             new = [unit for unit in distinct if unit not in words and unit not in met]
             if len(met) + len(new) > CACHED_WORDS:
                 met.clear()
                 new = [unit for unit in distinct if unit not in words]
             met.update(zip(new, vocabulary.encode_units(new), strict=True))
-            paths = {unit: words[unit] if unit in words else met[unit] for unit in distinct}
-            ids, ends = [], [0]
-            for units in split:
-                ids.extend(chain.from_iterable(map(paths.__getitem__, units)))
-                ends.append(len(ids))
-            counts = pa.array(np.diff(ends), pa.int64())
-            offsets = pa.array(ends, pa.int32(), mask=np.array([t is None for t in texts] + [False]))
-            lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
+            paths = [words[unit] if unit in words else met[unit] for unit in distinct]
+            # The paths of all units in order, gathered from those of the distinct ones.
+            lengths = np.fromiter(map(len, paths), np.int64, len(paths))
+            flat = np.fromiter(chain.from_iterable(paths), np.int32, int(lengths.sum()))
+            first, size = (np.cumsum(lengths) - lengths)[place], lengths[place]
+            upto = np.concatenate([[0], np.cumsum(size)])
+            ids = flat[np.arange(upto[-1]) + np.repeat(first - upto[:-1], size)]
+            ends = upto[np.concatenate([[0], np.cumsum([len(units) for units in split], dtype=np.int64)])]
             columns = [batch.column(name) for name in kept]
-            names = [*kept, "token_ids", "n_tokens"]
+            counts = pa.array(np.diff(ends), pa.int64())
+            offsets = pa.array(ends.astype(np.int32), mask=np.array([t is None for t in texts] + [False]))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(ids))
+            columns, names = [*columns, lists, counts], [*kept, "token_ids", "n_tokens"]
             if check:
-                whole = [gives(value, ids[a:b]) for value, a, b in zip(texts, ends, ends[1:])]
-                columns, names = [*columns, lists, counts, pa.array(whole, pa.bool_())], [*names, check]
-            else:
-                columns = [*columns, lists, counts]
+                columns, names = [*columns, pa.array(whole(texts, split, distinct, paths), pa.bool_())], [*names, check]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in kept)
