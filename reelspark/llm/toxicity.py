@@ -28,6 +28,7 @@ MOST_FEATURES = 5_000
 CACHED_WORDS = 1 << 17
 COUNTED_AT_ONCE = 300_000
 LONGEST_WORD = 64
+LONGEST_ENTRY = 16
 
 # Letters a sign may stand for.
 LEET = {
@@ -37,6 +38,8 @@ LEET = {
 SEPARATORS = ".-_*'~,:;/\\#%&=^"
 _SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*]{1,2}[\w@$!|+]){2,}(?!\S)")
 _THRICE = re.compile(r"(.)\1\1")
+_STRETCHED = re.compile(r"(.)\1{3,}")
+_JOINTS = re.compile(f"[{re.escape(SEPARATORS)}]+")
 # Log-probabilities of the channel.
 _SWAP, _DROP, _KEEP_SIGN, _DROP_LETTER = -1.0, -1.0, -6.0, -1.0
 _UNSEEN = -12.0
@@ -127,37 +130,70 @@ def _core(word: str) -> str:
 
 
 class Restorer:
-    """Features of texts after restoration; keeps words it has met, up to a fixed number."""
+    """Features of texts after restoration; keeps words it has met, up to a fixed number.
 
-    def __init__(self, model: CharModel) -> None:
+    ``longest`` is the length up to which words are looked for inside spelled-out runs and
+    unbroken tokens.
+    """
+
+    def __init__(self, model: CharModel, longest: int = LONGEST_ENTRY) -> None:
         self._model = model
+        self._longest = longest
         self._met: dict[str, tuple[str, ...]] = {}
 
     def _readings(self, word: str) -> tuple[str, ...]:
         found = self._met.get(word)
         if found is None:
             plain = _core(word)
-            if (plain.isalpha() and not _THRICE.search(plain)) or len(plain) > LONGEST_WORD or not plain:
+            if (plain.isalpha() and not _THRICE.search(plain)) or not plain:
                 found = (plain,)
             else:
                 # Trailing signs may be punctuation or letters.
-                found = tuple(dict.fromkeys((self._model.restore(plain), _core(plain.strip("".join(LEET) + SEPARATORS)))))
+                found = (self._model.restore(plain), _core(plain.strip("".join(LEET) + SEPARATORS)))
+                # Whole words may be joined by separators.
+                parts = [part for part in _JOINTS.split(plain) if 3 <= len(part) < len(plain)]
+                found = tuple(dict.fromkeys([*found, *[reading for part in parts for reading in self._readings(part)]]))
             if len(self._met) >= CACHED_WORDS:
                 self._met.clear()
             self._met[word] = found
         return found
 
-    def words(self, text: str) -> set[str]:
-        """Distinct restored words of a text, with those spelled out letter by letter."""
-        found = {reading for word in set(text.split()) for reading in self._readings(word)}
-        for spaced in _SPACED.finditer(text):
-            letters = re.sub(r"[ .\-_*]", "", spaced[0]).lower()[:LONGEST_WORD]
-            whole = self._model.restore(letters)
-            found.add(whole)
+    def _spelled(self, letters: str) -> Iterator[str]:
+        """Restored words at any place of a run of any length, read in windows that overlap by
+        more than a word of ``longest`` letters with each of them three times."""
+        low = _STRETCHED.sub(r"\1\1\1", letters.lower())
+        overlap = 3 * self._longest + 8
+        size = max(LONGEST_WORD, 2 * overlap)
+        for start in range(0, max(1, len(low) - overlap), size - overlap):
+            window = low[start : start + size]
+            whole = window if window.isalpha() and not _THRICE.search(window) else self._model.restore(window)
+            yield whole
             # Single-letter words may stand on either side of a spelled word.
-            found.update(whole[a:b] for a in range(len(whole)) for b in range(a + 4, min(len(whole), a + 16) + 1))
-        found.discard("")
-        return found
+            for a in range(len(whole)):
+                for b in range(a + 3, min(len(whole), a + self._longest) + 1):
+                    yield whole[a:b]
+
+    def _long(self, word: str) -> Iterator[str]:
+        """Readings of an unbroken token of any length; repetition is undone first."""
+        low = _STRETCHED.sub(r"\1\1\1", word.lower())
+        if len(low) <= LONGEST_WORD:
+            yield from self._readings(low)
+            return
+        for part in set(_JOINTS.split(low)):
+            if 3 <= len(part) <= LONGEST_WORD:
+                yield from self._readings(part)
+        yield from self._spelled(_JOINTS.sub("", low))
+
+    def readings(self, text: str) -> Iterator[str]:
+        """Restored words of a text, with those spelled out letter by letter; some more than once."""
+        for word in set(text.split()):
+            yield from self._readings(word) if len(word) <= LONGEST_WORD else self._long(word)
+        for spaced in _SPACED.finditer(text):
+            yield from self._spelled(re.sub(r"[ .\-_*]", "", spaced[0]))
+
+    def words(self, text: str) -> set[str]:
+        """Distinct restored words of a text."""
+        return {word for word in self.readings(text) if word}
 
 
 def _features(words: Iterable[str]) -> set[str]:
@@ -184,6 +220,11 @@ class Lexicon:
     weights: dict[str, float]
     base: float
 
+    @property
+    def longest(self) -> int:
+        """Letters of the longest word, ``LONGEST_ENTRY`` at least."""
+        return max([LONGEST_ENTRY, *[len(key) - 1 for key in self.weights if key.startswith("=")]])
+
     def score(self, words: Iterable[str]) -> float:
         clean = 1.0
         hits = set()
@@ -232,7 +273,7 @@ def fit_lexicon(
         every: Counter[str] = Counter()
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                features = _features(reader.words(text))
+                features = _features(reader.readings(text))
                 every.update(features)
                 if label == 1:
                     toxic.update(features)
@@ -265,9 +306,9 @@ def fit_lexicon(
     lexicon = Lexicon(weights, 0.0)
 
     def misses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Restorer(model)
+        reader = Restorer(model, lexicon.longest)
         for batch in batches:
-            hit = [lexicon.score(reader.words(text)) > 0 for text in batch.column("text").to_pylist()]
+            hit = [lexicon.score(reader.readings(text)) > 0 for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(hit, pa.bool_())], ["toxic", "hit"])
 
     judged = rows.select("text", "toxic").mapInArrow(misses, f"toxic {kind}, hit boolean").where("NOT hit")
@@ -287,7 +328,8 @@ def score_toxicity(
     texts; the restored words are scored by a lexicon learnt from labelled rows outside the
     held-out fold. Labels, language, source and doc_id do not enter a score. Null and empty texts
     get the score of a text without lexicon words. Without usable labels every score is 0.
-    Repeated rows get repeated results; an empty table gives none; texts are scored whole.
+    Repeated rows get repeated results; an empty table gives none. Texts are scored whole:
+    spelled-out runs and unbroken tokens are decoded at any length, in overlapping windows.
     """
     plain = only(docs, doc_id=doc_id, text=text)
     model = fit_char_model(plain)
@@ -297,9 +339,9 @@ def score_toxicity(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         char_model, table = shared.value
-        reader = Restorer(char_model)
+        reader = Restorer(char_model, table.longest)
         for batch in batches:
-            scores = [table.score(reader.words(value or "")) for value in batch.column("_text").to_pylist()]
+            scores = [table.score(reader.readings(value or "")) for value in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], pa.array(scores, pa.float64())], [*kept, "score"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept)

@@ -82,3 +82,18 @@ def test_edges(spark):
     none = toxicity.score_toxicity(df, labels_frame(spark, [(1, 1, None), (None, 1, 1), (99, 0, 1)])).collect()
     assert len(none) == df.count() and {(r["score"], r["predicted"]) for r in none} == {(0.0, 0)}
     assert toxicity.score_toxicity(frame(spark, []), labels_frame(spark, [])).collect() == []
+
+
+def test_long_runs_and_tokens_are_read_to_the_end(model):
+    reader = toxicity.Restorer(model)
+    for k in (60, 63, 64, 100, 1_000):
+        assert "moron" in reader.words(" ".join("thanmore" * (k // 8) + "x" * (k % 8) + "m0ronthan"))
+        assert "idiot" in reader.words("-".join(["letter"] * (k // 6) + ["idiot", "book"]))
+        assert "idiot" in reader.words("thanmorebookpath" * (5 + k // 16) + "1d10tpath")
+        assert "idiot" in reader.words("idi" + "o" * k + "t")
+
+
+def test_score_past_the_first_letters(model):
+    lexicon = toxicity.Lexicon({"=idiot": 0.95}, 0.1)
+    text = " ".join("thepathmorebook" * 20 + "idiot" + "noon" * 20)
+    assert lexicon.score(toxicity.Restorer(model, lexicon.longest).readings(text)) > 0.9
