@@ -16,12 +16,14 @@ MIN_WORDS = 50
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(id, digest, seq, line_no, line, words) of all lines with a word; ``seq`` counts those of a document."""
+    """(at, id, digest, seq, line_no, line, words) of all lines with a word; ``at`` numbers the
+    rows of ``docs``, ``seq`` counts the lines of one."""
     numbered = F.transform(F.split("_text", "\n"), lambda line, k: F.struct(F.btrim(line, F.lit(SPACES)).alias("line"), k.alias("no")))
     worded = F.filter(numbered, lambda x: x["line"] != "")
-    rows = docs.select("_id", "_digest", F.posexplode(worded).alias("seq", "x"))
+    tagged = docs.withColumn("_at", F.monotonically_increasing_id())
+    rows = tagged.select("_at", "_id", "_digest", F.posexplode(worded).alias("seq", "x"))
     line = F.unhex(F.md5("x.line")).alias("line")
-    return rows.select("_id", "_digest", "seq", F.col("x.no").alias("line_no"), line, count_words(F.col("x.line")).alias("words"))
+    return rows.select("_at", "_id", "_digest", "seq", F.col("x.no").alias("line_no"), line, count_words(F.col("x.line")).alias("words"))
 
 
 def _double(ranked: DataFrame, level: int) -> DataFrame:
@@ -79,12 +81,13 @@ def _windows(min_words: int):
 def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     """(_id, _digest, deleted): line numbers of each text that a repeated run deletes."""
     lines = materialise(_lines(docs))
-    keys = lines.select("_id", "_digest").distinct().withColumn("_last", F.col("_id").isNull())
-    numbered = materialise(with_offsets(keys, ["_last", "_id", "_digest"]).select("_id", "_digest", F.col("pos").alias("doc")))
-    twice = lines.groupBy("line").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("line")
+    # Rows that repeat id and text are one document: the lines of one of them stand for all.
+    keys = lines.groupBy("_id", "_digest").agg(F.min("_at").alias("_at")).withColumn("_last", F.col("_id").isNull())
+    ordered = with_offsets(keys, ["_last", "_id", "_digest"])
+    numbered = materialise(ordered.select("_at", "_id", "_digest", F.col("pos").alias("doc")))
+    placed = lines.drop("_id", "_digest").join(numbered.select("_at", "doc"), "_at").drop("_at")
+    twice = placed.groupBy("line").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("line")
     first = with_offsets(twice, ["line"]).withColumnRenamed("pos", "rank")
-    same = lines["_id"].eqNullSafe(numbered["_id"]) & (lines["_digest"] == numbered["_digest"])
-    placed = lines.join(numbered, same).select("doc", "seq", "line_no", "line", "words")
     base = materialise(placed.join(first, "line").select("doc", "seq", "line_no", "words", "rank"))
     levels = [base.select("doc", "seq", "rank")]
     while 2 << (len(levels) - 1) <= min_words and not levels[-1].isEmpty():
@@ -105,7 +108,7 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     later = windows.join(firsts, interval).where(F.struct("doc", "start") > F.col("_first"))
     deleted = later.select("doc", F.explode("line_nos").alias("line_no")).distinct()
     per_doc = deleted.groupBy("doc").agg(F.sort_array(F.collect_list("line_no")).alias("deleted"))
-    return materialise(numbered.join(per_doc, "doc").drop("doc"))
+    return materialise(numbered.join(per_doc, "doc").select("_id", "_digest", "deleted"))
 
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

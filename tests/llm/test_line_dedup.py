@@ -57,3 +57,14 @@ def test_edges(spark):
     docs = [*edge_documents()[:4], *edge_documents()[5:8], (20, edge_documents()[0][1]), (21, " " + edge_documents()[0][1] + "\n\nnew line")]
     same(spark, docs, 50)
     assert dedup_lines(frame(spark, [])).collect() == []
+
+
+def test_repeated_rows_with_a_passage_of_several_lines(spark):
+    rng = random.Random(12)
+    passage = "\n".join(sentence(rng, 9) for _ in range(8))
+    other = "\n".join(sentence(rng, 9) for _ in range(8))
+    docs = [(1, "head one\n" + passage + "\n" + other)] * 3 + [(2, passage + "\ntail two")] * 2 + [(3, other + "\ntail three")]
+    docs += [(None, "start\n" + passage)] * 2
+    same(spark, docs, 50)
+    left = {r["doc_id"]: r["text"] for r in dedup_lines(frame(spark, docs)).collect()}
+    assert left[2] == "tail two" and left[3] == "tail three" and left[None] == "start"
