@@ -36,8 +36,12 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
 }
 SEPARATORS = ".-_*'~,:;/\\#%&=^"
-_SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*]{1,2}[\w@$!|+]){2,}(?!\S)")
-_THRICE = re.compile(r"(.)\1\1")
+# Single letters, digits or signs for letters with blanks or separators, however many, between.
+_SIGN = f"(?:[^\\W_]|[{re.escape(''.join(LEET))}])"
+_GAP = f"[\\s{re.escape(SEPARATORS)}]+"
+_SPACED = re.compile(rf"(?<![^\W_]){_SIGN}(?:{_GAP}{_SIGN}){{2,}}(?![^\W_])")
+_GAPS = re.compile(_GAP)
+_TWICE = re.compile(r"(.)\1")
 _STRETCHED = re.compile(r"(.)\1{3,}")
 _JOINTS = re.compile(f"[{re.escape(SEPARATORS)}]+")
 # Log-probabilities of the channel.
@@ -62,8 +66,17 @@ class CharModel:
             ones[gram[2]] += n
         self._pairs, self._tails, self._heads, self._ones = pairs, tails, heads, ones
         self._total = sum(ones.values()) or 1
+        self._logs: dict[str, float] = {}
 
     def log(self, before: str, c: str) -> float:
+        found = self._logs.get(before + c)
+        if found is None:
+            if len(self._logs) >= CACHED_WORDS:
+                self._logs.clear()
+            found = self._logs[before + c] = self._log(before, c)
+        return found
+
+    def _log(self, before: str, c: str) -> float:
         three = self.trigrams.get(before + c, 0) / self._pairs[before] if before in self._pairs else 0.0
         two = self._tails.get(before[1] + c, 0) / self._heads[before[1]] if before[1] in self._heads else 0.0
         p = 0.8 * three + 0.15 * two + 0.05 * self._ones.get(c, 0) / self._total
@@ -74,6 +87,11 @@ class CharModel:
         states: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
         last = ""
         for c in seen:
+            if len(states) == 1 and c != last and c.isalpha() and c not in LEET:
+                # One path, one way on.
+                [(before, (score, word))] = states.items()
+                states, last = {before[1] + c: (score + self.log(before, c), word + c)}, c
+                continue
             options = [(c, 0.0)] if c.isalpha() else [(c, _KEEP_SIGN)]
             if c.isalpha() and c == last:
                 options.append(("", _DROP_LETTER))
@@ -145,7 +163,8 @@ class Restorer:
         found = self._met.get(word)
         if found is None:
             plain = _core(word)
-            if (plain.isalpha() and not _THRICE.search(plain)) or not plain:
+            if (plain.isalpha() and not _TWICE.search(plain)) or not plain:
+                # The lattice has one path.
                 found = (plain,)
             else:
                 # Trailing signs may be punctuation or letters.
@@ -166,7 +185,7 @@ class Restorer:
         size = max(LONGEST_WORD, 2 * overlap)
         for start in range(0, max(1, len(low) - overlap), size - overlap):
             window = low[start : start + size]
-            whole = window if window.isalpha() and not _THRICE.search(window) else self._model.restore(window)
+            whole = window if window.isalpha() and not _TWICE.search(window) else self._model.restore(window)
             yield whole
             # Single-letter words may stand on either side of a spelled word.
             for a in range(len(whole)):
@@ -186,10 +205,18 @@ class Restorer:
 
     def readings(self, text: str) -> Iterator[str]:
         """Restored words of a text, with those spelled out letter by letter; some more than once."""
+        found: set[str] = set()
         for word in set(text.split()):
-            yield from self._readings(word) if len(word) <= LONGEST_WORD else self._long(word)
+            if len(word) > LONGEST_WORD:
+                yield from self._long(word)
+            elif word.isalpha() and not _TWICE.search(word.lower()):
+                # One path through the lattice: nothing to look up or keep.
+                found.add(word.lower())
+            else:
+                found.update(self._met.get(word) or self._readings(word))
+        yield from found
         for spaced in _SPACED.finditer(text):
-            yield from self._spelled(re.sub(r"[ .\-_*]", "", spaced[0]))
+            yield from self._spelled(_GAPS.sub("", spaced[0]))
 
     def words(self, text: str) -> set[str]:
         """Distinct restored words of a text."""
@@ -323,8 +350,8 @@ def score_toxicity(
     """All columns of ``docs`` with ``held_out``, ``score`` (0 to 1) and ``predicted`` (columns of
     these names are replaced).
 
-    Words that hold signs, separators or a letter three times, and words spelled out letter by
-    letter, become a character lattice that Viterbi decoding reads under a trigram model of all
+    Words that hold signs, separators or a doubled letter, and words spelled out sign by sign with
+    any run of blanks or separators between, become a character lattice that Viterbi decoding reads under a trigram model of all
     texts; the restored words are scored by a lexicon learnt from labelled rows outside the
     held-out fold. Labels, language, source and doc_id do not enter a score. Null and empty texts
     get the score of a text without lexicon words. Without usable labels every score is 0.

@@ -97,3 +97,16 @@ def test_score_past_the_first_letters(model):
     lexicon = toxicity.Lexicon({"=idiot": 0.95}, 0.1)
     text = " ".join("thepathmorebook" * 20 + "idiot" + "noon" * 20)
     assert lexicon.score(toxicity.Restorer(model, lexicon.longest).readings(text)) > 0.9
+
+
+@pytest.mark.parametrize("text", ["iiddiioott", "an iddiott indeed", "MMOORROONN"])
+def test_doubled_letters_are_decoded(model, text):
+    assert {"idiot", "moron"} & toxicity.Restorer(model).words(text)
+
+
+@pytest.mark.parametrize("gap", ["   ", "\t", ", ", "/ ", " - ", " ", "\n"])
+def test_spelled_with_any_gap(model, gap):
+    reader = toxicity.Restorer(model)
+    assert "idiot" in reader.words("you " + gap.join("!d1ot") + " indeed")
+    assert "idiot" in reader.words("you, " + gap.join("IDIOT") + "! (indeed)")
+    assert "worthless" in reader.words(gap.join("worth£€$$"))
