@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelspark.llm import jaccard, line_dedup, mixing, sentencepiece, toxicity
 from reelspark.llm.text import count_words
+from reelspark.operators.ordering import with_offsets
 from reelspark.session import broadcast_if_small, materialise
 
 ID_BYTES = 32
 
 
+def _tagged(docs: DataFrame) -> DataFrame:
+    """The rows, stored with a number of their own in ``_tag``."""
+    return materialise(docs.withColumn("_tag", F.monotonically_increasing_id()))
+
+
+def _contents(docs: DataFrame) -> Column:
+    return F.xxhash64(*docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the restored-text score does not call toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -46,14 +56,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it. Rows that repeat doc_id and text are taken
-    equally often."""
-    key = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit("")))))
-    keyed = docs.withColumn("_key", key)
-    taken = mixing.mix(keyed, doc_id="_key").groupBy("doc_id").agg(F.floor(F.avg("copies")).cast("int").alias("_copies"))
-    taken = materialise(taken.where("_copies > 0").withColumnRenamed("doc_id", "_key"))
-    taken = broadcast_if_small(taken, taken.count(), 2 * ID_BYTES)
-    repeated = keyed.join(taken, "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    """Each row as often as the mix takes it; rows that repeat one another are rounded one by one.
+
+    Rows are drawn by their place in the order of their contents, so the same table gives the
+    same rows whatever the partitions: which of equal rows is taken cannot be seen.
+    """
+    tagged = _tagged(docs)
+    order = [F.col("doc_id").isNull().alias("_missing"), "doc_id", _contents(docs).alias("_contents"), "_tag"]
+    sizes = tagged.select(*order, "source", count_words(F.col("text")).alias("size"))
+    placed = materialise(with_offsets(sizes, ["_missing", "doc_id", "_contents", "_tag"]).select("_tag", "pos", "source", "size"))
+    taken = mixing.mix_sizes(placed.select(F.col("pos").alias("doc_id"), "source", "size"))
+    taken = taken.where("copies > 0").select(F.col("doc_id").alias("pos"), F.col("copies").cast("int").alias("_copies"))
+    taken = materialise(placed.select("_tag", "pos").join(taken, "pos").select("_tag", "_copies"))
+    taken = broadcast_if_small(taken, taken.count(), ID_BYTES)
+    repeated = tagged.join(taken, "_tag").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select(*docs.columns)
 
 

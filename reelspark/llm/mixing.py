@@ -153,9 +153,20 @@ def mix(
     Repeated rows are rounded one by one. An empty table gives no rows; extra columns are ignored.
     The same table and seed give the same rows, whatever the partitions.
     """
-    id_type = df.schema[doc_id].dataType.simpleString()
     named = only(df, doc_id=doc_id, source=source, text=text)
     sized = materialise(named.select("doc_id", "source", count_words(F.col("text")).alias("size")))
+    return mix_sizes(sized, weights, budget, most, seed)
+
+
+def mix_sizes(
+    sized: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    budget: float = BUDGET,
+    most: int = MOST_COPIES,
+    seed: int = SEED,
+) -> DataFrame:
+    """``mix`` of a stored table (doc_id, source, size)."""
+    id_type = sized.schema["doc_id"].dataType.simpleString()
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(per_source, weights, budget, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)

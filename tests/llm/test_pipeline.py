@@ -14,6 +14,7 @@ from corpora import sentence
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
+from reelspark.llm import mixing
 from reelspark.llm.oracle import ORACLE
 from reelspark.llm.queries import QUERIES
 from reelspark.session import materialise
@@ -69,6 +70,27 @@ def test_stages(spark, corpus):
     assert len(pieces) == len(mixed) and all(r["round_trip"] for r in pieces)
 
 
+def test_mixing_takes_repeated_rows_one_by_one(spark):
+    # Rates 2, 0.8 and 1.7 by source; a third of each is one row many times, with and without id.
+    rows = []
+    for source, count in (("a", 150), ("b", 300), ("c", 300)):
+        rows += [(k, f"{source} {k} x", "en", source, 5) for k in range(count - count // 3)]
+        rows += [(None if k % 2 else -1, "same words here", "en", source, 5) for k in range(count // 3)]
+    schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+    docs = spark.createDataFrame(rows, schema)
+    target = {r["source"]: (r["source_size"], r["target"]) for r in mixing.mix(docs).collect()}
+    taken = corpus_pipeline.mix_sources(spark, docs, "").collect()
+    for source, (size, words) in target.items():
+        assert abs(sum(len(r["text"].split()) for r in taken if r["source"] == source) - words) <= 3
+        rate, same = words / size, [r["doc_id"] for r in taken if r["source"] == source and r["text"] == "same words here"]
+        equal = size // 9
+        assert int(rate) * equal <= len(same) <= -int(-rate // 1) * equal
+        if rate != int(rate):
+            assert int(rate) * equal < len(same) < -int(-rate // 1) * equal
+    again = corpus_pipeline.mix_sources(spark, docs.repartition(7), "").collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, taken))
+
+
 def test_empty_corpus(spark, corpus, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{corpus}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
