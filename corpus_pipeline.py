@@ -41,18 +41,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8): the one
-    with the smallest doc_id.
+    """One row of each group of near duplicates (five-word shingles, similarity 0.8): the one with
+    the smallest doc_id, null last, then by digest of its contents.
 
-    A doc_id that repeats stays while any of its rows stays. Documents without doc_id cannot be
-    told apart and go only if their group has one with a doc_id.
+    Rows are told apart by a number of their own, so copies with one doc_id or none go as well.
+    Texts without words all stay.
     """
-    found = jaccard.similar_documents(docs, size=5, pct=80)
-    stays = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = found.groupBy("doc_id").agg(stays.alias("stays")).where(~F.col("stays")).select(F.col("doc_id").alias("_gone"))
-    gone = materialise(gone)
+    tagged = _tagged(docs)
+    # Ordered by doc_id, so the smallest of a group is the row that stays.
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", _contents(docs).alias("contents"), "_tag")
+    found = jaccard.similar_documents(tagged.select(place.alias("place"), "text"), doc_id="place", size=5, pct=80)
+    gone = materialise(found.where("doc_id._tag <> component_id._tag").select("doc_id._tag"))
     gone = broadcast_if_small(gone, gone.count(), ID_BYTES)
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    return tagged.join(gone, "_tag", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,6 +91,20 @@ def test_mixing_takes_repeated_rows_one_by_one(spark):
     assert sorted(map(repr, again)) == sorted(map(repr, taken))
 
 
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(3)
+    words = [sentence(rng, 60, 5_000) for _ in range(4)]
+    near = words[1] + " tail"
+    rows = [(7, words[0])] * 5 + [(None, words[0])] * 3 + [(8, words[0])]
+    rows += [(None, words[2])] * 4 + [(9, words[1]), (9, near), (5, near), (5, words[3])]
+    rows += [(1, None), (1, None), (None, " "), (None, " ")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
+    for table in (docs, docs.repartition(5)):
+        left = corpus_pipeline.drop_near_duplicates(spark, table, "").collect()
+        expected = [(7, words[0]), (None, words[2]), (5, near), (5, words[3]), (1, None), (1, None), (None, " "), (None, " ")]
+        assert sorted(((r["doc_id"], r["text"]) for r in left), key=repr) == sorted(expected, key=repr)
+
+
 def test_empty_corpus(spark, corpus, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{corpus}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
