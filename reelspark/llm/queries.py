@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelspark.llm import embeddings, jaccard, line_dedup, mixing, quality_rules, sentencepiece, sharding, site_quality, toxicity, warc
+from reelspark.llm import (
+    embeddings, importance, jaccard, line_dedup, mixing, packing, quality_rules, sentencepiece, sharding, site_quality,
+    spelling, toxicity, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,3 +80,19 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return site_quality.classify_quality(docs, labels, host="source", path="lang")
+
+
+@_query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), pct=25)
+    return scored.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), capacity=1024)
