@@ -181,18 +181,21 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tupl
     """(columns, times): configurations and how often the linear program uses each, to within ``GAP``.
 
     Simplex over generated columns: the basis has one column per size, the next column is the best
-    configuration at the present prices, and the bound from its value tells when to stop.
+    configuration at the present prices, and the bound from its value tells when to stop. The inverse
+    is kept by updates and corrected by Newton steps. ``einsum`` takes no library threads, which
+    can hang in a driver that has started a JVM.
     """
     basis = np.diag(capacity // sizes).astype(float)
+    inverse = np.diag(1.0 / np.diag(basis))
     wanted = demand.astype(float)
     for turn in range(50 * len(sizes)):
-        if turn % 64 == 0:
-            inverse = np.linalg.inv(basis)
-        times, prices = inverse @ wanted, inverse.sum(axis=0)
+        if turn % 32 == 31:
+            inverse = _corrected(inverse, basis)
+        times, prices = np.einsum("ij,j->i", inverse, wanted), inverse.sum(axis=0)
         value, column = best_configuration(sizes, np.maximum(prices, 0), capacity)
-        if value <= 1 + 1e-9 or times.sum() <= (prices @ wanted) / value * (1 + GAP):
+        if value <= 1 + 1e-9 or times.sum() <= (prices * wanted).sum() / value * (1 + GAP):
             break
-        step = inverse @ column
+        step = np.einsum("ij,j->i", inverse, column.astype(float))
         with np.errstate(divide="ignore", invalid="ignore"):
             ratio = np.where(step > 1e-9, np.maximum(times, 0) / step, np.inf)
         leaves = int(np.argmin(ratio))
@@ -200,7 +203,14 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tupl
         row = inverse[leaves] / step[leaves]
         inverse = inverse - np.outer(step, row)
         inverse[leaves] = row
-    return np.rint(basis).astype(np.int64), np.maximum(np.linalg.solve(basis, wanted), 0)
+    times = np.einsum("ij,j->i", _corrected(inverse, basis), wanted)
+    return np.rint(basis).astype(np.int64), np.maximum(times, 0)
+
+
+def _corrected(inverse: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """One Newton step towards the inverse of the basis."""
+    wrong = np.eye(len(basis)) - np.einsum("ij,jk->ik", basis, inverse)
+    return inverse + np.einsum("ij,jk->ik", inverse, wrong)
 
 
 def plan_large(counts: np.ndarray, capacity: int, groups: int) -> tuple[Runs, int]:
