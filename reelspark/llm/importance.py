@@ -58,7 +58,7 @@ def gains(raw: list[int], target: list[int]) -> list[int]:
 
 
 def with_scores(featured: DataFrame, gain: list[int], seed: int) -> DataFrame:
-    """doc_id, n_words, n_features, weight and score; ``_row`` tells equal rows apart."""
+    """doc_id, n_words, n_features, weight and score; ``_tie`` tells equal rows apart."""
     table = F.split(F.lit(",".join(map(str, gain))), ",").cast("array<bigint>")  # folded once into a literal
     total = F.aggregate("buckets", F.lit(0).cast("long"), lambda sum_, b: sum_ + F.get(table, b.cast("int")))
     name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -69,7 +69,7 @@ def with_scores(featured: DataFrame, gain: list[int], seed: int) -> DataFrame:
         "doc_id", "n_words", n.cast("long").alias("n_features"),
         F.when(n > 0, F.floor(total / n)).otherwise(F.lit(0)).cast("long").alias("weight"), noise.alias("noise"),
     )
-    return scored.withColumn("score", F.col("weight") + F.col("noise")).drop("noise").withColumn("_row", F.monotonically_increasing_id())
+    return scored.withColumn("score", F.col("weight") + F.col("noise")).drop("noise").withColumn("_tie", F.monotonically_increasing_id())
 
 
 def _bracket(scores: DataFrame, rows: int, wanted: int, margin: float, accuracy: int) -> tuple[int, int, int]:
@@ -90,7 +90,7 @@ def _bracket(scores: DataFrame, rows: int, wanted: int, margin: float, accuracy:
         margin *= 4
 
 
-ORDER = ["_below", "_missing", "doc_id", "n_features", "weight", "_row"]
+ORDER = ["_below", "_missing", "doc_id", "n_features", "weight", "_tie"]
 
 
 def _ordered(scored: DataFrame) -> DataFrame:

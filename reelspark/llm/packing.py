@@ -304,7 +304,7 @@ def _tally(rows: DataFrame, column: str, capacity: int) -> np.ndarray:
 
 def _ranked(pieces: DataFrame) -> DataFrame:
     """Ranks in decreasing length; the row number keeps equal rows apart and spreads them."""
-    placed = with_offsets(pieces.withColumn("_order", -F.col("length")), ["_order", "doc_id", "piece", "_row"])
+    placed = with_offsets(pieces.withColumn("_order", -F.col("length")), ["_order", "doc_id", "piece", "_tie"])
     return placed.drop("_order")
 
 
@@ -312,7 +312,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUP
     """(doc_id, piece, length, ...) with ``sequence_id`` and ``offset``; pieces follow one another in a
     sequence by doc_id and piece. Lengths lie between 1 and the capacity; full pieces stand alone."""
     columns = pieces.columns
-    numbered = materialise(pieces.withColumn("_row", F.monotonically_increasing_id()))
+    numbered = materialise(pieces.withColumn("_tie", F.monotonically_increasing_id()))
     counts = _tally(numbered, "length", capacity)
     small = capacity // SMALL_SHARE
     is_small, is_full = F.col("length") <= small, F.col("length") == capacity
@@ -334,10 +334,10 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUP
     placed = placed.join(named, "_place", "left").withColumn("_bin", F.coalesce("_bin", "_place")).drop("_place")
 
     # Bins hold a capacity of pieces at most, so a window over one is bounded.
-    before = Window.partitionBy("_bin").orderBy("doc_id", "piece", "_row").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_bin").orderBy("doc_id", "piece", "_tie").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset")
     # Full pieces are named below zero, so the names never meet.
-    alone = numbered.where(is_full).select(*columns, (-1 - F.col("_row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    alone = numbered.where(is_full).select(*columns, (-1 - F.col("_tie")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return filled.unionByName(placed).select(*columns, F.col("_bin").alias("sequence_id"), offset).unionByName(alone)
 
 
