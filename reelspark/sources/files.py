@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,14 +13,29 @@ from reelspark.sources.schema import require_columns
 
 
 def read_text_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All columns as text, named by the header, so column order in the file is free."""
+    """All columns as text, named by the header; files read at once must share one."""
     return spark.read.option("header", True).csv(paths)
 
 
+def files_by_header(spark: SparkSession, paths: str | list[str]) -> dict[str, list[str]]:
+    """First line -> the files that begin with it. The driver gets names only, as in any listing."""
+    lines = with_file_order(spark.read.text(paths)).where("_block = 0")
+    firsts = lines.groupBy("_file").agg(F.min_by("value", "_line").alias("header"))
+    # File paths are percent-encoded, but a plus sign stands for itself.
+    path = F.url_decode(F.replace("_file", F.lit("+"), F.lit("%2B")))
+    plain = F.regexp_replace(path, r"([\\*?\[\]{}])", r"\\$1")
+    return dict(firsts.groupBy("header").agg(F.sort_array(F.collect_list(plain))).collect())
+
+
 def read_ratings_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    raw = read_text_csv(spark, paths)
-    require_columns(raw.columns)
-    return valid_rows(raw)
+    """Valid ratings of CSV files, each bound by its own header, so column order is free in every file."""
+    groups = files_by_header(spark, paths)
+    parts = []
+    for group in groups.values() if len(groups) > 1 else [paths]:
+        raw = read_text_csv(spark, group)
+        require_columns(raw.columns)
+        parts.append(valid_rows(raw))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_movies_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -68,6 +68,17 @@ def test_csv_binds_by_name_and_drops_extra(spark, tmp_path):
     assert (row["userId"], row["movieId"], row["rating"], row["timestamp"]) == (1, 10, 3.5, 100)
 
 
+def test_each_file_is_bound_by_its_own_header(spark, tmp_path):
+    write(tmp_path / "a.csv", "userId,movieId,rating,timestamp\n1,10,3.5,100\n")
+    write(tmp_path / "b +%20{x}.csv", "movieId,userId,rating,timestamp,note\n20,2,4.0,200,n\n21,2,4.5,201,n\n")
+    write(tmp_path / "c.csv", "userId,movieId,rating,timestamp\n3,30,1.5,300\n")
+    rows = files.read_ratings_csv(spark, str(tmp_path)).collect()
+    assert sorted((r["userId"], r["movieId"], r["timestamp"]) for r in rows) == [(1, 10, 100), (2, 20, 200), (2, 21, 201), (3, 30, 300)]
+    write(tmp_path / "d.csv", "userId,rating,timestamp\n1,3.5,100\n")
+    with pytest.raises(ValueError, match="movieId"):
+        files.read_ratings_csv(spark, [str(tmp_path / name) for name in ("a.csv", "d.csv")])
+
+
 def test_missing_column_is_named(spark, tmp_path):
     path = write(tmp_path / "a.csv", "userId,movieId,rating\n1,10,3.5\n")
     with pytest.raises(ValueError, match="timestamp"):
