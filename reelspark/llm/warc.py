@@ -7,6 +7,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -36,8 +37,17 @@ def _open(folder: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _header(text: object) -> str:
-    """A header value on one line: line breaks and control characters are percent-encoded."""
-    return re.sub(r"[\x00-\x1f\x7f%]", lambda m: f"%{ord(m[0]):02X}", str(text))
+    """A header value on one line: control characters are percent-encoded, an address stays as it is otherwise."""
+    return re.sub(r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}", str(text))
+
+
+def _private(text: object) -> str:
+    """A value of this module's own fields, which comes back whatever its characters."""
+    return _header(str(text).replace("%", "%25"))
+
+
+def _plain(text: str) -> str:
+    return re.sub("%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), text)
 
 
 class _Archive:
@@ -91,15 +101,16 @@ def write_archives(records: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYT
                 fields = {
                     "WARC-Type": row["record_type"],
                     "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>",
+                    "WARC-Date": f"{datetime.now(UTC):%Y-%m-%dT%H:%M:%SZ}",
                     "WARC-Target-URI": "" if row["url"] is None else row["url"],
                     "WARC-Payload-Digest": f"sha1:{row['digest']}",
-                    "Page-ID": "" if row["page_id"] is None else row["page_id"],
+                    "Page-ID": "" if row["page_id"] is None else _private(row["page_id"]),
                     "Content-Type": "text/html",
                     "Content-Length": len(payload),
                 }
                 if row["record_type"] == "revisit":
                     fields["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-                    fields["Refers-To-Page-ID"] = row["refers_to"]
+                    fields["Refers-To-Page-ID"] = _private(row["refers_to"])
                 if archive is None:
                     archive = _Archive(fs, path)
                 archive.add(fields, _pieces(payload, chunk_bytes))
@@ -138,20 +149,22 @@ def _members(stream: pa.NativeFile) -> Iterator[tuple[int, Iterator[bytes]]]:
 
 
 def _records(stream: pa.NativeFile, chunk_bytes: int) -> Iterator[dict[str, object]]:
-    """Chunk rows of all records: bytes seen and digest so far, never a whole payload."""
+    """Chunk rows of all records: bytes seen and digest so far, never a whole payload.
+
+    A response whose bytes do not meet its stated digest is an error.
+    """
     for offset, pieces in _members(stream):
         head = b""
         while (end := head.find(b"\r\n\r\n")) < 0:
             head += next(pieces)
         names = dict(line.split(": ", 1) for line in head[:end].decode().split("\r\n")[1:])
         held, left = bytearray(head[end + 4 :]), int(names["Content-Length"])
-        names = {name: re.sub("%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), value) for name, value in names.items()}
         row = {
             "offset": offset,
             "record_id": names["WARC-Record-ID"],
-            "page_id": names["Page-ID"] or None,
+            "page_id": _plain(names["Page-ID"]) or None,
             "record_type": names["WARC-Type"],
-            "refers_to": names.get("Refers-To-Page-ID"),
+            "refers_to": _plain(names["Refers-To-Page-ID"]) if "Refers-To-Page-ID" in names else None,
             "stated_digest": names["WARC-Payload-Digest"].removeprefix("sha1:"),
         }
         sha, seen, number = hashlib.sha1(), 0, 0
@@ -170,6 +183,8 @@ def _records(stream: pa.NativeFile, chunk_bytes: int) -> Iterator[dict[str, obje
             if left == 0:
                 break
             number += 1
+        if row["record_type"] == "response" and sha.hexdigest() != row["stated_digest"]:
+            raise ValueError(f"payload of {row['record_id']} differs from its stated digest")
         for _ in pieces:  # the blank lines after the payload
             pass
 

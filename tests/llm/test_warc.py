@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import re
 
 import pyarrow.fs as pafs
 import pytest
@@ -63,5 +64,39 @@ def test_archives_are_plain_warc(spark, pages):
     assert os.path.basename(path).endswith(".warc.gz")
 
 
+def one_archive(spark, folder, rows):
+    pages = spark.createDataFrame(rows, "page_id STRING, url STRING, payload BINARY")
+    return warc.write_archives(warc.plan_records(pages), folder)
+
+
+def test_addresses_are_written_as_they_are(spark, tmp_path):
+    path = one_archive(spark, str(tmp_path), [("p%41\n", "http://a/b%20c?x=%2F\r\nX: y", bytearray(b"z"))]).first()["archive"]
+    with pafs.LocalFileSystem().open_input_stream(path, compression="gzip") as stream:
+        fields = dict(line.split(b": ", 1) for line in stream.read().split(b"\r\n\r\n", 1)[0].split(b"\r\n")[1:])
+    assert fields[b"WARC-Target-URI"] == b"http://a/b%20c?x=%2F%0D%0AX: y"
+    assert re.fullmatch(rb"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields[b"WARC-Date"])
+
+
+def test_own_fields_come_back(spark, tmp_path):
+    manifest = one_archive(spark, str(tmp_path), [(p, "u", bytearray(b"z" * 2_000)) for p in ("p%41\n", "p%", "a%0A")])
+    rows = warc.read_chunks(manifest, str(tmp_path)).collect()
+    assert sorted((r["page_id"], r["refers_to"]) for r in rows) == [("a%0A", "p%41\n"), ("p%", "p%41\n"), ("p%41\n", None)]
+
+
+def test_a_changed_payload_is_an_error():
+    import gzip
+    import io
+
+    lines = "WARC-Type: response\r\nWARC-Record-ID: r\r\nPage-ID: 1\r\nContent-Length: 3\r\nWARC-Payload-Digest: sha1:"
+    for payload, right in ((b"abc", True), (b"abd", False)):
+        head = f"WARC/1.1\r\n{lines}{hashlib.sha1(b'abc').hexdigest()}\r\n\r\n".encode()
+        archive = io.BytesIO(gzip.compress(head + payload + b"\r\n\r\n"))
+        if right:
+            assert [r["bytes_so_far"] for r in warc._records(archive, 2)] == [2, 3]
+        else:
+            with pytest.raises(ValueError, match="differs"):
+                list(warc._records(archive, 2))
+
+
 def test_no_pages(pages):
     assert warc.archive_pages(pages.limit(0)).collect() == []
