@@ -24,23 +24,33 @@ def with_offsets(df: DataFrame, order: Sequence[str], weights: Mapping[str, str]
     checkpointed, so the partition boundaries are the same in both passes; only
     one total per partition is brought together. Weights are whole numbers.
     """
+    row, part = _free("_row", df), _free("_part", df)
     ordered = fixed_partitions(df.repartitionByRange(*order).sortWithinPartitions(*order))
     row_id = F.monotonically_increasing_id()
-    tagged = ordered.withColumn("_row", row_id).withColumn("_part", F.shiftright("_row", _ROW_BITS))
+    tagged = ordered.withColumn(row, row_id).withColumn(part, F.shiftright(row, _ROW_BITS))
     if weights is None:
-        local = tagged.withColumn("pos", F.col("_row") - F.shiftleft("_part", _ROW_BITS))
+        local = tagged.withColumn("pos", F.col(row) - F.shiftleft(part, _ROW_BITS))
         names = {"pos": F.count(F.lit(1))}
     else:
-        local = _running_totals(tagged.drop("_row"), weights)
+        local = _running_totals(tagged.drop(row), weights)
         names = {name: F.sum(source) for name, source in weights.items()}
-    totals = tagged.groupBy("_part").agg(*[value.alias(f"_t_{name}") for name, value in names.items()])
+    start = {name: _free(f"_s_{name}", df) for name in names}
+    totals = tagged.groupBy(part).agg(*[value.alias(f"_t_{name}") for name, value in names.items()])
     # One row per partition of the range sort: bounded by the partition count.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
-        "_part", *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_s_{name}") for name in names]
+        part, *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(start[name]) for name in names]
     )
-    joined = local.join(F.broadcast(starts), "_part")
-    return joined.select(*df.columns, *[(F.col(name) + F.col(f"_s_{name}")).alias(name) for name in names])
+    joined = local.join(F.broadcast(starts), part)
+    return joined.select(*df.columns, *[(F.col(name) + F.col(start[name])).alias(name) for name in names])
+
+
+def _free(name: str, df: DataFrame) -> str:
+    """A name that no column of ``df`` has."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def _running_totals(df: DataFrame, weights: Mapping[str, str]) -> DataFrame:

@@ -77,3 +77,16 @@ def test_cap_rounds_up_to_whole_pages(ratings_of):
     assert effective_cap(4_000_000, 200_000) == 4_000_000
     assert effective_cap(250, 100) == 300
     assert capped_train_rows(ratings_of(skewed()), 250, 100).count() == 300
+
+
+def test_offsets_keep_columns_of_any_name(spark):
+    rows = [(i % 7, 100 - i, f"p{i}", i * i) for i in range(60)]
+    df = spark.createDataFrame(rows, "k INT, _row INT, _part STRING, _s_pos INT")
+    got = with_offsets(df, ["k", "_row"]).collect()
+    ordered = sorted(rows, key=lambda r: (r[0], r[1]))
+    assert sorted((r["pos"], *r[:4]) for r in got) == [(i, *r) for i, r in enumerate(ordered)]
+    weighted = with_offsets(df, ["k", "_row"], {"start": "_s_pos"}).collect()
+    before = 0
+    for row, found in zip(ordered, sorted(weighted, key=lambda r: (r["k"], r["_row"])), strict=True):
+        assert tuple(found[:4]) == row and found["start"] == before
+        before += row[3]
