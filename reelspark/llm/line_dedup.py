@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reelspark.llm.text import SPACES, count_words
+from reelspark.llm.text import SPACES, count_words, quoted
 from reelspark.operators.ordering import with_offsets
 from reelspark.session import broadcast_if_small, materialise
 
@@ -130,7 +130,10 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_w
     """
     added = ("n_lines", "n_deleted", "deleted_lines")
     kept = [name for name in df.columns if name not in added]
-    docs = df.select(*kept, df[doc_id].alias("_id"), df[text].alias("_text"), F.unhex(F.md5(df[text])).alias("_digest"))
+    # The other columns travel in one struct, so that their names cannot clash with the operator's.
+    others = F.struct(*[quoted(name) for name in kept if name != text]).alias("_kept")
+    digest = F.unhex(F.md5(quoted(text))).alias("_digest")
+    docs = df.select(others, quoted(doc_id).alias("_id"), quoted(text).alias("_text"), digest)
     hits = repeated_lines(docs.select("_id", "_text", "_digest").where("_text IS NOT NULL"), min_words)
     size = hits.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("deleted")), F.lit(0)).alias("lines")).first()
     # Broadcast by its counted bytes; beyond that the texts are shuffled to the hits.
@@ -140,7 +143,8 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_w
     joined = docs.join(hits, same, "left").withColumn("deleted", F.coalesce("deleted", F.array().cast("array<int>")))
     lines = F.split("_text", "\n")
     left: Column = F.array_join(F.filter(lines, lambda line, k: ~F.array_contains("deleted", k)), "\n")
-    columns = [F.when(F.size("deleted") > 0, left).otherwise(F.col("_text")).alias(text) if c == text else F.col(c) for c in kept]
+    shown = F.when(F.size("deleted") > 0, left).otherwise(F.col("_text")).alias(text)
+    columns = [shown if name == text else F.col("_kept").getField(name).alias(name) for name in kept]
     return joined.select(
         *columns,
         F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),

@@ -21,6 +21,11 @@ def count_words(text: Column) -> Column:
     return F.regexp_count(unified, F.lit("[^ ]+")).cast("long")
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, whatever dots or backticks are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under the names an operator works with; all others are left out,
     so extra columns cannot clash with its own."""

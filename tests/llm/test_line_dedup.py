@@ -3,6 +3,7 @@
 import random
 
 from corpora import edge_documents, frame, sentence
+from pyspark.sql import types as T
 
 from reelspark.llm.line_dedup import dedup_lines
 
@@ -68,3 +69,15 @@ def test_repeated_rows_with_a_passage_of_several_lines(spark):
     same(spark, docs, 50)
     left = {r["doc_id"]: r["text"] for r in dedup_lines(frame(spark, docs)).collect()}
     assert left[2] == "tail two" and left[3] == "tail three" and left[None] == "start"
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["deleted", "_text", "_id", "_digest", "_hit_id", "_hit_digest", "_kept", "a.b", "c`d"]
+    passage = "\n".join(" ".join(f"w{i}{k}" for k in range(20)) for i in range(4))
+    rows = [(1, passage, *names), (2, "own line\n" + passage, *names)]
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(n, T.StringType()) for n in ["text", *names]]])
+    found = dedup_lines(spark.createDataFrame(rows, schema))
+    assert found.columns == ["doc_id", "text", *names, "n_lines", "n_deleted", "deleted_lines"]
+    got = sorted(map(tuple, found.collect()))
+    assert [r[:2] for r in got] == [(1, passage), (2, "own line")]
+    assert all(list(r[2:11]) == names for r in got) and [r[12] for r in got] == [0, 4]
