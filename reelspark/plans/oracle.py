@@ -167,6 +167,8 @@ mb AS (SELECT m, avg(rating) - (SELECT a FROM g) AS y FROM r GROUP BY m)"""
         "svd_uncentered_rank1": _with(R, *PIVOT_MODEL) + spectrum,
         "svd_reconstruction_rank1": _crc(*CENTRED_MODEL)
         + f"SELECT u AS user_id, m AS movie_id, {_r6('v')} AS v, {_r6('uf.f * vf.f')} AS approx FROM c JOIN uf USING (u) JOIN vf USING (m)",
+        "svd_blocks_rank1": _crc(*CENTRED_MODEL)
+        + f"SELECT u AS user_id, m AS movie_id, {_r6('v')} AS v, {_r6('uf.f * vf.f')} AS approx FROM c JOIN uf USING (u) JOIN vf USING (m)",
         "predict_ratings_rank1": _crc(*CENTRED_MODEL)
         + f"SELECT u AS user_id, m AS movie_id, {_r6(CLIPPED)} AS predicted_rating FROM {pairs}, g",
         "predict_endpoint_rank1": _crc(M, *CENTRED_MODEL)

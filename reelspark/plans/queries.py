@@ -548,6 +548,12 @@ def svd_spectrum(spark, sf, **solver):
     return rounded(model.spectrum(trained, spark), "singular_value")
 
 
+@register
+def svd_blocks_rank1(spark, sf):
+    """The reconstruction by the form that never holds the item vectors whole."""
+    return svd_reconstruction(spark, sf, **RANK1, budget=0, block_cells=20_000)
+
+
 @register_both_ranks
 def svd_reconstruction(spark, sf, **solver):
     ratings, trained = _trained(spark, sf, **solver)

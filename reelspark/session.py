@@ -74,15 +74,29 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _table_path(spark: SparkSession) -> str:
+    folder = _scope.get() or f"{shared_folder(spark).rstrip('/')}/tables"
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage, survives executor loss,
     keeps column pruning and gives the optimizer the real size."""
-    folder = _scope.get() or f"{shared_folder(df.sparkSession).rstrip('/')}/tables"
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = _table_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, buckets: int, *keys: str) -> tuple[DataFrame, str]:
+    """Like ``materialise``, stored by hash of ``keys`` so that joins and groups on them need no
+    shuffle. Also returns the catalogue name, to be dropped when the table is no longer read."""
+    path = _table_path(df.sparkSession)
+    name = f"bucketed_{uuid.uuid4().hex}"
+    placed = df.repartition(buckets, *keys)
+    placed.write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name, format="parquet")
+    return df.sparkSession.table(name), name
+
+
 def fixed_partitions(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: like ``materialise``, with partitions and their order kept."""
     shared_folder(df.sparkSession)
