@@ -232,6 +232,11 @@ FROM p WINDOW w AS (ORDER BY batch_id ROWS UNBOUNDED PRECEDING)""",
     "tag_batch": "SELECT l_orderkey AS order_id, l_partkey AS movie_id, l_linenumber AS line, 'lineitem' AS batch_id FROM lineitem",
     "upsert_ratings": _with(R, LATEST) + f"SELECT {ROW}, batch_id FROM latest",
     "stream_intake": _with(R, LATEST) + f"SELECT {ROW}, batch_id FROM latest",
+    "merged_current": _with(R, LATEST) + f"SELECT {ROW}, batch_id FROM latest",
+    "merged_movie": _with(R, LATEST)
+    + f"SELECT {ROW}, batch_id FROM latest WHERE m = (SELECT m FROM latest GROUP BY m ORDER BY count(*) DESC, m LIMIT 1)",
+    "merged_user": _with(R, LATEST)
+    + f"SELECT {ROW}, batch_id FROM latest WHERE u = (SELECT u FROM latest GROUP BY u ORDER BY count(*) DESC, u LIMIT 1)",
     "batch_lineage": _with(R, LATEST)
     + "SELECT batch_id, count(*) AS n, sum(rating) AS sum_rating FROM latest GROUP BY batch_id",
     "quarantine_rows": """SELECT CAST(l_orderkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id,

@@ -111,6 +111,45 @@ def stream_intake(spark, sf):
     return renamed(taken.current().withColumn("rating", F.col("rating").cast("double")).select(*ROW_ORDER, "batch_id"))
 
 
+def _merged_store(spark, sf):
+    """The deliveries published one after another, merged after each but the last."""
+    rows = materialise(tables.tagged_ratings(spark, sf))
+    kept = RatingsStore(spark, f"{shared_folder(spark)}/merged-{uuid.uuid4().hex}")
+    kept.init_schema()
+    numbers = sorted(row["batch_seq"] for row in rows.select("batch_seq").distinct().collect())
+    for number in numbers:
+        kept.publish(rows.where(F.col("batch_seq") == number).withColumn("imported_at", F.current_timestamp()))
+        if number != numbers[-1]:
+            kept.compact()
+    return kept
+
+
+def _merged_rows(current):
+    return renamed(current.withColumn("rating", F.col("rating").cast("double")).select(*ROW_ORDER, "batch_id"))
+
+
+@register
+def merged_current(spark, sf):
+    """The current table of a store whose batches are merged into buckets."""
+    return _merged_rows(_merged_store(spark, sf).current())
+
+
+@register
+def merged_movie(spark, sf):
+    """All ratings of the movie with most of them, through the store's grid."""
+    kept = _merged_store(spark, sf)
+    movie = profile.movie_counts(kept.current()).orderBy(F.col("n").desc(), "movieId").first()
+    return _merged_rows(kept.current(movie=movie and movie["movieId"]))
+
+
+@register
+def merged_user(spark, sf):
+    """All ratings of the user with most of them, through the store's grid."""
+    kept = _merged_store(spark, sf)
+    user = profile.user_counts(kept.current()).orderBy(F.col("n").desc(), "userId").first()
+    return _merged_rows(kept.current(user=user and user["userId"]))
+
+
 @register
 def quarantine_rows(spark, sf):
     """A feed in which returned lines carry an unreadable rating and open ones no time."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelspark.constants import MOVIE_COLUMNS, REQUIRED_COLUMNS
@@ -133,3 +134,56 @@ def move(spark: SparkSession, source: str, folder: str, spare: str | None = None
 def published(spark: SparkSession, path: str) -> bool:
     """Whether a written folder is complete."""
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def claim(spark: SparkSession, path: str, owner: str) -> bool:
+    """Put a file where none is: true for the one caller that makes it, whoever else tries.
+
+    The file holds ``owner``. It needs a file system whose create without overwrite is atomic, as
+    HDFS has; local files are made by the system's own exclusive create.
+    """
+    fs, target, jvm = _fs(spark, path), _path(spark, path), spark._jvm
+    fs.mkdirs(target.getParent())
+    if fs.getScheme() == "file":
+        local = jvm.java.io.File(target.toUri().getPath())
+        if not local.createNewFile():
+            return False
+        out = jvm.java.io.FileOutputStream(local)
+    else:
+        try:
+            out = fs.create(target, False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in str(error.java_exception):
+                return False
+            raise
+    try:
+        out.write(bytearray(owner.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def claimed_by(spark: SparkSession, path: str) -> str | None:
+    """Who holds a claim; empty while it is being written, None without one."""
+    if not exists(spark, path):
+        return None
+    stream = _fs(spark, path).open(_path(spark, path))
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def claim_number(spark: SparkSession, folder: str, after: int, owner: str) -> int:
+    """The first free number above ``after``, or the one ``owner`` already holds there."""
+    number = after + 1
+    while True:
+        path = f"{folder.rstrip('/')}/{number:012d}"
+        if claim(spark, path, owner) or claimed_by(spark, path) == owner:
+            return number
+        number += 1
+
+
+def last_claim(spark: SparkSession, folder: str) -> int | None:
+    numbers = [int(name) for name in list_names(spark, folder) if name.isdigit()]
+    return max(numbers, default=None)

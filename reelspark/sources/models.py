@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -53,11 +54,18 @@ class Registry:
         schema = registry.SCHEMAS[table]
         if not files.exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
     def _append(self, table: str, *row) -> None:
         frame = self.spark.createDataFrame([(*row, datetime.now(timezone.utc))], registry.SCHEMAS[table])
-        frame.coalesce(1).write.mode("append").parquet(f"{self.root}/{table}")
+        # A folder for each row: two writers of one folder would clear each other's unfinished files.
+        frame.coalesce(1).write.parquet(f"{self.root}/{table}/{uuid.uuid4().hex}")
+
+    def _claims(self, table: str) -> str:
+        return f"{self.root}/claims/{table}"
+
+    def _last_event(self) -> int:
+        return self._read("alias_events").agg(F.max("seq")).first()[0] or 0
 
     def runs(self) -> DataFrame:
         return self._read("runs")
@@ -77,16 +85,16 @@ class Registry:
         return run_id
 
     def register(self, run_id: str) -> int:
-        """Next version number of the model for a logged run."""
-        last = self.versions().agg(F.max("version")).first()[0]
-        version = (last or 0) + 1
+        """Next version number of the model for a logged run; no two callers get the same."""
+        last = self.versions().agg(F.max("version")).first()[0] or 0
+        version = files.claim_number(self.spark, f"{self._claims('model_versions')}/{self.name}", last, uuid.uuid4().hex)
         self._append("model_versions", self.name, version, run_id)
         return version
 
     def set_alias(self, alias: str, version: int) -> None:
-        """Point an alias at a version; pointing it back is a rollback."""
-        last = self._read("alias_events").agg(F.max("seq")).first()[0]
-        self._append("alias_events", self.name, alias, version, (last or 0) + 1)
+        """Point an alias at a version; pointing it back is a rollback. The last caller wins."""
+        seq = files.claim_number(self.spark, self._claims("alias_events"), self._last_event(), uuid.uuid4().hex)
+        self._append("alias_events", self.name, alias, version, seq)
 
     def resolve(self, alias: str = PRODUCTION_ALIAS, override: str | None = None) -> str | None:
         """Model location for an alias; an explicit location wins."""
@@ -95,16 +103,30 @@ class Registry:
         row = registry.current_aliases(self.alias_events()).where(F.col("alias") == alias).first()
         return None if row is None else self.model_path(row["version"])
 
-    def promote(self, run_id: str, metric: str = "rmse") -> bool:
-        """Move the production alias to the run's newest version if it beats the champion."""
-        decision = registry.compare_with_champion(
-            self.runs(), self.versions(), self.alias_events(), run_id, metric
-        ).first()
-        if decision is None:
-            raise ValueError(f"run {run_id} has no registered version")
-        if decision["promoted"]:
-            self.set_alias(PRODUCTION_ALIAS, decision["version"])
-        return decision["promoted"]
+    def promote(self, run_id: str, metric: str = "rmse", patience: float = 10.0) -> bool:
+        """Move the production alias to the run's newest version if it beats the champion.
+
+        The move takes the number right after the events the decision has seen. When another caller
+        holds it, the decision is made anew with that caller's event; a claim whose event does not
+        come within ``patience`` seconds belongs to a writer that was lost, and is passed over.
+        """
+        floor = 0
+        while True:
+            seen = self._last_event()
+            events = self.alias_events().where(F.col("seq") <= seen)
+            decision = registry.compare_with_champion(self.runs(), self.versions(), events, run_id, metric).first()
+            if decision is None:
+                raise ValueError(f"run {run_id} has no registered version")
+            if not decision["promoted"]:
+                return False
+            seq = max(seen, floor) + 1
+            if files.claim(self.spark, f"{self._claims('alias_events')}/{seq:012d}", uuid.uuid4().hex):
+                self._append("alias_events", self.name, PRODUCTION_ALIAS, decision["version"], seq)
+                return True
+            until = time.monotonic() + patience
+            while self._last_event() < seq and time.monotonic() < until:
+                time.sleep(0.2)
+            floor = seq
 
     def status(self) -> DataFrame:
         return registry.model_status(self.runs(), self.versions(), self.alias_events())

@@ -1,15 +1,19 @@
-"""Ratings and movies at rest: an append-only batch log with compacted bases.
+"""Ratings and movies at rest: an append-only batch log merged into a grid of buckets.
 
 A batch is published as one partition of the log, so publishing the same batch again
-replaces it with itself. The current table is the newest row per key over the latest
-base and the log after it. Nothing is overwritten while it is being read.
+replaces it with itself. ``compact`` merges batches into the base, a grid of user slices by
+movie slices, and rewrites only the buckets they touch; a manifest names the newest copy of each
+bucket and the batches in it. The current table is the base with the rows of newer batches in
+place of their own keys, so the base is never shuffled. Nothing is overwritten while it is being read.
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from reelspark.operators.ingest import KEY, latest_by_key
 from reelspark.sources import files
@@ -26,6 +30,31 @@ _REJECTS = T.StructType(
 )
 
 
+_MANIFEST = "bucket INT, version INT, batch_seq BIGINT, slices INT"
+_SLICES = 16
+
+
+def _slice(column: str, slices: int) -> Column:
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(slices)).cast("int")
+
+
+def _bucket(slices: int) -> Column:
+    return _slice("userId", slices) * slices + _slice("movieId", slices)
+
+
+def _slice_of(value: int, slices: int) -> int:
+    return zlib.crc32(str(value).encode()) % slices
+
+
+@dataclass(frozen=True)
+class Base:
+    """One state of the merged table: the version that holds each bucket, and the batches merged."""
+
+    buckets: dict[int, int]
+    batches: frozenset[int]
+    slices: int
+
+
 def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select(*[F.col(field.name).cast(field.dataType) for field in schema])
 
@@ -34,6 +63,7 @@ def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
 class RatingsStore:
     spark: SparkSession
     root: str
+    slices: int = _SLICES
 
     def _at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -74,27 +104,102 @@ class RatingsStore:
         numbers = [int(name.split("=", 1)[1]) for name in names if "=" in name]
         return sorted(n for n in numbers if files.published(self.spark, self._at(f"{folder}/version={n}")))
 
-    def current(self) -> DataFrame:
-        """The newest row of every key."""
-        bases = self._versions("base")
-        if not bases:
-            return latest_by_key(self.log(), "batch_seq")
-        base = self.spark.read.schema(_LOG).parquet(self._at(f"base/version={bases[-1]}"))
-        newer = self.log().where(F.col("batch_seq") > bases[-1])
-        if newer.isEmpty():
-            return base
-        return latest_by_key(base.unionByName(newer), "batch_seq")
+    def claim_batch(self, owner: str, after: int = -1) -> int:
+        """A batch number above ``after`` and all published ones that no other owner has or gets.
+
+        An owner that asks again gets the number it holds.
+        """
+        folder = self._at("claims/batches")
+        held = f"{folder}/of/{uuid.uuid5(uuid.NAMESPACE_URL, owner).hex}"
+        before = files.claimed_by(self.spark, held)
+        if not before:
+            last = files.last_claim(self.spark, folder)
+            start = max([after, -1 if last is None else last, *self.batches()])
+            before = str(files.claim_number(self.spark, folder, start, owner))
+            # Noted after the claim: an owner lost in between leaves a number unused.
+            files.claim(self.spark, held, before)
+        return int(before)
+
+    def batches(self) -> list[int]:
+        """Published batch numbers."""
+        names = files.list_names(self.spark, self._at("log"))
+        return sorted(int(name.split("=", 1)[1]) for name in names if name.startswith("batch_seq=") and name[10:].isdigit())
+
+    def base(self) -> Base:
+        versions = self._versions("manifest")
+        if not versions:
+            return Base({}, frozenset(), self.slices)
+        rows = self.spark.read.schema(_MANIFEST).json(self._at(f"manifest/version={versions[-1]}")).collect()
+        buckets = {row["bucket"]: row["version"] for row in rows if row["bucket"] is not None}
+        merged = frozenset(row["batch_seq"] for row in rows if row["batch_seq"] is not None)
+        return Base(buckets, merged, rows[0]["slices"])
+
+    def _merged_rows(self, base: Base, wanted: list[int]) -> DataFrame:
+        """The rows of some buckets; no other file is opened."""
+        paths = [self._at(f"base/version={base.buckets[b]}/bucket={b}") for b in sorted(wanted) if b in base.buckets]
+        if not paths:
+            return self.spark.createDataFrame([], _LOG)
+        return self.spark.read.schema(_LOG).parquet(*paths)
+
+    def _newer(self, base: Base) -> DataFrame:
+        """Rows of the log that the base does not hold yet; a batch may be older than merged ones."""
+        return self.log().where(F.col("batch_seq").isin([b for b in self.batches() if b not in base.batches]))
+
+    def _overlaid(self, merged: DataFrame, newer: DataFrame) -> DataFrame:
+        """``merged`` with the newest row of each key of ``newer``.
+
+        Only merged rows with such a key are grouped. The others pass as they are: Spark broadcasts
+        the keys while they are few.
+        """
+        keys = newer.select(*KEY).distinct()
+        settled = latest_by_key(merged.join(keys, list(KEY), "left_semi").unionByName(newer), "batch_seq")
+        return merged.join(keys, list(KEY), "left_anti").unionByName(settled.select(*merged.columns))
+
+    def current(self, user: int | None = None, movie: int | None = None) -> DataFrame:
+        """The newest row of every key, or of one user's or movie's keys; those read one row or
+        column of the grid."""
+        base = self.base()
+        buckets = [
+            b for b in base.buckets
+            if (user is None or b // base.slices == _slice_of(user, base.slices))
+            and (movie is None or b % base.slices == _slice_of(movie, base.slices))
+        ]
+        merged, newer = self._merged_rows(base, buckets), self._newer(base)
+        for column, value in (("userId", user), ("movieId", movie)):
+            if value is not None:
+                merged, newer = (rows.where(F.col(column) == value) for rows in (merged, newer))
+        if not base.buckets:
+            return latest_by_key(newer, "batch_seq").select(*_LOG.names)
+        return merged if newer.isEmpty() else self._overlaid(merged, newer)
 
     def compact(self) -> int:
-        """Write the current table as a new base, clustered by user; returns its last batch."""
-        last = self.log().agg(F.max("batch_seq")).first()[0]
-        if last is None:
+        """Merge the batches the base does not hold; returns the newest batch of all.
+
+        Only buckets with a row of such a batch are rewritten, and the manifest is written last.
+        Compactions that run at once each write a whole state of their own; the later one counts, and
+        what it lacks is still in the log.
+        """
+        published = self.batches()
+        if not published:
             raise ValueError("nothing to compact: the log is empty")
-        if last not in self._versions("base"):
+        base = self.base()
+        fresh = [b for b in published if b not in base.batches]
+        if fresh:
+            newer = self.log().where(F.col("batch_seq").isin(fresh))
+            bucket = _bucket(base.slices)
+            touched = [row["b"] for row in newer.select(bucket.alias("b")).distinct().collect()]
+            last = files.last_claim(self.spark, self._at("claims/versions"))
+            version = files.claim_number(self.spark, self._at("claims/versions"), -1 if last is None else last, uuid.uuid4().hex)
+            rows = self._overlaid(self._merged_rows(base, touched), newer).withColumn("bucket", bucket)
             # Sorted by key inside range partitions: readers skip files by min/max on userId.
-            rows = self.current().repartitionByRange(*KEY).sortWithinPartitions(*KEY)
-            rows.write.mode("overwrite").parquet(self._at(f"base/version={last}"))
-        return last
+            rows = rows.repartitionByRange("bucket", *KEY).sortWithinPartitions("bucket", *KEY)
+            rows.write.mode("overwrite").partitionBy("bucket").parquet(self._at(f"base/version={version}"))
+            buckets = {**base.buckets, **dict.fromkeys(touched, version)}
+            entries = [(b, v, None, base.slices) for b, v in sorted(buckets.items())]
+            entries += [(None, None, b, base.slices) for b in sorted({*base.batches, *fresh})]
+            manifest = self.spark.createDataFrame(entries, _MANIFEST).coalesce(1)
+            manifest.write.mode("overwrite").json(self._at(f"manifest/version={version}"))
+        return published[-1]
 
     def movies(self) -> DataFrame:
         return self.spark.read.schema(MOVIES).parquet(self._at(f"movies/version={self._versions('movies')[-1]}"))

@@ -51,15 +51,22 @@ def _entry_of(path: Column, landing: str) -> Column:
     return F.substring_index(F.substring_index(path, marker, -1), "/", 1)
 
 
-def _numbered(spark: SparkSession, progress: str, key: str, entries: list[str]) -> dict[str, int]:
-    """The batch numbers of a trigger: those written down before, else the next ones in name order."""
+def _numbered(store: RatingsStore, progress: str, key: str, entries: list[str]) -> dict[str, int]:
+    """The batch numbers of a trigger: those written down before, else the next ones in name order.
+
+    The store gives each number to one owner, so streams with progress of their own can feed it together.
+    """
+    spark = store.spark
     path = f"{progress}/numbers/trigger={key}"
     if not files.published(spark, path):
         last = -1
         if files.list_names(spark, f"{progress}/numbers"):
             known = spark.read.schema(_PROGRESS).json(f"{progress}/numbers").agg(F.max("batch_seq")).first()[0]
             last = -1 if known is None else known
-        rows = [(entry, last + 1 + i) for i, entry in enumerate(sorted(entries))]
+        rows = []
+        for entry in sorted(entries):
+            last = store.claim_batch(f"{progress} {key} {entry}", last)
+            rows.append((entry, last))
         spark.createDataFrame(rows, _PROGRESS).coalesce(1).write.mode("overwrite").json(path)
     return {row["entry"]: row["batch_seq"] for row in spark.read.schema(_PROGRESS).json(path).collect()}
 
@@ -150,7 +157,7 @@ def run_intake(
     store.init_schema()
 
     def take(key: str, entries: list[str], trigger: int) -> None:
-        numbers = _numbered(spark, checkpoint, key, entries)
+        numbers = _numbered(store, checkpoint, key, entries)
         present = {e: n for e, n in numbers.items() if files.exists(spark, f"{landing}/{e}")}
         if not present:
             return
