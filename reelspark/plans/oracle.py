@@ -445,3 +445,24 @@ UNION ALL SELECT "column", 'chi2', chi2, CAST({_r6("p")} AS DOUBLE), p < 0.05 FR
   greatest(0.0, 1 - list_sum(list_transform(range(0, CAST(chi2 AS BIGINT) + 2000),
     lambda n: exp((dof / 2 + n) * ln(chi2 / 2) - chi2 / 2 - lgamma(dof / 2 + n + 1))))) AS p
   FROM ({ORACLE["drift_chi2"]}))"""
+
+# The profile kept up by batch is that of the newest row of every key: the same SQL over another r.
+NEWEST = f"""{R.replace("r AS", "raw AS", 1)}, {LATEST.replace("FROM r)", "FROM raw)")},
+r AS (SELECT u, m, rating, ts FROM latest)"""
+
+for kept, whole in {
+    "batch_overview": "dataset_overview",
+    "batch_sparsity": "matrix_sparsity",
+    "batch_distribution": "rating_distribution",
+    "batch_cold_start": "cold_start_summary",
+    "batch_user_means": "user_means",
+}.items():
+    ORACLE[kept] = ORACLE[whole].replace(R, NEWEST, 1)
+
+_LENGTHED_BY_TIME = ", ".join(f"concat(length(CAST({c} AS VARCHAR)), ':', {c})" for c in ("u", "m", "ts", "rating"))
+ORACLE["batch_version_ranges"] = (
+    _with(NEWEST)
+    + f"""SELECT u // 4096 AS range_no, count(*) AS n,
+CAST(sum(CAST('0x' || substr(md5(concat_ws('|', '42', {_LENGTHED_BY_TIME})), 1, 15) AS HUGEINT)) % 1152921504606846976 AS BIGINT) AS digest
+FROM r GROUP BY 1"""
+)

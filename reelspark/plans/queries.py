@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from reelspark import constants as C
 from reelspark.functions.scalar import file_stem, in_user_sample, is_holdout, round_binary
-from reelspark.operators import drift, evaluate, factorise, ingest, model, popular, profile, recommend, registry, sampling
+from reelspark.operators import drift, evaluate, factorise, ingest, model, popular, profile, recommend, registry, rollup, sampling
 from reelspark.operators.ordering import expand_copies
 from reelspark.session import materialise, shared_folder
 from reelspark.sources import files, store, tables
@@ -225,6 +225,52 @@ def dataset_fingerprint(spark, sf):
     return profile.fingerprint(tables.ratings(spark, sf))
 
 
+# --- profile kept up by batch -------------------------------------------------------
+
+
+def _kept_profile(spark, sf):
+    """The deliveries published one after another, each taken into the profile by itself."""
+    rows = materialise(tables.tagged_ratings(spark, sf))
+    kept = RatingsStore(spark, f"{shared_folder(spark)}/profiled-{uuid.uuid4().hex}")
+    kept.init_schema()
+    for number in sorted(row["batch_seq"] for row in rows.select("batch_seq").distinct().collect()):
+        kept.publish(rows.where(F.col("batch_seq") == number).withColumn("imported_at", F.current_timestamp()))
+        kept.update_profile()
+    return materialise(kept.profile())
+
+
+@register
+def batch_overview(spark, sf):
+    overview = rollup.overview(_kept_profile(spark, sf), tables.movies(spark, sf))
+    return rounded(overview, "avg_rating", "rating_std")
+
+
+@register
+def batch_sparsity(spark, sf):
+    return rounded(rollup.sparsity(_kept_profile(spark, sf)), "sparsity_pct", "density_pct")
+
+
+@register
+def batch_distribution(spark, sf):
+    return rounded(rollup.distribution(_kept_profile(spark, sf)), "pct")
+
+
+@register
+def batch_cold_start(spark, sf):
+    return rounded(rollup.cold_start(_kept_profile(spark, sf)), "pct")
+
+
+@register
+def batch_user_means(spark, sf):
+    return renamed(rounded(rollup.entities(_kept_profile(spark, sf), "user"), "mean_rating"))
+
+
+@register
+def batch_version_ranges(spark, sf):
+    """Rows and additive digest of each range of users."""
+    return rollup.ranges(_kept_profile(spark, sf))
+
+
 # --- samples and splits -----------------------------------------------------------
 
 

@@ -9,12 +9,15 @@ place of their own keys, so the base is never shuffled. Nothing is overwritten w
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from reelspark.operators import rollup
 from reelspark.operators.ingest import KEY, latest_by_key
 from reelspark.sources import files
 from reelspark.sources.schema import MOVIES, RATINGS, RATINGS_TAGGED
@@ -201,6 +204,60 @@ class RatingsStore:
             manifest.write.mode("overwrite").json(self._at(f"manifest/version={version}"))
         return published[-1]
 
+    def _rows_of(self, batches: frozenset[int], keys: DataFrame) -> DataFrame:
+        """The newest row of each given key as of some batches."""
+        base = self.base()
+        log = self.log().where(F.col("batch_seq").isin(sorted(batches)))
+        if not base.batches or not base.batches <= batches:
+            return latest_by_key(log.join(keys, list(KEY), "left_semi"), "batch_seq")
+        touched = [row["b"] for row in keys.select(_bucket(base.slices).alias("b")).distinct().collect()]
+        newer = log.where(F.col("batch_seq").isin(sorted(batches - base.batches)))
+        rows = self._merged_rows(base, touched).unionByName(newer)
+        return latest_by_key(rows.join(keys, list(KEY), "left_semi"), "batch_seq")
+
+    def _profiled(self) -> tuple[int, frozenset[int], list[str]]:
+        """The last commit of the profile, the batches in it and the folders of its parts."""
+        last, batches, parts = -1, set(), []
+        for name in files.list_names(self.spark, self._at("profile/commits")):
+            if name.isdigit():
+                last = int(name)
+                text = files.claimed_by(self.spark, self._at(f"profile/commits/{name}"))
+                if text:
+                    entry = json.loads(text)
+                    batches.update(entry["batches"])
+                    parts.append(self._at(f"profile/parts/{entry['part']}"))
+        return last, frozenset(batches), parts
+
+    def update_profile(self, patience: float = 10.0) -> list[int]:
+        """Take the published batches the profile lacks into it; returns their numbers.
+
+        Reads these batches, and of the rows before them only those with their keys. The part is
+        written first and counts once its commit is claimed; when another caller commits first, it is
+        worked out anew. A commit left empty by a lost writer is passed over after ``patience`` seconds.
+        """
+        while True:
+            last, done, _ = self._profiled()
+            fresh = [b for b in self.batches() if b not in done]
+            if not fresh:
+                return []
+            keys = self.log().where(F.col("batch_seq").isin(fresh)).select(*KEY).distinct()
+            changed = rollup.changes(self._rows_of(done, keys), self._rows_of(done | set(fresh), keys))
+            name = uuid.uuid4().hex
+            rollup.part(changed).write.parquet(self._at(f"profile/parts/{name}"))
+            commit = self._at(f"profile/commits/{last + 1:012d}")
+            if files.claim(self.spark, commit, json.dumps({"part": name, "batches": fresh})):
+                return fresh
+            until = time.monotonic() + patience
+            while not files.claimed_by(self.spark, commit) and time.monotonic() < until:
+                time.sleep(0.2)
+
+    def profile(self) -> DataFrame:
+        """The state of the profile as of the batches taken into it."""
+        _, _, parts = self._profiled()
+        if not parts:
+            return self.spark.createDataFrame([], rollup.STATE)
+        return rollup.merge(self.spark.read.schema(rollup.STATE).parquet(*parts))
+
     def movies(self) -> DataFrame:
         return self.spark.read.schema(MOVIES).parquet(self._at(f"movies/version={self._versions('movies')[-1]}"))
 
