@@ -70,8 +70,13 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield path
     finally:
         _scope.reset(token)
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table this library wrote and no frame reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def _table_path(spark: SparkSession) -> str:
