@@ -59,7 +59,7 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = sentencepiece.encode(docs, check="round_trip")
+    encoded = sentencepiece.encode_checked(docs, ["doc_id"])
     return encoded.select("doc_id", "n_tokens", "token_ids", "round_trip")
 
 

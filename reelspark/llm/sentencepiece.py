@@ -6,10 +6,11 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelspark.llm.text import only
@@ -18,9 +19,10 @@ from reelspark.session import materialise
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 FREQUENT_WORDS = 1 << 17
-CACHED_WORDS = 1 << 17
+CACHED_CHARACTERS = 1 << 20
 LONGEST_TOGETHER = 100
-_ROWS_AT_ONCE = 1_000
+_BYTES_AT_ONCE = 1 << 22
+_TOKENS_AT_ONCE = 1 << 20
 _UNKNOWN_PENALTY = 10.0
 
 
@@ -51,6 +53,7 @@ class Vocabulary:
     longest: int = field(init=False)
     unknown: float = field(init=False)
     unit: str = field(init=False)
+    border: str = field(init=False)
     tables: dict[int, tuple[np.ndarray, ...]] = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
@@ -61,6 +64,9 @@ class Vocabulary:
         # No piece crosses from one unit into the next.
         pattern = f"{SPACE}*{free}+|{SPACE}+" if words else f"{free}+"
         object.__setattr__(self, "unit", pattern + (f"|[{cuts}]" if cuts else ""))
+        # Places where a unit starts whatever stands before: a text may be cut there.
+        borders = [f"(?<!{SPACE}){SPACE}"] * words + [f"[{cuts}]"] * bool(cuts)
+        object.__setattr__(self, "border", "|".join(borders) or "(?!)")
         object.__setattr__(self, "longest", max(map(len, self.ids)))
         object.__setattr__(self, "tables", self._tables())
         object.__setattr__(self, "unknown", min(s for s in self.scores.values() if s > -1e8) - _UNKNOWN_PENALTY)
@@ -166,9 +172,54 @@ class Vocabulary:
         """The text in parts that no piece of the vocabulary crosses."""
         return re.findall(self.unit, SPACE + text.replace(" ", SPACE)) if text else []
 
-    def decoder(self) -> dict[int, bytes]:
+    def runs(self, text: str, size: int) -> Iterator[list[str]]:
+        """The units of a long text in runs of about ``size`` characters."""
+        marked, border, at = SPACE + text.replace(" ", SPACE), re.compile(self.border), 0
+        while text and at < len(marked):
+            found = border.search(marked, at + size)
+            end = found.start() if found else len(marked)
+            yield re.findall(self.unit, marked[at:end])
+            at = end
+
+    def decoder(self) -> pa.Array:
+        """The bytes of every id, and no bytes in the last place."""
         table = {i: piece.replace(SPACE, " ").encode() for piece, i in self.ids.items()}
-        return table | {self.first_byte + b: bytes([b]) for b in range(256)}
+        table |= {self.first_byte + b: bytes([b]) for b in range(256)}
+        return pa.array([table.get(i, b"") for i in range(max(table) + 2)], pa.large_binary())
+
+
+def even_slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows whose sizes add up to ``most``; a larger row is a run by itself."""
+    upto, lo = np.concatenate([[0], np.cumsum(sizes)]), 0
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + most, side="right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
+def decoded_texts(lists: pa.Array, table: pa.Array) -> list[str | None]:
+    """The text of each list of ids; a bounded number of tokens is looked up at once."""
+    texts: list[str | None] = []
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    last = len(table) - 1
+    for lo, hi in even_slices(sizes, _TOKENS_AT_ONCE):
+        some = lists.slice(lo, hi - lo)
+        ids = some.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        places = np.where((ids >= 0) & (ids < last), ids, last)
+        ends = np.cumsum(sizes[lo:hi])
+        parts: list[list[bytes]] = [[] for _ in range(hi - lo)]
+        for start in range(0, len(places), _TOKENS_AT_ONCE):
+            stop = min(len(places), start + _TOKENS_AT_ONCE)
+            bytes_of = table.take(pa.array(places[start:stop]))
+            first = int(np.searchsorted(ends, start, side="right"))
+            final = int(np.searchsorted(ends, stop, side="left")) + 1
+            offsets = np.concatenate([[0], np.minimum(ends[first:final], stop) - start])
+            grouped = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), bytes_of.cast(pa.binary()))
+            for k, joined in zip(range(first, final), pc.binary_join(grouped, b"").to_pylist()):
+                parts[k].append(joined)
+        for k, valid in enumerate(some.is_valid().to_pylist()):
+            texts.append(b"".join(parts[k]).decode("utf-8", "replace").removeprefix(" ") if valid else None)
+    return texts
 
 
 def lattice_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -240,15 +291,15 @@ def _frequent(docs: DataFrame, most: int) -> DataFrame:
 
 
 def encode(
-    df: DataFrame, text: str = "text", model: str = MODEL, frequent: int = FREQUENT_WORDS, check: str | None = None
+    df: DataFrame, text: str = "text", model: str = MODEL, frequent: int = FREQUENT_WORDS, keep: list[str] | None = None
 ) -> DataFrame:
-    """All columns of ``df`` with ``token_ids`` and ``n_tokens`` (columns of these names are replaced).
-
-    ``check`` names a further column that says whether the ids, decoded, give the text back.
+    """The columns ``keep`` of ``df`` (all without it) with ``token_ids`` and ``n_tokens``; columns of
+    these two names are replaced.
 
     A null text gives a null ``token_ids`` and 0 tokens, an empty text an empty list. Characters
     outside the vocabulary become bytes. A text's U+2581 is read as a space, as the format has it.
-    Repeated rows give repeated results; an empty table gives none; texts are encoded whole.
+    Repeated rows give repeated results; an empty table gives none; texts are encoded whole, a few
+    megabytes at a time: many short texts together, a long one in runs of units.
 
     The lattice of the most frequent words (a fixed number) is solved relationally, and their
     paths go to all tasks; a word not among them is solved over the same lattice, with the same
@@ -262,32 +313,22 @@ def encode(
     table = solved.toArrow()
     known = dict(zip(table["word"].to_pylist(), table["ids"].to_pylist(), strict=True))
     shared = spark.sparkContext.broadcast(known)
-    kept = [name for name in df.columns if name not in ("token_ids", "n_tokens", check)]
-    pieces = vocabulary.decoder() if check else {}
-
-    def whole(texts: list[str | None], split: list[list[str]], distinct: list[str], paths: list[list[int]]) -> list[bool]:
-        """A text comes back if its units make it up and the ids of each unit decode to it."""
-        lost = {
-            unit for unit, path in zip(distinct, paths, strict=True)
-            if b"".join(map(pieces.__getitem__, path)).decode("utf-8", "replace") != unit.replace(SPACE, " ")
-        }
-        return [
-            "".join(units) == (SPACE + value.replace(" ", SPACE) if value else "") and lost.isdisjoint(units)
-            for value, units in zip(texts, split, strict=True)
-        ]
+    kept = [name for name in (df.columns if keep is None else keep) if name not in ("token_ids", "n_tokens")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, met = shared.value, {}
-        for batch in (b.slice(at, _ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, _ROWS_AT_ONCE)):
-            texts = batch.column("_text").to_pylist()
-            split = [vocabulary.units(value or "") for value in texts]
+        words, met, held = shared.value, {}, 0
+
+        def solve(split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+            """The ids of lists of units, and how many each list has."""
+            nonlocal held
             coded = pa.array(list(chain.from_iterable(split)), pa.string()).dictionary_encode()
             distinct, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-            new = [unit for unit in distinct if unit not in words and unit not in met]
-            if len(met) + len(new) > CACHED_WORDS:
+            if held > CACHED_CHARACTERS:
                 met.clear()
-                new = [unit for unit in distinct if unit not in words]
+                held = 0
+            new = [unit for unit in distinct if unit not in words and unit not in met]
             met.update(zip(new, vocabulary.encode_units(new), strict=True))
+            held += sum(map(len, new))
             paths = [words[unit] if unit in words else met[unit] for unit in distinct]
             # The paths of all units in order, gathered from those of the distinct ones.
             lengths = np.fromiter(map(len, paths), np.int64, len(paths))
@@ -296,19 +337,32 @@ def encode(
             upto = np.concatenate([[0], np.cumsum(size)])
             ids = flat[np.arange(upto[-1]) + np.repeat(first - upto[:-1], size)]
             ends = upto[np.concatenate([[0], np.cumsum([len(units) for units in split], dtype=np.int64)])]
-            columns = [batch.column(name) for name in kept]
-            counts = pa.array(np.diff(ends), pa.int64())
-            offsets = pa.array(ends.astype(np.int32), mask=np.array([t is None for t in texts] + [False]))
-            lists = pa.ListArray.from_arrays(offsets, pa.array(ids))
-            columns, names = [*columns, lists, counts], [*kept, "token_ids", "n_tokens"]
-            if check:
-                columns, names = [*columns, pa.array(whole(texts, split, distinct, paths), pa.bool_())], [*names, check]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            return ids, np.diff(ends)
+
+        def encoded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+            if len(texts) > 1 or len(texts[0] or "") <= _BYTES_AT_ONCE:
+                return solve([vocabulary.units(value or "") for value in texts])
+            runs = [solve([units])[0] for units in vocabulary.runs(texts[0], _BYTES_AT_ONCE // 4)]
+            ids = np.concatenate(runs)
+            return ids, np.array([len(ids)])
+
+        for whole in batches:
+            sizes = pc.fill_null(pc.binary_length(whole.column("_text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            for lo, hi in even_slices(sizes, _BYTES_AT_ONCE):
+                batch = whole.slice(lo, hi - lo)
+                texts = batch.column("_text").to_pylist()
+                ids, counts = encoded(texts)
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                offsets = pa.array(ends, mask=np.array([t is None for t in texts] + [False]))
+                lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
+                columns = [batch.column(k) for k in range(len(kept))]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, lists, pa.array(counts, pa.int64())], [*kept, "token_ids", "n_tokens"]
+                )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in kept)
     named = df.select(*kept, df[text].alias("_text"))
-    checked = f", `{check}` boolean" if check else ""
-    return named.mapInArrow(run, f"{fields}, token_ids array<int>, n_tokens long{checked}")
+    return named.mapInArrow(run, f"{fields + ', ' if fields else ''}token_ids array<int>, n_tokens long")
 
 
 def decode(df: DataFrame, ids: str = "token_ids", output: str = "decoded", model: str = MODEL) -> DataFrame:
@@ -317,21 +371,35 @@ def decode(df: DataFrame, ids: str = "token_ids", output: str = "decoded", model
     The space that stands before a text is taken off; an id that is no piece and no byte gives
     nothing; bytes that are not UTF-8 become U+FFFD.
     """
+    return df.withColumn(output, _decoded(ids, model))
+
+
+def _decoded(ids: str, model: str) -> Column:
+    """Only the ids go to the tasks' Python side."""
     table = Vocabulary.load(model).decoder()
-    kept = [name for name in df.columns if name != output]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            lists = batch.column("_ids")
-            for k, valid in enumerate(lists.is_valid().to_pylist()):
-                if not valid:
-                    texts.append(None)
-                    continue
-                ids = lists.values[lists.offsets[k].as_py() : lists.offsets[k + 1].as_py()].to_numpy(zero_copy_only=False)
-                joined = b"".join([table.get(i, b"") for i in ids.tolist()])
-                texts.append(joined.decode("utf-8", "replace").removeprefix(" "))
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], pa.array(texts, pa.string())], [*kept, output])
+    @F.arrow_udf("string")
+    def text_of(lists: pa.Array) -> pa.Array:
+        return pa.array(decoded_texts(lists, table), pa.string())
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in kept)
-    return df.select(*kept, df[ids].alias("_ids")).mapInArrow(run, f"{fields}, {output} string")
+    return text_of(F.col(ids))
+
+
+def encode_checked(
+    df: DataFrame, keep: list[str], text: str = "text", output: str = "round_trip", model: str = MODEL, frequent: int = FREQUENT_WORDS
+) -> DataFrame:
+    """``encode``, written as a table, with whether its stored ids decode to the whole text.
+
+    Every row's ids are decoded from the table and held against the SHA-256 of the text, so a wrong
+    id, offset or count shows. A text with U+2581 decodes to a space in its place: false. A null text
+    has null ids: true.
+    """
+    digest = next(name for k in count() if (name := f"_digest{k}") not in df.columns)
+    marked = df.withColumn(digest, F.sha2(F.col(text), 256))
+    stored = materialise(encode(marked, text, model, frequent, [*keep, digest]))
+    return round_trip(stored, digest, output, model).drop(digest)
+
+
+def round_trip(stored: DataFrame, digest: str, output: str = "round_trip", model: str = MODEL) -> DataFrame:
+    """Whether the ``token_ids`` of each row decode to a text of the SHA-256 in ``digest``."""
+    return stored.withColumn(output, F.sha2(_decoded("token_ids", model), 256).eqNullSafe(F.col(digest)))

@@ -56,10 +56,37 @@ def test_round_trip(spark, frequent):
         assert row["n_tokens"] == len(row["token_ids"] or []) and row["token"] == "clash"
 
 
-def test_check_in_the_encoding_task(spark):
-    docs = edge_documents() + [(100 + k, t) for k, t in enumerate(TEXTS)]
-    rows = sp.encode(frame(spark, docs), check="whole").select("whole", "score").collect()
-    assert len(rows) == len(docs) and all(r["whole"] and r["score"] == "clash" for r in rows)
+def test_stored_ids_are_decoded_and_held_against_the_text(spark):
+    docs = edge_documents() + [(100 + k, t) for k, t in enumerate(TEXTS)] + [(200, "a ▁b")]
+    rows = sp.encode_checked(frame(spark, docs), ["doc_id", "score"]).select("doc_id", "round_trip", "score").collect()
+    assert len(rows) == len(docs) and all(r["score"] == "clash" for r in rows)
+    assert {r["doc_id"] for r in rows if not r["round_trip"]} == {d[0] for d in docs if d[1] and "▁" in d[1]}
+
+
+def test_a_wrong_id_offset_or_count_shows(spark):
+    texts = ["one two", "three four", "five"]
+    ids = [sp.Vocabulary.load().encode_units(sp.Vocabulary.load().units(t)) for t in texts]
+    flat = [[i for unit in path for i in unit] for path in ids]
+    moved = [flat[0] + flat[1][:1], flat[1][1:], flat[2][:-1]]
+    for lists, expected in ((flat, [True] * 3), (moved, [False] * 3)):
+        rows = spark.createDataFrame(list(zip(range(3), lists, texts)), "doc_id INT, token_ids ARRAY<INT>, text STRING")
+        stored = rows.selectExpr("doc_id", "token_ids", "sha2(text, 256) AS digest")
+        assert [r["round_trip"] for r in sp.round_trip(stored, "digest").orderBy("doc_id").collect()] == expected
+
+
+def test_long_texts_in_runs_and_small_slices(spark, vocabulary, monkeypatch):
+    rng = random.Random(4)
+    text = "".join(rng.choice("ab  é漢\n.\t") for _ in range(5_000)) + "z" * 300
+    for size in (1, 7, 100, 10_000):
+        assert [u for run in vocabulary.runs(text, size) for u in run] == vocabulary.units(text)
+    assert list(vocabulary.runs("", 5)) == []
+    assert list(sp.even_slices([3, 3, 9, 1, 0, 2], 6)) == [(0, 2), (2, 3), (3, 6)]
+    import pyarrow as pa
+
+    lists = pa.array([[i for u in vocabulary.encode_units(vocabulary.units(t)) for i in u] for t in (text, "", "x y")] + [None])
+    monkeypatch.setattr(sp, "_TOKENS_AT_ONCE", 64)
+    assert sp.decoded_texts(lists, vocabulary.decoder()) == [text, "", "x y", None]
+    assert sp.decoded_texts(pa.array([[-5, 10**9], [], None], pa.list_(pa.int32())), vocabulary.decoder()) == ["", "", None]
 
 
 def test_many_units_together(vocabulary):
