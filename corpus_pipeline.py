@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelspark.llm import jaccard, line_dedup, mixing, sentencepiece, toxicity
 from reelspark.llm.text import count_words
 from reelspark.operators.ordering import with_offsets
-from reelspark.session import broadcast_if_small, materialise
+from reelspark.session import broadcast_if_small, materialise, remove, scratch, shared_folder
 
-ID_BYTES = 32
+ID_BYTES = 96
 
 
 def _tagged(docs: DataFrame) -> DataFrame:
@@ -75,8 +77,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and whether decoding them gives the text back."""
-    encoded = sentencepiece.encode(docs, check="round_trip")
+    """Token ids of each document, and whether the stored ids decode to the text.
+
+    A null text has null ids, an empty one none; long texts are encoded whole, repeated rows alike.
+    """
+    encoded = sentencepiece.encode_checked(docs, ["doc_id", "lang", "source"])
     return encoded.select("doc_id", "lang", "source", "n_tokens", "token_ids", "round_trip")
 
 
@@ -94,7 +99,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. A stage's own tables go when it is written, its input when the next is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir))
+    root, before = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}", None
+    for name, stage in STAGES:
+        path = f"{root}/{name}"
+        with scratch(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
