@@ -112,7 +112,7 @@ def test_empty_corpus(spark, corpus, tmp_path):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES} and "pipeline" in entry_point.queries()
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES} and "pipeline" in entry_point.queries()
     assert set(ORACLE) <= set(QUERIES)
 
 
