@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from reelspark.llm import jaccard, line_dedup, mixing, sentencepiece, toxicity
 from reelspark.llm.text import count_words
 from reelspark.operators.ordering import with_offsets
-from reelspark.session import broadcast_if_small, materialise, remove, scratch, shared_folder
+from reelspark.session import broadcast_if_small, materialise, remove, scratch, shared_folder, short_lived_shuffles
 
 ID_BYTES = 96
 
@@ -99,12 +99,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. A stage's own tables go when it is written, its input when the next is."""
+    """The last stage's rows. A stage's own tables go when it is written, its input when the next is, and
+    the files of a shuffle with the query they were written for."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     root, before = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES:
         path = f"{root}/{name}"
-        with scratch(spark):
+        with scratch(spark), short_lived_shuffles(spark):
             made = stage(spark, docs, sf_dir)
             made.write.parquet(path)
         docs = spark.read.schema(made.schema).parquet(path)
