@@ -31,6 +31,19 @@ def changes(before: DataFrame, after: DataFrame) -> DataFrame:
     return joined.where(F.col("old_rating").isNull() | (F.col("old_rating") != F.col("rating")))
 
 
+def changes_within(rows: DataFrame, order: str, known: Column) -> DataFrame:
+    """The same from all rows of some keys, in one pass: the newest of the ``known`` rows against the newest
+    of all. Keys without a row that is not known are left out."""
+    value = F.struct(F.col(order), F.col("rating").cast("double").alias("rating"))
+    newest = rows.withColumn("_known", known).groupBy(*KEY).agg(
+        F.max(value).alias("_now"), F.max(F.when(F.col("_known"), value)).alias("_then"), F.min("_known").alias("_known")
+    )
+    found = newest.where(~F.col("_known")).select(
+        *KEY, F.col("_now.rating").alias("rating"), F.col("_then.rating").alias("old_rating")
+    )
+    return found.where(F.col("old_rating").isNull() | (F.col("old_rating") != F.col("rating")))
+
+
 def _signed(changed: DataFrame) -> DataFrame:
     """Each change as the row that comes (n = 1) and the one that goes (n = -1)."""
     comes = F.struct(F.col("rating").alias("rating"), F.lit(1).cast("bigint").alias("n"))

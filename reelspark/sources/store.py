@@ -17,8 +17,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from reelspark.constants import BROADCAST_BYTES
 from reelspark.operators import rollup
 from reelspark.operators.ingest import KEY, latest_by_key
+from reelspark.session import broadcast_if_small, materialise, scratch
 from reelspark.sources import files
 from reelspark.sources.schema import MOVIES, RATINGS, RATINGS_TAGGED
 
@@ -35,6 +37,7 @@ _REJECTS = T.StructType(
 
 _MANIFEST = "bucket INT, version INT, batch_seq BIGINT, slices INT"
 _SLICES = 16
+_KEY_BYTES = 48
 
 
 def _slice(column: str, slices: int) -> Column:
@@ -204,16 +207,22 @@ class RatingsStore:
             manifest.write.mode("overwrite").json(self._at(f"manifest/version={version}"))
         return published[-1]
 
-    def _rows_of(self, batches: frozenset[int], keys: DataFrame) -> DataFrame:
-        """The newest row of each given key as of some batches."""
+    def _changes(self, done: frozenset[int], fresh: list[int]) -> DataFrame:
+        """The keys whose rating the fresh batches make another one, next to the done ones."""
         base = self.base()
-        log = self.log().where(F.col("batch_seq").isin(sorted(batches)))
-        if not base.batches or not base.batches <= batches:
-            return latest_by_key(log.join(keys, list(KEY), "left_semi"), "batch_seq")
-        touched = [row["b"] for row in keys.select(_bucket(base.slices).alias("b")).distinct().collect()]
-        newer = log.where(F.col("batch_seq").isin(sorted(batches - base.batches)))
-        rows = self._merged_rows(base, touched).unionByName(newer)
-        return latest_by_key(rows.join(keys, list(KEY), "left_semi"), "batch_seq")
+        new = self.log().where(F.col("batch_seq").isin(fresh))
+        old = self.log().where(F.col("batch_seq").isin(sorted(done)))
+        if base.batches and base.batches <= done:
+            touched = [row["b"] for row in new.select(_bucket(base.slices).alias("b")).distinct().collect()]
+            late = self.log().where(F.col("batch_seq").isin(sorted(done - base.batches)))
+            old = self._merged_rows(base, touched).unionByName(late)
+        columns = [*KEY, "rating", "batch_seq"]
+        new, old = new.select(*columns), old.select(*columns)
+        rows = new.count()
+        if rows * _KEY_BYTES <= BROADCAST_BYTES:
+            # Only old rows with such a key meet the shuffle.
+            old = old.join(broadcast_if_small(new.select(*KEY).distinct(), rows, _KEY_BYTES), list(KEY), "left_semi")
+        return rollup.changes_within(old.unionByName(new), "batch_seq", ~F.col("batch_seq").isin(fresh))
 
     def _profiled(self) -> tuple[int, frozenset[int], list[str]]:
         """The last commit of the profile, the batches in it and the folders of its parts."""
@@ -231,7 +240,8 @@ class RatingsStore:
     def update_profile(self, patience: float = 10.0) -> list[int]:
         """Take the published batches the profile lacks into it; returns their numbers.
 
-        Reads these batches, and of the rows before them only those with their keys. The part is
+        Reads these batches and the rows before them, of which only those with their keys are shuffled while
+        the keys fit a broadcast. The part is
         written first and counts once its commit is claimed; when another caller commits first, it is
         worked out anew. A commit left empty by a lost writer is passed over after ``patience`` seconds.
         """
@@ -240,10 +250,11 @@ class RatingsStore:
             fresh = [b for b in self.batches() if b not in done]
             if not fresh:
                 return []
-            keys = self.log().where(F.col("batch_seq").isin(fresh)).select(*KEY).distinct()
-            changed = rollup.changes(self._rows_of(done, keys), self._rows_of(done | set(fresh), keys))
             name = uuid.uuid4().hex
-            rollup.part(changed).write.parquet(self._at(f"profile/parts/{name}"))
+            # The part counts the changes in three ways: they are found once.
+            with scratch(self.spark):
+                changed = materialise(self._changes(done, fresh))
+                rollup.part(changed).write.parquet(self._at(f"profile/parts/{name}"))
             commit = self._at(f"profile/commits/{last + 1:012d}")
             if files.claim(self.spark, commit, json.dumps({"part": name, "batches": fresh})):
                 return fresh

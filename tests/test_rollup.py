@@ -111,3 +111,32 @@ def test_states_hold_no_row_per_rating(spark, store):
     bitmaps = state.where("bits IS NOT NULL").groupBy("kind").count().collect()
     # Ids from 1 on fill buckets of 32,768; user 0 lies in the one before them.
     assert {r["kind"]: r["count"] for r in bitmaps} == {"user_ids": 2, "movie_ids": 3}
+
+
+def test_changes_in_one_pass(spark):
+    """Known and fresh batches in any order; rows of an update are read once, and the part's input once."""
+    rows = spark.createDataFrame(
+        [(1, 1, 0, 2.0, 1), (1, 1, 0, 3.0, 3), (2, 1, 0, 4.0, 1), (3, 1, 0, 5.0, 3), (4, 1, 0, 1.0, 5), (4, 1, 0, 2.0, 3), (5, 1, 0, 1.0, 1), (5, 1, 0, 1.0, 3)],
+        "userId INT, movieId INT, timestamp BIGINT, rating DOUBLE, batch_seq BIGINT",
+    )
+    found = rollup.changes_within(rows, "batch_seq", ~F.col("batch_seq").isin([3]))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    # User 4's known row is newer than the fresh one, user 5's rating stays, user 2 has no fresh row.
+    assert sorted((r["userId"], r["rating"], r["old_rating"]) for r in found.collect()) == [(1, 3.0, 2.0), (3, 5.0, None)]
+
+
+def test_an_update_reads_its_rows_once(spark, store, monkeypatch):
+    """Above the broadcast budget as well."""
+    from reelspark.sources import store as module
+
+    for first, budget in ((1, 0), (3, 1 << 20)):
+        monkeypatch.setattr(module, "BROADCAST_BYTES", budget)
+        seen = []
+        monkeypatch.setattr(module.rollup, "part", lambda changed, part=rollup.part: seen.append(changed) or part(changed))
+        for number in (first, first + 1):
+            store.publish(batch(spark, number, number))
+            store.update_profile()
+        monkeypatch.undo()
+        assert all(len(changed.inputFiles()) and "HashAggregate" not in changed._jdf.queryExecution().toString() for changed in seen)
+    same = rollup.merge(rollup.part(rollup.changes(store.current().limit(0), store.current())))
+    assert plain(rollup.version(store.profile())) == plain(rollup.version(same))
