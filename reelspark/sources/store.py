@@ -154,10 +154,13 @@ class RatingsStore:
     def _overlaid(self, merged: DataFrame, newer: DataFrame) -> DataFrame:
         """``merged`` with the newest row of each key of ``newer``.
 
-        Only merged rows with such a key are grouped. The others pass as they are: Spark broadcasts
-        the keys while they are few.
+        While its keys fit a broadcast, only merged rows with such a key are grouped and the others pass
+        as they are. Beyond that one aggregate over all settles every key.
         """
-        keys = newer.select(*KEY).distinct()
+        rows = newer.count()
+        if rows * _KEY_BYTES > BROADCAST_BYTES:
+            return latest_by_key(merged.unionByName(newer), "batch_seq").select(*merged.columns)
+        keys = broadcast_if_small(newer.select(*KEY).distinct(), rows, _KEY_BYTES)
         settled = latest_by_key(merged.join(keys, list(KEY), "left_semi").unionByName(newer), "batch_seq")
         return merged.join(keys, list(KEY), "left_anti").unionByName(settled.select(*merged.columns))
 
@@ -196,9 +199,15 @@ class RatingsStore:
             touched = [row["b"] for row in newer.select(bucket.alias("b")).distinct().collect()]
             last = files.last_claim(self.spark, self._at("claims/versions"))
             version = files.claim_number(self.spark, self._at("claims/versions"), -1 if last is None else last, uuid.uuid4().hex)
-            rows = self._overlaid(self._merged_rows(base, touched), newer).withColumn("bucket", bucket)
-            # Sorted by key inside range partitions: readers skip files by min/max on userId.
-            rows = rows.repartitionByRange("bucket", *KEY).sortWithinPartitions("bucket", *KEY)
+            # Copies of a hot key are combined first; then the base is shuffled once, into range partitions in
+            # which each key's rows lie together: readers skip files by min/max on userId.
+            settled = latest_by_key(newer, "batch_seq").select(*_LOG.names)
+            rows = self._merged_rows(base, touched).unionByName(settled).withColumn("bucket", bucket)
+            rows = rows.repartitionByRange("bucket", *KEY)
+            carried = [name for name in _LOG.names if name not in KEY and name != "batch_seq"]
+            newest = F.max(F.struct("batch_seq", *carried)).alias("w")
+            rows = rows.groupBy("bucket", *KEY).agg(newest).select("bucket", *KEY, "w.*").select(*_LOG.names, "bucket")
+            rows = rows.sortWithinPartitions("bucket", *KEY)
             rows.write.mode("overwrite").partitionBy("bucket").parquet(self._at(f"base/version={version}"))
             buckets = {**base.buckets, **dict.fromkeys(touched, version)}
             entries = [(b, v, None, base.slices) for b, v in sorted(buckets.items())]

@@ -171,3 +171,27 @@ def test_two_streams_feed_one_store(spark, tmp_path):
 
     together(take, 2)
     assert {r["userId"] for r in store.current().collect()} == {97, 98} and len(store.batches()) == 2
+
+
+def test_large_batches_merge_without_joins(spark, tmp_path, monkeypatch):
+    """Above the broadcast budget one aggregate settles every key, a repeated one as well."""
+    from pyspark.sql import functions as F
+
+    from reelspark.sources import store as module
+
+    monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(module.DataFrame, "join", None)
+    kept = module.RatingsStore(spark, str(tmp_path / "store"), slices=2)
+    kept.init_schema()
+    for number in (1, 2, 3):
+        rows = spark.range(40).select(
+            (F.col("id") % (10 * number)).cast("int").alias("userId"), F.lit(1).alias("movieId"), F.lit(float(number)).alias("rating"),
+            F.lit(0).cast("bigint").alias("timestamp"), F.lit(f"b{number}").alias("batch_id"),
+            F.lit(number).cast("bigint").alias("batch_seq"), F.current_timestamp().alias("imported_at"),
+        )
+        kept.publish(rows)
+        if number < 3:
+            kept.compact()
+        found = {r["userId"]: r["rating"] for r in kept.current().collect()}
+        assert found == {user: float(number) for user in range(10 * number)}
+        assert kept.current().count() == 10 * number
