@@ -70,3 +70,13 @@ def test_fingerprint_sees_changes_not_order(ratings_of):
     assert one == two
     assert one != profile.fingerprint(ratings_of(rows[:1])).first()
     assert one != profile.fingerprint(ratings_of([(1, 1, 3.0, 1), (1, 5, 3.0, 1), (1, 5, 3.0, 1)])).first()
+
+
+def test_titles_are_broadcast_by_their_rows(spark, movies_of, monkeypatch):
+    """Whatever the size of their files."""
+    ids, movies = spark.createDataFrame([(1,), (9,)], "movieId INT"), movies_of([1, 2])
+    for budget, join in ((1 << 20, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+        monkeypatch.setattr(profile, "BROADCAST_BYTES", budget)
+        found = profile.movie_info(ids, movies.limit(2))
+        assert join in found._jdf.queryExecution().executedPlan().toString()
+        assert {r["movie_id"]: r["title"] for r in found.collect()} == {1: "Film 1 (1991)", 9: "Movie 9"}
