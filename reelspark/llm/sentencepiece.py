@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -14,14 +15,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelspark.llm.text import only
-from reelspark.session import materialise
+from reelspark.session import batches_of, materialise
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 FREQUENT_WORDS = 1 << 17
 CACHED_CHARACTERS = 1 << 20
 LONGEST_TOGETHER = 100
-_BYTES_AT_ONCE = 1 << 22
+_BYTES_AT_ONCE = 1 << 21
+_WORDS_AT_ONCE = 300_000
 _TOKENS_AT_ONCE = 1 << 20
 _UNKNOWN_PENALTY = 10.0
 
@@ -123,16 +125,23 @@ class Vocabulary:
         return found
 
     def encode_units(self, units: list[str]) -> list[list[int]]:
-        """``encode_unit`` for many units: the lattices of those of one length are solved together,
-        substrings looked up in the piece table by digest."""
-        out: list[list[int]] = [[]] * len(units)
+        """``encode_unit`` for many units."""
+        ids, sizes = self.paths(units)
+        ends = np.cumsum(sizes)
+        return [ids[end - size : end].tolist() for end, size in zip(ends, sizes, strict=True)]
+
+    def paths(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many units one after the other, and how many each has: the lattices of those of
+        one length are solved together, substrings looked up in the piece table by digest."""
+        owners, pieces = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
         by_length: dict[int, list[int]] = {}
         for k, unit in enumerate(units):
             by_length.setdefault(len(unit), []).append(k)
         for length, places in by_length.items():
             if length > LONGEST_TOGETHER:
                 for k in places:
-                    out[k] = self.encode_unit(units[k])
+                    pieces.append(np.array(self.encode_unit(units[k]), np.int32))
+                    owners.append(np.full(len(pieces[-1]), k, np.int32))
                 continue
             prefix = _digests([units[k] for k in places], length)
             best = np.full((length + 1, len(places)), -np.inf)
@@ -150,23 +159,35 @@ class Vocabulary:
                     at = np.minimum(np.searchsorted(digests, wanted[rows]), len(digests) - 1)
                     miss = digests[at] != wanted[rows]
                     total, piece = scores[at], ids[at]
-                    total[miss], piece[miss] = self.unknown if one else -np.inf, -1
+                    # A character that is no piece keeps its place.
+                    total[miss], piece[miss] = self.unknown if one else -np.inf, -end
                     total += best[start][rows]
                     better = total > best[end][rows]
                     where = np.flatnonzero(better) if one else rows[better]
                     best[end][where] = total[better]
                     back[end][where] = start
                     chosen[end][where] = piece[better]
-            for k, starts, path in zip(places, back.T.tolist(), chosen.T.tolist(), strict=True):
-                end, found = length, []
-                while end:
-                    if path[end] >= 0:
-                        found.append(path[end])
-                    else:
-                        found.extend(self.first_byte + b for b in reversed(units[k][end - 1].encode()))
-                    end = starts[end]
-                out[k] = found[::-1]
-        return out
+            # All paths are followed back together.
+            place, live, at = np.array(places, np.int32), np.arange(len(places)), np.full(len(places), length)
+            met, steps = [], []
+            while live.size and length:
+                met.append(place[live])
+                steps.append(chosen[at, live])
+                at = back[at, live].astype(np.int64)
+                live, at = live[at > 0], at[at > 0]
+            owners.extend(reversed(met))
+            pieces.extend(reversed(steps))
+        owner, piece = np.concatenate(owners), np.concatenate(pieces)
+        order = np.argsort(owner, kind="stable")
+        owner, piece = owner[order], piece[order]
+        unknown = piece < 0
+        if unknown.any():
+            spelled = [units[k][-1 - p].encode() for k, p in zip(owner[unknown].tolist(), piece[unknown].tolist())]
+            widths = np.ones(len(piece), np.int64)
+            widths[unknown] = [len(b) for b in spelled]
+            owner, piece, unknown = (np.repeat(values, widths) for values in (owner, piece, unknown))
+            piece[unknown] = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int32) + self.first_byte
+        return piece, np.bincount(owner, minlength=len(units))
 
     def units(self, text: str) -> list[str]:
         """The text in parts that no piece of the vocabulary crosses."""
@@ -188,6 +209,21 @@ class Vocabulary:
         return pa.array([table.get(i, b"") for i in range(max(table) + 2)], pa.large_binary())
 
 
+@dataclass
+class Paths:
+    """Words with their ids; two arrays hold the ids of all words, so that many words take little memory."""
+
+    places: dict[str, int] = field(default_factory=dict)
+    ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
+    sizes: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+
+    def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Words not yet held."""
+        self.places.update(zip(words, range(len(self.places), len(self.places) + len(words))))
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int64)])
+
+
 def even_slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Runs of rows whose sizes add up to ``most``; a larger row is a run by itself."""
     upto, lo = np.concatenate([[0], np.cumsum(sizes)]), 0
@@ -198,8 +234,12 @@ def even_slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 def decoded_texts(lists: pa.Array, table: pa.Array) -> list[str | None]:
+    """The text of each list of ids."""
+    return list(_texts_in_turn(lists, table))
+
+
+def _texts_in_turn(lists: pa.Array, table: pa.Array) -> Iterator[str | None]:
     """The text of each list of ids; a bounded number of tokens is looked up at once."""
-    texts: list[str | None] = []
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     last = len(table) - 1
     for lo, hi in even_slices(sizes, _TOKENS_AT_ONCE):
@@ -218,8 +258,7 @@ def decoded_texts(lists: pa.Array, table: pa.Array) -> list[str | None]:
             for k, joined in zip(range(first, final), pc.binary_join(grouped, b"").to_pylist()):
                 parts[k].append(joined)
         for k, valid in enumerate(some.is_valid().to_pylist()):
-            texts.append(b"".join(parts[k]).decode("utf-8", "replace").removeprefix(" ") if valid else None)
-    return texts
+            yield b"".join(parts[k]).decode("utf-8", "replace").removeprefix(" ") if valid else None
 
 
 def lattice_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -276,15 +315,21 @@ def _best_path(edges: Column) -> Column:
 
 
 def _frequent(docs: DataFrame, most: int) -> DataFrame:
-    """The words that most texts hold, as they stand after a space; counted per batch and then together."""
+    """The words that most texts hold, as they stand after a space; counted in parts and then together."""
+
+    def counted(found: Counter[str]) -> pa.RecordBatch:
+        words = pa.array((SPACE + word for word in found), pa.string())
+        return pa.RecordBatch.from_arrays([words, pa.array(found.values(), pa.int64())], ["word", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[str] = Counter()
         for batch in batches:
-            found: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
                 found.update(set((text or "").split()))
-            words = pa.array([SPACE + word for word in found], pa.string())
-            yield pa.RecordBatch.from_arrays([words, pa.array(list(found.values()), pa.int64())], ["word", "n"])
+            if len(found) > _WORDS_AT_ONCE:
+                yield counted(found)
+                found.clear()
+        yield counted(found)
 
     counts = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return counts.orderBy(F.desc("n"), "word").limit(most).where("length(word) <= 64").select("word")
@@ -308,36 +353,38 @@ def encode(
     """
     vocabulary = Vocabulary.load(model)
     spark: SparkSession = df.sparkSession
-    solved = materialise(lattice_words(materialise(_frequent(only(df, text=text), frequent)), vocabulary))
+    with batches_of(spark, _BYTES_AT_ONCE):
+        counted = materialise(_frequent(only(df, text=text), frequent))
+    solved = materialise(lattice_words(counted, vocabulary))
     # At most ``frequent`` words of 64 characters.
-    table = solved.toArrow()
-    known = dict(zip(table["word"].to_pylist(), table["ids"].to_pylist(), strict=True))
+    known = Paths()
+    for some in solved.toArrow().to_batches():
+        lists = some.column("ids")
+        known.add(some.column("word").to_pylist(), lists.flatten().to_numpy(), pc.list_value_length(lists).to_numpy())
     shared = spark.sparkContext.broadcast(known)
     kept = [name for name in (df.columns if keep is None else keep) if name not in ("token_ids", "n_tokens")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, met, held = shared.value, {}, 0
+        words, met, held = shared.value, Paths(), 0
 
         def solve(split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
             """The ids of lists of units, and how many each list has."""
-            nonlocal held
-            coded = pa.array(list(chain.from_iterable(split)), pa.string()).dictionary_encode()
+            nonlocal held, met
+            coded = pa.array(chain.from_iterable(split), pa.string()).dictionary_encode()
             distinct, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
             if held > CACHED_CHARACTERS:
-                met.clear()
-                held = 0
-            new = [unit for unit in distinct if unit not in words and unit not in met]
-            met.update(zip(new, vocabulary.encode_units(new), strict=True))
+                met, held = Paths(), 0
+            new = [unit for unit in distinct if unit not in words.places and unit not in met.places]
+            met.add(new, *vocabulary.paths(new))
             held += sum(map(len, new))
-            paths = [words[unit] if unit in words else met[unit] for unit in distinct]
             # The paths of all units in order, gathered from those of the distinct ones.
-            lengths = np.fromiter(map(len, paths), np.int64, len(paths))
-            flat = np.fromiter(chain.from_iterable(paths), np.int32, int(lengths.sum()))
-            first, size = (np.cumsum(lengths) - lengths)[place], lengths[place]
+            own = len(words.places)
+            at = np.array([words.places[unit] if unit in words.places else own + met.places[unit] for unit in distinct], np.int64)
+            ids, lengths = (np.concatenate(pair) for pair in ((words.ids, met.ids), (words.sizes, met.sizes)))
+            first, size = (np.cumsum(lengths) - lengths)[at][place], lengths[at][place]
             upto = np.concatenate([[0], np.cumsum(size)])
-            ids = flat[np.arange(upto[-1]) + np.repeat(first - upto[:-1], size)]
             ends = upto[np.concatenate([[0], np.cumsum([len(units) for units in split], dtype=np.int64)])]
-            return ids, np.diff(ends)
+            return ids[np.arange(upto[-1]) + np.repeat(first - upto[:-1], size)], np.diff(ends)
 
         def encoded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
             if len(texts) > 1 or len(texts[0] or "") <= _BYTES_AT_ONCE:
@@ -380,11 +427,23 @@ def _decoded(ids: str, model: str) -> Column:
 
     @F.arrow_udf("string")
     def text_of(lists: pa.Array) -> pa.Array:
-        return pa.array(decoded_texts(lists, table), pa.string())
+        return pa.array(_texts_in_turn(lists, table), pa.string())
 
     return text_of(F.col(ids))
 
 
+def _decoded_digest(ids: str, model: str) -> Column:
+    """The SHA-256 of the decoded text, which itself stays in the task."""
+    table = Vocabulary.load(model).decoder()
+
+    @F.arrow_udf("string")
+    def digest_of(lists: pa.Array) -> pa.Array:
+        texts = _texts_in_turn(lists, table)
+        return pa.array((None if t is None else hashlib.sha256(t.encode()).hexdigest() for t in texts), pa.string())
+
+    return digest_of(F.col(ids))
+
+
 def encode_checked(
     df: DataFrame, keep: list[str], text: str = "text", output: str = "round_trip", model: str = MODEL, frequent: int = FREQUENT_WORDS
 ) -> DataFrame:
@@ -396,10 +455,12 @@ def encode_checked(
     """
     digest = next(name for k in count() if (name := f"_digest{k}") not in df.columns)
     marked = df.withColumn(digest, F.sha2(F.col(text), 256))
-    stored = materialise(encode(marked, text, model, frequent, [*keep, digest]))
+    encoded = encode(marked, text, model, frequent, [*keep, digest])
+    with batches_of(df.sparkSession, _BYTES_AT_ONCE):
+        stored = materialise(encoded)
     return round_trip(stored, digest, output, model).drop(digest)
 
 
 def round_trip(stored: DataFrame, digest: str, output: str = "round_trip", model: str = MODEL) -> DataFrame:
     """Whether the ``token_ids`` of each row decode to a text of the SHA-256 in ``digest``."""
-    return stored.withColumn(output, F.sha2(_decoded("token_ids", model), 256).eqNullSafe(F.col(digest)))
+    return stored.withColumn(output, _decoded_digest("token_ids", model).eqNullSafe(F.col(digest)))

@@ -97,3 +97,23 @@ def test_many_units_together(vocabulary):
 
 def test_nothing_to_encode(spark):
     assert sp.decode(sp.encode(frame(spark, []))).collect() == []
+
+
+def test_paths_of_many_words_take_little_memory(vocabulary):
+    import tracemalloc
+
+    rng = random.Random(3)
+    units = sorted({"▁" + "".join(rng.choice("abcdeé漢") for _ in range(8)) for _ in range(20_000)})
+    tracemalloc.start()
+    held = sp.Paths()
+    for lo in range(0, len(units), 5_000):
+        held.add(units[lo : lo + 5_000], *vocabulary.paths(units[lo : lo + 5_000]))
+    now, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    # Lists of ids took over 250 bytes a word, and the paths of all words as lists about as much again.
+    assert now < 180 * len(units) and peak < 600 * len(units)
+    ends = held.sizes.cumsum()
+    for word in units[::500]:
+        k = held.places[word]
+        assert held.ids[ends[k] - held.sizes[k] : ends[k]].tolist() == vocabulary.encode_unit(word)
+    assert vocabulary.paths([])[0].size == 0 and vocabulary.encode_units(["漢", "a"]) == [vocabulary.encode_unit(u) for u in "漢a"]

@@ -3,9 +3,10 @@
 import time
 
 import corpus_pipeline
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from reelspark.session import short_lived_shuffles
+from reelspark.session import batches_of, short_lived_shuffles
 
 
 def shuffle_files(spark):
@@ -43,3 +44,15 @@ def test_files_stay_outside_of_it(spark, tmp_path):
         shuffle_once(spark, tmp_path / "in")
     shuffle_once(spark, tmp_path / "out")
     assert shuffle_files(spark) - held
+
+
+def test_batches_follow_bytes_not_rows(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    found = spark.range(8_000, numPartitions=1).selectExpr("repeat('x', 1000) AS text").mapInArrow(sizes, "n LONG")
+    with batches_of(spark, 1 << 20):
+        inside = [r["n"] for r in found.collect()]
+    assert sum(inside) == 8_000 and max(inside) <= 1_100
+    assert [r["n"] for r in found.filter("n > 0").collect()] == [8_000]
