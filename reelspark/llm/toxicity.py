@@ -26,6 +26,7 @@ CHANCE = 0.01
 FAMILY_MARKS = 4
 MOST_FEATURES = 5_000
 CACHED_WORDS = 1 << 17
+DULL_WORDS = 1 << 18
 COUNTED_AT_ONCE = 300_000
 LONGEST_WORD = 64
 LONGEST_ENTRY = 16
@@ -120,13 +121,7 @@ def fit_char_model(docs: DataFrame, most: int = LM_TRIGRAMS) -> CharModel:
             words: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
                 words.update((text or "").split())
-            grams: Counter[str] = Counter()
-            for word, n in words.items():
-                plain = _core(word)
-                if plain.isalpha() and len(plain) <= LONGEST_WORD:
-                    padded = f"^^{plain}$"
-                    for k in range(len(padded) - 2):
-                        grams[padded[k : k + 3]] += n
+            grams = _trigrams(words)
             yield pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], ["gram", "n"])
 
     counts = docs.select("text").mapInArrow(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -134,6 +129,28 @@ def fit_char_model(docs: DataFrame, most: int = LM_TRIGRAMS) -> CharModel:
     return CharModel(dict(zip(table["gram"].to_pylist(), table["n"].to_pylist(), strict=True)))
 
 
+def _trigrams(words: Counter[str]) -> dict[str, int]:
+    """Trigrams of plain words with their ends, as often as the words occur."""
+    plain: Counter[str] = Counter()
+    for word, n in words.items():
+        core = _core(word)
+        if core.isalpha() and len(core) <= LONGEST_WORD:
+            plain[core] += n
+    # Words one after the other, two signs before and one after each; no trigram crosses from one into the next.
+    padded = "".join(f"^^{word}$" for word in plain)
+    codes = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    if not codes.size:
+        return {}
+    lengths = np.fromiter(map(len, plain), np.int64, len(plain))
+    owner = np.repeat(np.arange(len(plain)), lengths + 3)
+    inside = np.flatnonzero(owner[:-2] == owner[2:])
+    keys = (codes[inside] << 42) | (codes[inside + 1] << 21) | codes[inside + 2]
+    found, which = np.unique(keys, return_inverse=True)
+    counts = np.bincount(which, np.fromiter(plain.values(), np.int64, len(plain))[owner[inside]]).astype(np.int64)
+    mask = (1 << 21) - 1
+    return {chr(key >> 42) + chr(key >> 21 & mask) + chr(key & mask): n for key, n in zip(found.tolist(), counts.tolist())}
+
+
 def _core(word: str) -> str:
     """Lower case without the punctuation around it."""
     low = word.lower()
@@ -203,20 +220,30 @@ class Restorer:
                 yield from self._readings(part)
         yield from self._spelled(_JOINTS.sub("", low))
 
+    def word_readings(self, word: str) -> Iterable[str]:
+        """Restored words behind one word of a text."""
+        if len(word) > LONGEST_WORD:
+            return self._long(word)
+        if word.isalpha() and not _TWICE.search(word.lower()):
+            # One path through the lattice: nothing to look up or keep.
+            return (word.lower(),)
+        return self._met.get(word) or self._readings(word)
+
+    def spelled_readings(self, text: str) -> Iterator[str]:
+        """Restored words that are spelled out letter by letter."""
+        for spaced in _SPACED.finditer(text):
+            yield from self._spelled(_GAPS.sub("", spaced[0]))
+
     def readings(self, text: str) -> Iterator[str]:
         """Restored words of a text, with those spelled out letter by letter; some more than once."""
         found: set[str] = set()
         for word in set(text.split()):
             if len(word) > LONGEST_WORD:
                 yield from self._long(word)
-            elif word.isalpha() and not _TWICE.search(word.lower()):
-                # One path through the lattice: nothing to look up or keep.
-                found.add(word.lower())
             else:
-                found.update(self._met.get(word) or self._readings(word))
+                found.update(self.word_readings(word))
         yield from found
-        for spaced in _SPACED.finditer(text):
-            yield from self._spelled(_GAPS.sub("", spaced[0]))
+        yield from self.spelled_readings(text)
 
     def words(self, text: str) -> set[str]:
         """Distinct restored words of a text."""
@@ -246,24 +273,58 @@ class Lexicon:
 
     weights: dict[str, float]
     base: float
+    _starts: set[str] = field(init=False, repr=False)
+
+    def __post_init__(self) -> None:
+        self._starts = {key[:3] for key in self.weights} | {key[1:4] for key in self.weights}
 
     @property
     def longest(self) -> int:
         """Letters of the longest word, ``LONGEST_ENTRY`` at least."""
         return max([LONGEST_ENTRY, *[len(key) - 1 for key in self.weights if key.startswith("=")]])
 
+    def hits(self, word: str) -> list[str]:
+        """The features a restored word has."""
+        if word[:3] not in self._starts:
+            return []
+        return [key for key in (f"={word}", word[:4], word[:5], word[:6]) if key in self.weights]
+
     def score(self, words: Iterable[str]) -> float:
+        return self.score_hits({key for word in words for key in self.hits(word)})
+
+    def score_hits(self, hits: set[str]) -> float:
         clean = 1.0
-        hits = set()
-        for word in words:
-            for key in (f"={word}", word[:4], word[:5], word[:6]):
-                if key in self.weights:
-                    hits.add(key)
-        for key in hits:
+        for key in sorted(hits):
             clean *= 1.0 - self.weights[key]
         return min(1.0, max(0.0, 1.0 - clean)) if hits else self.base
 
 
+class Scorer:
+    """Scores of texts. Words of which no reading has a feature are kept, up to a fixed number, so that
+    most of a text is passed over at once."""
+
+    def __init__(self, model: CharModel, lexicon: Lexicon) -> None:
+        self._reader = Restorer(model, lexicon.longest)
+        self._lexicon = lexicon
+        self._dull: set[str] = set()
+
+    def score(self, text: str) -> float:
+        hits: set[str] = set()
+        dull: list[str] = []
+        for word in set(text.split()) - self._dull:
+            found = [key for reading in self._reader.word_readings(word) for key in self._lexicon.hits(reading)]
+            if found:
+                hits.update(found)
+            elif len(word) <= LONGEST_WORD:
+                dull.append(word)
+        if len(self._dull) + len(dull) > DULL_WORDS:
+            self._dull.clear()
+        self._dull.update(dull[:DULL_WORDS])
+        for reading in self._reader.spelled_readings(text):
+            hits.update(self._lexicon.hits(reading))
+        return self._lexicon.score_hits(hits)
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
@@ -333,9 +394,9 @@ def fit_lexicon(
     lexicon = Lexicon(weights, 0.0)
 
     def misses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Restorer(model, lexicon.longest)
+        scorer = Scorer(model, lexicon)
         for batch in batches:
-            hit = [lexicon.score(reader.readings(text)) > 0 for text in batch.column("text").to_pylist()]
+            hit = [scorer.score(text) > 0 for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(hit, pa.bool_())], ["toxic", "hit"])
 
     judged = rows.select("text", "toxic").mapInArrow(misses, f"toxic {kind}, hit boolean").where("NOT hit")
@@ -366,9 +427,9 @@ def score_toxicity(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         char_model, table = shared.value
-        reader = Restorer(char_model, table.longest)
+        scorer = Scorer(char_model, table)
         for batch in batches:
-            scores = [table.score(reader.readings(value or "")) for value in batch.column("_text").to_pylist()]
+            scores = [scorer.score(value or "") for value in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], pa.array(scores, pa.float64())], [*kept, "score"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept)

@@ -110,3 +110,33 @@ def test_spelled_with_any_gap(model, gap):
     assert "idiot" in reader.words("you " + gap.join("!d1ot") + " indeed")
     assert "idiot" in reader.words("you, " + gap.join("IDIOT") + "! (indeed)")
     assert "worthless" in reader.words(gap.join("worth£€$$"))
+
+
+def test_words_without_features_are_passed_over(model, monkeypatch):
+    lexicon = toxicity.Lexicon({"=idiot": 0.95, "path": 0.91, "=less": 0.9}, 0.1)
+    rng = random.Random(5)
+    words = ["the", "than", "1d10t", "p@th3t1c", "worth-less", "letter", "indeed", "i d i o t", "book!", "x" * 200, "漢字", "less"]
+    texts = [" ".join(rng.choices(words[:2] + words[5:7] + rng.sample(words, 2), k=30)) for _ in range(60)] + ["", " \n"]
+    reader = toxicity.Restorer(model, lexicon.longest)
+    for limit in (1, 3, 1_000):
+        monkeypatch.setattr(toxicity, "DULL_WORDS", limit)
+        scorer = toxicity.Scorer(model, lexicon)
+        assert [scorer.score(t) for t in texts] == pytest.approx([lexicon.score(reader.readings(t)) for t in texts])
+        assert len(scorer._dull) <= limit
+    read = []
+    monkeypatch.setattr(toxicity.Restorer, "word_readings", lambda self, word: read.append(word) or (word,))
+    scorer = toxicity.Scorer(model, lexicon)
+    # Before, every word of every text was read.
+    assert [scorer.score("the than the indeed") for _ in range(50)] == [0.1] * 50 and len(read) == 3
+
+
+def test_trigrams_of_a_batch():
+    words = {"The": 3, "the,": 2, "漢字": 1, "a": 4, "x1": 9, "\U0001f600": 2, "é" * 70: 1, "letter": 5}
+    expected = {}
+    for word, n in words.items():
+        plain = toxicity._core(word)
+        if plain.isalpha() and len(plain) <= toxicity.LONGEST_WORD:
+            padded = f"^^{plain}$"
+            for k in range(len(padded) - 2):
+                expected[padded[k : k + 3]] = expected.get(padded[k : k + 3], 0) + n
+    assert toxicity._trigrams(words) == expected and toxicity._trigrams({}) == {}
