@@ -10,10 +10,11 @@ from __future__ import annotations
 import csv
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from reelspark.constants import BATCH_PREFIX, REQUIRED_COLUMNS
-from reelspark.operators.ingest import latest_by_key, rejected_rows, valid_rows
+from reelspark.operators.ingest import KEY, rejected_rows, valid_rows
+from reelspark.operators.ordering import with_offsets
 from reelspark.session import broadcast_if_small, materialise
 from reelspark.sources import files
 from reelspark.sources.schema import missing_columns
@@ -29,6 +30,8 @@ _FILE = T.StructType(
 )
 
 _PROGRESS = "entry STRING, batch_seq BIGINT"
+_SPLIT_BYTES = 1024
+_LINE_BITS = 33  # of a monotonic id: the row within its partition
 
 
 def feed_landing(spark: SparkSession, incoming: str, landing: str) -> str | None:
@@ -72,52 +75,69 @@ def _numbered(store: RatingsStore, progress: str, key: str, entries: list[str])
 
 
 def _lines(spark: SparkSession, landing: str, entries: list[str]) -> DataFrame:
-    """(_entry, _file, _block, _line, value) of all lines of the entries' CSV files."""
+    """(_file, _block, _line, value) of all lines of the entries' CSV files."""
     paths = [f"{landing.rstrip('/')}/{entry}" for entry in entries]
-    raw = files.with_file_order(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(paths))
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(paths)
+    return files.with_file_order(raw)
+
+
+def _splits(lines: DataFrame, landing: str, table: DataFrame) -> DataFrame:
+    """One row per piece of a file that is read at once: its first line's ``_line``, its batch, the header of
+    its file, and ``pos``, its place in the order of batches, file names and pieces.
+
+    Only numbers are aggregated over the lines; a second look picks the headers.
+    """
     # File paths are percent-encoded, but a plus sign stands for itself.
     decoded = F.url_decode(F.replace(F.col("_file"), F.lit("+"), F.lit("%2B")))
-    return raw.withColumn("_entry", _entry_of(decoded, landing))
+    found = lines.groupBy("_file", "_block").agg(F.min("_line").alias("_first"))
+    found = materialise(found.withColumn("_entry", _entry_of(decoded, landing)).join(table, "_entry"))
+    starts = found.where("_block = 0").select(F.col("_first").alias("_line"), F.col("_file").alias("_of"))
+    starts = broadcast_if_small(starts, starts.count(), _SPLIT_BYTES)
+    headers = lines.select("_line", "value").join(starts, "_line")
+    headed = found.join(headers.select(F.col("_of").alias("_file"), F.col("value").alias("_header")), "_file")
+    return materialise(with_offsets(headed, ["batch_seq", "_file", "_block"]))
 
 
 def ingest_batches(spark: SparkSession, store: RatingsStore, landing: str, numbers: dict[str, int]) -> list[str]:
     """Publish the given entries under their numbers; returns those of which no file could be taken.
 
-    The first lines of all files are found in one job. Every file is bound by its own header,
-    whatever the others of its folder look like; a file that lacks required columns is refused by
-    itself. Drivers only see distinct headers and entries.
+    Every file is bound by its own header, whatever the others of its folder look like; a file that
+    lacks required columns is refused by itself. A line's place is one number, so rows of a key meet
+    in hash tables. Lines are parsed once; again only if some are to be set aside. Drivers only see
+    distinct headers and entries.
     """
     lines = _lines(spark, landing, list(numbers))
-    place = F.struct("_block", "_line")
-    firsts = materialise(
-        lines.groupBy("_entry", "_file").agg(F.min_by("value", place).alias("_header"), F.min(place).alias("_first"))
-    )
     table = spark.createDataFrame([(e, batch_id_of(e), n) for e, n in numbers.items()], "_entry STRING, batch_id STRING, batch_seq BIGINT")
-    table = broadcast_if_small(table, len(numbers), 512)
-    headers = [row["_header"] for row in firsts.select("_header").distinct().collect()]
+    splits = _splits(lines, landing, broadcast_if_small(table, len(numbers), 512))
+    known = broadcast_if_small(splits, splits.count(), _SPLIT_BYTES)
+    headers = [row["_header"] for row in splits.select("_header").distinct().collect()]
     names = {header: next(csv.reader([header]), []) for header in headers}
     missing = {header: missing_columns(columns) for header, columns in names.items()}
-    body = lines.join(firsts.drop("_entry"), "_file").where(F.struct("_block", "_line") > F.col("_first"))
-    body = body.where(F.trim("value") != "").join(table, "_entry")
+    body = lines.join(known, ["_file", "_block"]).where((F.col("_block") > 0) | (F.col("_line") > F.col("_first")))
+    place = F.shiftleft("pos", _LINE_BITS) + F.col("_line").bitwiseAND(F.lit((1 << _LINE_BITS) - 1))
+    body = body.where(F.trim("value") != "").withColumn("_place", place)
 
-    accepted, rejected = [], []
-    carried = ["batch_id", "batch_seq", "_file", "_block", "_line"]
+    accepted, set_aside, rejected = [], [], []
     for header, columns in names.items():
         if missing[header]:
             continue
         schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(columns))])
         parsed = body.where(F.col("_header") == header).withColumn("_row", F.from_csv("value", schema.simpleString()[7:-1].replace(":", " ")))
         place_of = {name: i for i, name in reversed(list(enumerate(columns)))}
-        typed = parsed.select(*carried, *[F.col(f"_row.c{place_of[name]}").alias(name) for name in REQUIRED_COLUMNS])
-        accepted.append(valid_rows(typed, *carried))
-        rejected.append(rejected_rows(typed, "batch_id", "batch_seq"))
+        typed = parsed.select(
+            "batch_id", "batch_seq", "_place", *[F.col(f"_row.c{place_of[name]}").alias(name) for name in REQUIRED_COLUMNS]
+        )
+        unfit = Observation()
+        accepted.append(valid_rows(typed, "_place", unfit=unfit))
+        set_aside.append((unfit, rejected_rows(typed, "batch_id", "batch_seq")))
     refused = [(header, f"missing columns: {', '.join(gone)}") for header, gone in missing.items() if gone]
     if refused:
         reasons = spark.createDataFrame(refused, "_header STRING, reason STRING")
-        rejected.append(firsts.join(reasons, "_header").join(table, "_entry").select("batch_id", "batch_seq", "reason"))
-    taken = firsts.where(F.col("_header").isin([h for h, gone in missing.items() if not gone])) if names else firsts
+        files_of = splits.where("_block = 0").join(reasons, "_header")
+        rejected.append(files_of.select("batch_id", "batch_seq", "reason"))
+    taken = splits.where(F.col("_header").isin([h for h, gone in missing.items() if not gone])) if names else splits
     taken = {row["_entry"] for row in taken.select("_entry").distinct().collect()}
-    unread = sorted(set(numbers) - {row["_entry"] for row in firsts.select("_entry").distinct().collect()})
+    unread = sorted(set(numbers) - {row["_entry"] for row in splits.select("_entry").distinct().collect()})
     if unread:
         empty = [(batch_id_of(e), numbers[e], "missing columns: " + ", ".join(sorted(REQUIRED_COLUMNS))) for e in unread]
         rejected.append(spark.createDataFrame(empty, "batch_id STRING, batch_seq BIGINT, reason STRING"))
@@ -125,8 +145,11 @@ def ingest_batches(spark: SparkSession, store: RatingsStore, landing: str, numbe
         rows = accepted[0]
         for more in accepted[1:]:
             rows = rows.unionByName(more)
-        latest = latest_by_key(rows, "batch_seq", "_file", "_block", "_line")
+        # Numbers only, so a hash table holds them: a struct or a name would be sorted instead.
+        latest = rows.groupBy(*KEY).agg(F.max_by("rating", "_place").alias("rating"), F.max("_place").alias("_place"))
+        latest = latest.withColumn("pos", F.shiftright("_place", _LINE_BITS)).join(known.select("pos", "batch_id", "batch_seq"), "pos")
         store.publish(latest.withColumn("imported_at", F.current_timestamp()))
+    rejected += [rows for unfit, rows in set_aside if unfit.get["n"]]
     if rejected:
         rows = rejected[0]
         for more in rejected[1:]:
@@ -134,7 +157,8 @@ def ingest_batches(spark: SparkSession, store: RatingsStore, landing: str, numbe
         for name in REQUIRED_COLUMNS:
             if name not in rows.columns:
                 rows = rows.withColumn(name, F.lit(None).cast("string"))
-        store.reject(rows)
+        # Few rows of many: kept, so that laying them out does not parse the lines twice.
+        store.reject(materialise(rows))
     return [entry for entry in numbers if entry not in taken]
 
 

@@ -111,6 +111,56 @@ def test_landing_is_fed_one_batch_at_a_time(spark, folders):
     assert names(folders / "landing") == ["ratings_batch_001.csv"]
 
 
+def test_rows_meet_by_numbers_and_sound_lines_are_parsed_once(spark, folders, monkeypatch):
+    (folders / "landing" / "a.csv").write_text(HEADER + "1,10,3.0,100\n1,10,4.0,100\n")
+    plans, set_aside = [], []
+    publish, reject = RatingsStore.publish, RatingsStore.reject
+
+    def published(store, rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        publish(store, rows)
+
+    def rejected(store, rows):
+        set_aside.append(rows.count())
+        reject(store, rows)
+
+    monkeypatch.setattr(RatingsStore, "publish", published)
+    monkeypatch.setattr(RatingsStore, "reject", rejected)
+    store = RatingsStore(spark, str(folders / "store"))
+    run(spark, folders, store)
+    assert len(plans) == 1 and "HashAggregate" in plans[0] and "SortAggregate" not in plans[0]
+    assert set_aside == []
+    (folders / "landing" / "b.csv").write_text(HEADER + "1,10,x,100\n2,20,1.0,100\n")
+    run(spark, folders, store)
+    assert set_aside == [1]
+    assert state(store) == {(1, 10, 100): (4.0, "a"), (2, 20, 100): (1.0, "b")}
+
+
+def test_last_row_wins_over_pieces_files_and_batches(spark, folders):
+    """Files are read in small pieces, several to a task, and none in name order."""
+    expected = {}
+    for name, files_of in (("batch_id=x", 3), ("batch_id=y", 2)):
+        (folders / "landing" / name).mkdir()
+        for number in range(files_of):
+            lines = []
+            for i in range(40 + 150 * ((number + 1) % 2)):
+                key, rating = (i % 7, 1 + i % 3, 100), 0.5 + (i * 5 + number) % 10 / 2
+                lines.append(f"{key[0]},{key[1]},{rating},{key[2]}\n" + ("\n" if i % 9 == 0 else ""))
+                expected[key] = (rating, name.split("=")[1])
+            (folders / "landing" / name / f"part-{number}.csv").write_text(HEADER + "".join(lines))
+    settings = {"spark.sql.files.maxPartitionBytes": "500", "spark.sql.files.openCostInBytes": "1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    store = RatingsStore(spark, str(folders / "store"))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        run(spark, folders, store)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert state(store) == expected
+
+
 def batch_text(first_user, users=24, movies=30):
     lines = [
         f"{u},{m},{0.5 + ((u * 7 + m * 3) % 10) / 2},{100 + m}"
