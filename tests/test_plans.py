@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from reelspark.plans import queries
 from reelspark.plans.queries import REGISTRY
 
 
@@ -61,3 +62,19 @@ def test_broadcast_only_within_the_budget(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large
+
+
+def test_the_split_of_the_pivot_reads_stored_ratings(spark, sf_dir, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    plans = []
+
+    def split(ratings):
+        plans.append(plan(ratings))
+        raise Seen
+
+    monkeypatch.setattr(queries.sampling, "random_split", split)
+    with pytest.raises(Seen):
+        queries._pivot_trained(spark, sf_dir)
+    assert "Join" not in plans[0] and "Scan parquet" in plans[0]
