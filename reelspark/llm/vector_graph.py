@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _QUERY_ROWS = 256
+_SAMPLE_ROWS = 2_048
 _PAIR_ROWS = 200_000
 _AT_ONCE = 4
 
@@ -13,7 +14,7 @@ def kmeans(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     """Unit centroids of unit vectors; starts are spread over the sample in its order."""
     centres = sample[np.linspace(0, len(sample) - 1, k).astype(int)]
     for _ in range(rounds):
-        own = np.argmax(sample @ centres.T, axis=1)
+        own = np.concatenate([np.argmax(sample[lo : lo + _SAMPLE_ROWS] @ centres.T, axis=1) for lo in range(0, len(sample), _SAMPLE_ROWS)])
         sums = np.zeros_like(centres)
         np.add.at(sums, own, sample)
         length = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -75,7 +76,12 @@ def medoid(units: np.ndarray) -> int:
 
 
 def range_search(units: np.ndarray, graph: Graph, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, node) with cosine ``least`` or more that a search over ``graph`` meets.
+    """Pairs (query, node) with cosine ``least`` or more that a search over ``graph`` meets."""
+    return np.nonzero(range_matches(units, graph, least, beam))
+
+
+def range_matches(units: np.ndarray, graph: Graph, least: float, beam: int) -> np.ndarray:
+    """Query by node: whether a search over ``graph`` meets the node at cosine ``least`` or more.
 
     Every vector is a query. Greedy search starts at the medoid and at the query's own node and
     expands until the best ``beam`` nodes are done; then every node in range is expanded until
@@ -83,21 +89,19 @@ def range_search(units: np.ndarray, graph: Graph, least: float, beam: int) -> tu
     """
     n = len(units)
     entry = medoid(units)
-    queries, nodes = [], []
+    hit = np.zeros((n, n), bool)
     for start in range(0, n, _QUERY_ROWS):
         mine = np.arange(start, min(start + _QUERY_ROWS, n))
-        found = _search(units, graph, mine, entry, least, min(beam, n))
-        queries.append(mine[found[0]])
-        nodes.append(found[1])
-    return np.concatenate(queries), np.concatenate(nodes)
+        hit[mine] = _search(units, graph, mine, entry, least, min(beam, n))
+    return hit
 
 
-def _search(
-    units: np.ndarray, graph: Graph, mine: np.ndarray, entry: int, least: float, beam: int
-) -> tuple[np.ndarray, np.ndarray]:
+def _search(units: np.ndarray, graph: Graph, mine: np.ndarray, entry: int, least: float, beam: int) -> np.ndarray:
     count, n = len(mine), len(units)
     done = np.zeros((count, n), bool)
     near = np.full((count, n), -np.inf)  # -inf: not seen
+    # The best ``beam`` nodes seen by each query: a node that leaves them never comes back.
+    held, top = np.full((count, beam), -np.inf), np.zeros((count, beam), np.int64)
     rows = np.arange(count)
 
     def visit(q: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,18 +113,28 @@ def _search(
             near[q[part], node[part]] = np.einsum("pd,pd->p", units[mine[q[part]]], units[node[part]])
         return q, node
 
-    visit(np.concatenate([rows, rows]), np.concatenate([np.full(count, entry), mine]))
+    def hold(q: np.ndarray, node: np.ndarray) -> None:
+        """Newly seen nodes, by query, enter the best ones."""
+        owner, first, size = np.unique(q, return_index=True, return_counts=True)
+        sims = np.full((len(owner), size.max(initial=0)), -np.inf)
+        names = np.zeros(sims.shape, np.int64)
+        line = np.repeat(np.arange(len(owner)), size)
+        place = np.arange(len(q)) - np.repeat(first, size)
+        sims[line, place], names[line, place] = near[q, node], node
+        sims, names = np.hstack([held[owner], sims]), np.hstack([top[owner], names])
+        best = np.argpartition(-sims, beam - 1, axis=1)[:, :beam]
+        held[owner], top[owner] = np.take_along_axis(sims, best, 1), np.take_along_axis(names, best, 1)
+
+    hold(*visit(np.concatenate([rows, rows]), np.concatenate([np.full(count, entry), mine])))
     active = rows
     while len(active):
-        top = np.argpartition(-near[active], beam - 1, axis=1)[:, :beam]
-        held = np.take_along_axis(near[active], top, 1)
-        held[np.take_along_axis(done[active], top, 1)] = -np.inf
-        best = np.argsort(-held, axis=1)[:, :_AT_ONCE]
-        going = np.isfinite(np.take_along_axis(held, best, 1))
+        waiting = np.where(done[active[:, None], top[active]], -np.inf, held[active])
+        best = np.argsort(-waiting, axis=1)[:, :_AT_ONCE]
+        going = np.isfinite(np.take_along_axis(waiting, best, 1))
         owner, slot = np.nonzero(going)
-        q, node = active[owner], top[owner, best[owner, slot]]
+        q, node = active[owner], top[active[owner], best[owner, slot]]
         done[q, node] = True
-        visit(*graph.neighbours(q, node))
+        hold(*visit(*graph.neighbours(q, node)))
         active = active[going.any(axis=1)]
     q, node = np.nonzero((near >= least) & ~done)
     while len(q):
@@ -128,33 +142,38 @@ def _search(
         q, node = visit(*graph.neighbours(q, node))
         keep = near[q, node] >= least
         q, node = q[keep], node[keep]
-    return np.nonzero(near >= least)
+    return near >= least
 
 
 def audited_search(
     units: np.ndarray, graph: Graph, least: float, beam: int, recall: float, every: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """``range_search`` checked against all vectors for each ``every``-th query; the beam doubles
+    return np.nonzero(audited_matches(units, graph, least, beam, recall, every))
+
+
+def audited_matches(units: np.ndarray, graph: Graph, least: float, beam: int, recall: float, every: int) -> np.ndarray:
+    """``range_matches`` checked against all vectors for each ``every``-th query; the beam doubles
     until the audited recall is met (at the full width the search is exhaustive)."""
     audit = np.arange(0, len(units), every)
     truth = units[audit] @ units.T >= least
     while True:
-        q, node = range_search(units, graph, least, beam)
-        hit = np.zeros((len(units), len(units)), bool)
-        hit[q, node] = True
+        hit = range_matches(units, graph, least, beam)
         if beam >= len(units) or (hit[audit] & truth).sum() >= recall * truth.sum():
-            return q, node
+            return hit
         beam *= 2
 
 
-def local_roots(n: int, q: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Smallest index each of ``n`` nodes reaches over the pairs."""
-    root = np.arange(n)
-    while True:
-        low = root.copy()
-        np.minimum.at(low, q, root[node])
-        np.minimum.at(low, node, root[q])
-        low = low[low]
-        if (low == root).all():
-            return root
-        root = low
+def local_roots(hit: np.ndarray) -> np.ndarray:
+    """Smallest index each node reaches over a symmetric matrix of matches; a row is read once."""
+    root = np.where(hit.any(axis=1), -1, np.arange(len(hit)))
+    for start in np.flatnonzero(root < 0):
+        if root[start] >= 0:
+            continue
+        fresh = np.array([start])
+        while len(fresh):
+            root[fresh] = start
+            reached = np.zeros(len(hit), bool)
+            for at in range(0, len(fresh), _QUERY_ROWS):
+                reached |= hit[fresh[at : at + _QUERY_ROWS]].any(axis=0)
+            fresh = np.flatnonzero(reached & (root < 0))
+    return root

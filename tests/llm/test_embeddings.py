@@ -1,5 +1,7 @@
 """Links and components against all pairs; recall near the limit; blocks; edge cases."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -89,3 +91,37 @@ def test_small_graphs(n):
     graph = vector_graph.Graph(n, *vector_graph.robust_prune(units, 4, 8, 1.2))
     q, node = vector_graph.audited_search(units, graph, 0.9, 4, 0.98, 2)
     assert sorted(zip(q.tolist(), node.tolist())) == [(i, i) for i in range(n)]
+
+
+def test_only_edges_move_and_nothing_large_stays(spark, monkeypatch):
+    """An edge goes to every task that holds both its ends and to no other; the tables of a run go with it."""
+    monkeypatch.setattr(embeddings, "SHARD_HOME", 30)
+    monkeypatch.setattr(embeddings, "SHARD_MOST", 50)
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(size=(200, 32)), np.ones(32) + rng.normal(size=(60, 32)) * 0.01]).astype(np.float32)
+    rows = [(i, v.tobytes(), 1, 32) for i, v in enumerate(values)]
+    vectors = spark.createDataFrame(rows, "cid BIGINT, stored BINARY, weight BIGINT, dim BIGINT").cache()
+    kind = np.dtype(np.float32)
+    dealt, several = embeddings._tasks(vectors, embeddings.cluster_shards(vectors, kind))
+    several = {r["home"]: r["blocks"] for r in several.collect()}
+    members, homes = {}, {}
+    for r in dealt.collect():
+        members.setdefault((r["home"], r["low"], r["high"]), set()).add(r["cid"])
+        homes.setdefault(r["cid"], set()).update(r["homes"])
+    assert several and len(members) > len(several)
+    keys = ["home", "low", "high"]
+    schema = "home int, low int, high int, u array<long>, v array<long>"
+    sent = {}
+    for r in dealt.groupBy(*keys).applyInArrow(embeddings._builder(kind, several), schema).collect():
+        task = (r["home"], r["low"], r["high"])
+        sent.setdefault(task, set()).update(zip(r["u"], r["v"], strict=True))
+    for task, edges in sent.items():
+        assert all(u in members[task] and v in members[task] for u, v in edges)
+    every = set().union(*sent.values())
+    for task, inside in members.items():
+        assert {(u, v) for u, v in every if u in inside and v in inside} == sent.get(task, set())
+    tables = Path(embeddings.table_path(spark)).parent
+    before = set(tables.iterdir()) if tables.is_dir() else set()
+    run(spark, [(i, v.tolist()) for i, v in enumerate(values)])
+    assert len(set(tables.iterdir()) - before) == 2
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
